@@ -91,8 +91,6 @@ def fit_boosted(df: DataFrame, spec: PanelSpec, learner) -> DataFrame:
     cells = materialize(cells_of(rows, cuts, spec, features), "cells")
     gradient = (F.col("_n") * F.col("_pred") - F.col("_y")).alias("_g")
 
-    slots = [learner.max_bin + 2] * len(features)
-    starts = np.concatenate([[0], np.cumsum(slots)[:-1]])
     level_schema = T.StructType([
         grain_field,
         T.StructField("_f", T.ArrayType(T.IntegerType())),
@@ -103,13 +101,10 @@ def fit_boosted(df: DataFrame, spec: PanelSpec, learner) -> DataFrame:
 
     def split_level(depth: int):
         def run(pdf: pd.DataFrame) -> pd.DataFrame:
-            f, b = pdf["_feature"].to_numpy(), pdf["_bin"].to_numpy()
-            at = starts[f] + np.where(b == MISSING, slots[0] - 1, b)
-            shape = (2**depth, sum(slots))
-            G, H = np.zeros(shape), np.zeros(shape)
-            node = pdf["_node"].to_numpy()
-            G[node, at], H[node, at] = pdf["_g"].to_numpy(), pdf["_n"].to_numpy()
-            best = learner.best_splits(G, H, starts, slots)
+            pdf["_missing"] = pdf["_bin"] == MISSING
+            pdf = pdf.sort_values(["_node", "_feature", "_missing", "_bin"])
+            columns = ("_node", "_feature", "_bin", "_missing", "_g", "_n")
+            best = learner.best_splits(*[pdf[c].to_numpy() for c in columns], 2**depth)
             return pd.DataFrame([[pdf[spec.grain].iloc[0], *best]], columns=level_schema.names)
 
         return run

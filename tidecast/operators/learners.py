@@ -31,6 +31,13 @@ def share(values: np.ndarray) -> np.ndarray:
     return values / total if total > 0 else np.zeros_like(values)
 
 
+def changes(values: np.ndarray) -> np.ndarray:
+    """Marks the first entry of every run of equal values."""
+    out = np.ones(len(values), dtype=bool)
+    np.not_equal(values[1:], values[:-1], out=out[1:])
+    return out
+
+
 @dataclass(frozen=True)
 class Linear:
     """Least squares with intercept; see ``operators.linear`` for the fit of all series."""
@@ -85,42 +92,50 @@ class Boosted:
         values = np.unique(x[at])
         return values[values > x[0]]
 
-    def best_splits(self, G, H, starts, slots):
-        """Best split of every node from its histograms.
+    def best_splits(self, node, feature, place, missing, g, h, nodes):
+        """Best split of each of ``nodes`` nodes.
 
-        ``G`` and ``H`` are (node, slot) sums of gradient and weight. The slots of
-        feature f run from ``starts[f]`` on; the last of them holds missing values.
+        The arrays list the occupied (node, feature, bin) cells in that order, a missing
+        bin last, with their sums of gradient ``g`` and weight ``h``.
         """
-        node_g, node_h = G[:, : slots[0]].sum(axis=1), H[:, : slots[0]].sum(axis=1)
-        feature = np.repeat(np.arange(len(slots)), np.asarray(slots) - 1)
-        within = np.concatenate([np.arange(s - 1) for s in slots])
-        at = np.asarray(starts)[feature] + within
-        missing = (np.asarray(starts) + np.asarray(slots) - 1)[feature]
-        left_g = np.cumsum(G, axis=1)[:, at] - feature * node_g[:, None]
-        left_h = np.cumsum(H, axis=1)[:, at] - feature * node_h[:, None]
+        row = np.arange(len(node))
+        new_node = changes(node)
+        new_feature = new_node | changes(feature)
+        segment = np.cumsum(new_feature) - 1
+        at = np.flatnonzero(new_feature)
+
+        def upto_in_feature(v):
+            run = np.cumsum(v)
+            return run - (run[at] - v[at])[segment]
+
+        first = feature == feature[0]
+        node_g = np.bincount(node[first], g[first], minlength=nodes)[node]
+        node_h = np.bincount(node[first], h[first], minlength=nodes)[node]
+        left_g, left_h = upto_in_feature(g), upto_in_feature(h)
 
         def gain(lg, lh):
-            rg, rh = node_g[:, None] - lg, node_h[:, None] - lh
-            value = lg * lg / (lh + self.l2) + rg * rg / (rh + self.l2)
+            rg, rh = node_g - lg, node_h - lh
+            with np.errstate(divide="ignore", invalid="ignore"):
+                value = lg * lg / (lh + self.l2) + rg * rg / (rh + self.l2)
             return np.where(np.minimum(lh, rh) > self.min_child - 0.5, value, -np.inf)
 
-        score = gain(left_g, left_h)
-        miss_left = np.zeros(score.shape, dtype=bool)
-        if H[:, missing].any():
-            other = gain(left_g + G[:, missing], left_h + H[:, missing])
+        score, miss_left = gain(left_g, left_h), np.zeros(len(node), dtype=bool)
+        if missing.any():
+            lost_g = np.bincount(segment[missing], g[missing], minlength=len(at))[segment]
+            lost_h = np.bincount(segment[missing], h[missing], minlength=len(at))[segment]
+            other = gain(left_g + lost_g, left_h + lost_h)
             miss_left = other > score
-            score = np.maximum(score, other)
-        score = (score - (node_g * node_g / (node_h + self.l2))[:, None]).astype(np.float32)
-        best = score.argmax(axis=1)
-        row = np.arange(len(best))
-        gains = score[row, best].astype(float)
-        ok = gains > self.min_gain
-        return (
-            np.where(ok, feature[best], -1),
-            np.where(ok, within[best], 0),
-            miss_left[row, best] & ok,
-            np.where(ok, gains, 0.0),
-        )
+            score = np.where(missing, -np.inf, np.maximum(score, other))
+        score = (score - node_g * node_g / (node_h + self.l2)).astype(np.float32)
+        top = np.maximum.reduceat(score, np.flatnonzero(new_node))
+        winners = row[score == top[np.cumsum(new_node) - 1]]
+        winners = winners[changes(node[winners])]
+        winners = winners[score[winners] > self.min_gain]
+        won = node[winners]
+        out = [np.full(nodes, -1), np.zeros(nodes, int), np.zeros(nodes, bool), np.zeros(nodes)]
+        for target, source in zip(out, (feature, place, miss_left, score)):
+            target[won] = source[winners]
+        return out
 
     def leaf(self, g, h):
         return np.where(h > 0, -self.eta * g / (h + self.l2), 0.0)
@@ -135,6 +150,9 @@ class Boosted:
         slots = [len(c) + 2 for c in cuts]
         starts = np.concatenate([[0], np.cumsum(slots)[:-1]])
         total = sum(slots)
+        slot_feature = np.repeat(np.arange(width), slots)
+        slot_place = np.arange(total) - starts[slot_feature]
+        slot_missing = slot_place == np.asarray(slots)[slot_feature] - 1
         slot = np.column_stack([
             np.where(np.isnan(X[:, f]), slots[f] - 1, np.searchsorted(cuts[f], X[:, f], side="right"))
             + starts[f]
@@ -156,14 +174,17 @@ class Boosted:
             for d in range(self.depth):
                 m = 2**d
                 index = (slot + (node * total)[:, None]).ravel()
-                G = np.bincount(index, weights, minlength=m * total).reshape(m, total)
-                H = np.bincount(index, minlength=m * total).reshape(m, total)
-                f, k, left, gain = self.best_splits(G, H, starts, slots)
+                h = np.bincount(index)
+                used = np.flatnonzero(h)
+                at_node, at = np.divmod(used, total)
+                sums = np.bincount(index, weights)[used], h[used]
+                cells = at_node, slot_feature[at], slot_place[at], slot_missing[at]
+                f, k, left, gain = self.best_splits(*cells, *sums, m)
                 level = slice(m - 1, 2 * m - 1)
                 feat[t, level], cut[t, level], miss[t, level], gains[t, level] = f, k, left, gain
                 here = f[node]
-                place = slot[rows, here] - starts[here]
-                right = np.where(place == np.asarray(slots)[here] - 1, ~left[node], place > k[node])
+                mine = slot[rows, here]
+                right = np.where(slot_missing[mine], ~left[node], slot_place[mine] > k[node])
                 node = 2 * node + (right & (here >= 0))
                 if (f < 0).all():
                     node = node * 2 ** (self.depth - d - 1)

@@ -75,6 +75,18 @@ def fitted_value(features: list[str]):
     return value
 
 
+def coefficients(df: DataFrame, spec: PanelSpec) -> DataFrame:
+    """``_coef`` of each series: intercept first, then one entry per feature."""
+    features = spec.features(df)
+    return solve(moments(df, spec, features), spec, len(features)).select(spec.grain, "_coef")
+
+
+def predict_linear(rows: DataFrame, coef: DataFrame, spec: PanelSpec) -> DataFrame:
+    """Predictions as a join and an expression, without Python."""
+    features = spec.features(rows)
+    return rows.join(coef, spec.grain).select(*spec.roles, fitted_value(features).alias("PREDICTION"))
+
+
 def fit_linear(df: DataFrame, spec: PanelSpec) -> DataFrame:
     """One model row per series: bytes, metrics, status."""
     features = spec.features(df)
