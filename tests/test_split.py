@@ -83,7 +83,7 @@ def test_rank_covers_every_position_in_time_order(spark, max_task_rows):
 def test_cutoff_uses_binary_double_arithmetic(spark):
     rows = [("g", dt.datetime(2024, 1, 1) + dt.timedelta(days=i), 0.0, 0.0) for i in range(10)]
     df = spark.createDataFrame(rows, SCHEMA)
-    cut = {p: split_points(df, SPEC, p).first().TRAIN_CUTOFF for p in (0.1, 0.9)}
+    cut = {p: split_points(df, SPEC, p).table.first().TRAIN_CUTOFF for p in (0.1, 0.9)}
     assert cut == {0.1: 9, 0.9: 0}
 
 

@@ -175,7 +175,7 @@ class Boosted:
                 m = 2**d
                 index = (slot + (node * total)[:, None]).ravel()
                 h = np.bincount(index)
-                used = np.flatnonzero(h)
+                used = np.flatnonzero(h > 0)
                 at_node, at = np.divmod(used, total)
                 sums = np.bincount(index, weights)[used], h[used]
                 cells = at_node, slot_feature[at], slot_place[at], slot_missing[at]

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidecast.functions.calendar import time_bucket
-from tidecast.session import MAX_TASK_ROWS, materialize, task_count
+from tidecast.session import MAX_TASK_ROWS, materialize, materialize_observed, task_count
 from tidecast.spec import PanelSpec
 
 COPY_CHUNK = 100_000
@@ -93,9 +93,8 @@ def rank_in_time(
 ) -> DataFrame:
     """``df`` plus ROW_NUM, the position of the row in its series, from 1."""
     columns = df.columns
-    cells = materialize(bucket_counts(df, spec), "bucket-counts")
-    largest = cells.agg(F.max("_n")).first()[0] or 0
-    if largest <= max_task_rows:
+    cells, seen = materialize_observed(bucket_counts(df, spec), "bucket-counts", largest=F.max("_n"))
+    if (seen["largest"] or 0) <= max_task_rows:
         inside = Window.partitionBy(spec.grain, "_bucket").orderBy(spec.order_key(df))
         before = cells.select(spec.grain, "_bucket", (F.col("_through") - F.col("_n")).alias("_before"))
         return (

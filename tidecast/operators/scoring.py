@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidecast.operators.learners import Boosted, Learner, Linear
-from tidecast.session import MAX_TASK_ROWS, materialize, task_count
+from tidecast.session import MAX_TASK_ROWS, materialize_observed, task_count
 from tidecast.spec import PanelSpec
 
 POLICIES = ("drop", "error")
@@ -48,10 +48,12 @@ def score(
     blobs = usable_models(models).select(spec.grain, "ALGORITHM", "FEATURE_COLS", "MODEL_BINARY")
     sizes = rows.groupBy(spec.grain).agg(F.count("*").alias("_rows"))
     parts = F.ceil(F.col("_rows") / F.lit(max_task_rows)).cast("int").alias("_parts")
-    large = materialize(
-        sizes.filter(F.col("_rows") > max_task_rows).select(spec.grain, parts), "large-series"
+    large, seen = materialize_observed(
+        sizes.filter(F.col("_rows") > max_task_rows).select(spec.grain, parts),
+        "large-series",
+        most_parts=F.max("_parts"),
     )
-    most_parts = large.agg(F.max("_parts")).first()[0]
+    most_parts = seen["most_parts"]
     if most_parts is None:
         scored = _score_groups(rows, blobs, [spec.grain], spec, on_missing_model, learners)
     else:

@@ -9,6 +9,8 @@ The labelled table is then one scan of the input joined with one row per series.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,7 +21,7 @@ from tidecast.operators.ranking import (
     repeat_rows,
     with_bucket,
 )
-from tidecast.session import MAX_TASK_ROWS, materialize
+from tidecast.session import MAX_TASK_ROWS, materialize_observed
 from tidecast.spec import PanelSpec
 
 
@@ -27,10 +29,18 @@ def partition_counts(df: DataFrame, spec: PanelSpec) -> DataFrame:
     return df.groupBy(spec.grain).agg(F.count("*").alias("PARTITION_COUNT"))
 
 
+@dataclass(frozen=True)
+class SplitPoints:
+    """``table`` has one row per series: its count, its cutoff and the row at the cutoff."""
+
+    table: DataFrame
+    cuts_copies: bool
+
+
 def split_points(
     df: DataFrame, spec: PanelSpec, test_pct: float, max_task_rows: int = MAX_TASK_ROWS
-) -> DataFrame:
-    """One row per series: its count, its cutoff and the row that stands at the cutoff.
+) -> SplitPoints:
+    """Where to split each series.
 
     ``_full`` is the last bucket that trains as a whole. ``_mixed`` is the bucket cut
     in two, with ``_key`` its last training row, ``_copies`` the number of exact copies
@@ -40,7 +50,7 @@ def split_points(
     cells = bucket_counts(df, spec).withColumn("TRAIN_CUTOFF", cutoff)
     before = F.col("_through") - F.col("_n")
     is_mixed = (before < F.col("TRAIN_CUTOFF")) & (F.col("_through") > F.col("TRAIN_CUTOFF"))
-    points = materialize(
+    points, seen = materialize_observed(
         cells.groupBy(spec.grain).agg(
             F.max("PARTITION_COUNT").alias("PARTITION_COUNT"),
             F.max("TRAIN_CUTOFF").alias("TRAIN_CUTOFF"),
@@ -50,8 +60,8 @@ def split_points(
             F.max(F.when(is_mixed, F.col("_n"))).alias("_mixed_rows"),
         ),
         "split-cells",
+        largest=F.max("_mixed_rows"),
     )
-    largest = points.agg(F.max("_mixed_rows")).first()[0] or 0
 
     wanted = points.filter(F.col("_mixed").isNotNull()).select(
         F.col(spec.grain), F.col("_mixed").alias("_bucket")
@@ -59,7 +69,7 @@ def split_points(
     columns = list(dict.fromkeys([spec.grain, *spec.order_columns(df)]))
     undecided = with_bucket(df.select(*columns), spec).join(wanted, [spec.grain, "_bucket"])
     runs = collapse_copies(undecided, spec.grain, spec.order_key(df))
-    if largest <= max_task_rows:
+    if (seen["largest"] or 0) <= max_task_rows:
         upto = Window.partitionBy(spec.grain).orderBy("_key").rowsBetween(Window.unboundedPreceding, 0)
         ends = runs.withColumn("_end", F.sum("_copies").over(upto))
     else:
@@ -75,21 +85,21 @@ def split_points(
             (F.col("_need") - F.col("_end") + F.col("_copies")).alias("_taken"),
         )
     )
-    return materialize(
-        points.drop("_need", "_mixed_rows").join(at_cutoff, spec.grain, "left"), "split-points"
+    table, seen = materialize_observed(
+        points.drop("_need", "_mixed_rows").join(at_cutoff, spec.grain, "left"),
+        "split-points",
+        cut=F.count_if(F.col("_copies") > F.col("_taken")),
     )
+    if seen["cut"] and spec.unique:
+        raise ValueError(f"({spec.grain}, {', '.join(spec.order_columns(df))}) is not unique at a cutoff")
+    return SplitPoints(table, seen["cut"] > 0)
 
 
-def label_rows(df: DataFrame, points: DataFrame, spec: PanelSpec) -> DataFrame:
+def label_rows(df: DataFrame, points: SplitPoints, spec: PanelSpec) -> DataFrame:
     """``df`` plus IS_TRAIN, by comparing each row with the split point of its series."""
     columns = df.columns
     key = spec.order_key(df)
-    cut_copies = points.filter(F.col("_copies") > F.col("_taken"))
-    has_cut_copies = bool(cut_copies.head(1))
-    if has_cut_copies and spec.unique:
-        raise ValueError(f"({spec.grain}, {', '.join(spec.order_columns(df))}) is not unique at a cutoff")
-
-    cut = points.select(spec.grain, "_full", "_mixed", "_key", "_copies", "_taken")
+    cut = points.table.select(spec.grain, "_full", "_mixed", "_key", "_copies", "_taken")
     side = with_bucket(df, spec).join(cut, spec.grain)
     is_train = F.coalesce(
         F.when(F.col("_bucket") == F.col("_mixed"), key <= F.col("_key")).otherwise(
@@ -97,7 +107,7 @@ def label_rows(df: DataFrame, points: DataFrame, spec: PanelSpec) -> DataFrame:
         ),
         F.lit(False),
     )
-    if not has_cut_copies:
+    if not points.cuts_copies:
         return side.select(*columns, is_train.alias("IS_TRAIN"))
 
     is_cut_copy = F.coalesce(
@@ -107,6 +117,7 @@ def label_rows(df: DataFrame, points: DataFrame, spec: PanelSpec) -> DataFrame:
         F.lit(False),
     )
     plain = side.filter(~is_cut_copy).select(*columns, is_train.alias("IS_TRAIN"))
+    cut_copies = points.table.filter(F.col("_copies") > F.col("_taken"))
     copies = repeat_rows(cut_copies, "_copies", "_i").select(
         spec.grain, "_key.*", (F.col("_i") <= F.col("_taken")).alias("IS_TRAIN")
     )

@@ -1,8 +1,8 @@
 """SQL face of training: a vectorised table function over PARTITION BY ... ORDER BY.
 
 The function keeps running moments of one feature and the target, so its memory does not
-grow with its input. It is called per (series, calendar bucket) and its partial results
-are merged by an aggregation; a long series is thereby shared by many tasks.
+grow with its input. Its partial results are merged by an aggregation: a series beyond the
+task bound is passed to it per calendar bucket and thereby shared by many tasks.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udtf
 
 from tidecast.operators.ranking import with_bucket
+from tidecast.session import MAX_TASK_ROWS, materialize
 from tidecast.spec import PanelSpec
 
 RESULT = (
@@ -23,7 +24,7 @@ RESULT = (
 
 @arrow_udtf(returnType=RESULT)
 class PanelMoments:
-    """Input columns: series, bucket, time, x, y."""
+    """Input columns: series, part, time, x, y."""
 
     def __init__(self):
         self.series = self.first = self.last = None
@@ -59,16 +60,23 @@ def register(spark: SparkSession, name: str = "panel_moments") -> None:
     spark.udtf.register(name, PanelMoments)
 
 
-def train_by_table_function(df: DataFrame, spec: PanelSpec, feature: str) -> DataFrame:
+def train_by_table_function(
+    df: DataFrame, spec: PanelSpec, feature: str, max_task_rows: int = MAX_TASK_ROWS
+) -> DataFrame:
     """One line per series, fitted by calling the table function from SQL."""
     spark = df.sparkSession
     register(spark)
     columns = [F.col(c).cast("float").cast("double").alias(n) for c, n in ((feature, "x"), (spec.target, "y"))]
-    rows = with_bucket(df, spec).select(
-        F.col(spec.grain).cast("string").alias("series"), "_bucket", F.col(spec.time).alias("ts"), *columns
+    sizes = df.groupBy(spec.grain).agg(F.count("*").alias("_rows"))
+    large = materialize(
+        sizes.filter(F.col("_rows") > max_task_rows).select(spec.grain, F.lit(True).alias("_large")), "large-series"
+    )
+    part = F.when(F.col("_large"), F.col("_bucket")).alias("part")
+    rows = with_bucket(df, spec).join(large, spec.grain, "left").select(
+        F.col(spec.grain).cast("string").alias("series"), part, F.col(spec.time).alias("ts"), *columns
     )
     parts = spark.sql(
-        "SELECT * FROM panel_moments(TABLE({rows}) PARTITION BY (series, _bucket) ORDER BY ts)",
+        "SELECT * FROM panel_moments(TABLE({rows}) PARTITION BY (series, part) ORDER BY ts)",
         rows=rows.filter("x IS NOT NULL AND y IS NOT NULL"),
     )
     total = F.sum("N")

@@ -6,6 +6,7 @@ totals do not depend on the order of the sum.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,7 +50,7 @@ UNITS_PER_CREDIT = 3600.0 * 1e6 * 100
 
 def rate_card(spark: SparkSession, rates: dict[str, float], key: str) -> DataFrame:
     """A price list as a table; a fixed few rows, so it may be broadcast."""
-    return spark.createDataFrame([(k, float(v)) for k, v in rates.items()], f"{key} string, RATE double")
+    return spark.createDataFrame(pa.table({key: list(rates), "RATE": [float(v) for v in rates.values()]}))
 
 
 def priced(df: DataFrame, rates: dict[str, float], key: str) -> DataFrame:
@@ -63,6 +64,27 @@ def units(micros: Column, rate: Column, nodes: Column) -> Column:
     return (micros.cast("decimal(18,0)") * cents * nodes.cast("decimal(10,0)")).cast("decimal(38,0)")
 
 
+def half_up(whole: Column, unit: int, digits: int) -> Column:
+    """``whole`` counted in ``unit * 10**digits``, rounded half up to ``digits`` places.
+
+    Stays in whole numbers to the end, so that ties round the same way everywhere.
+    """
+    steps = F.floor((F.coalesce(whole, F.lit(0)).cast("decimal(38,0)") + unit // 2) / unit)
+    return steps.cast("double") / F.lit(10.0**digits)
+
+
+def seconds(micros: Column) -> Column:
+    return half_up(micros, 10_000, 2)
+
+
+def minutes(micros: Column) -> Column:
+    return half_up(micros, 600_000, 2)
+
+
+def rounded_credits(unit_sum: Column) -> Column:
+    return half_up(unit_sum, 360_000, 6)
+
+
 def credits(unit_sum: Column) -> Column:
     return F.coalesce(unit_sum, F.lit(0)).cast("double") / F.lit(UNITS_PER_CREDIT)
 
@@ -131,15 +153,14 @@ def summary(run_log: DataFrame, query_log: DataFrame) -> DataFrame:
         F.sum("_container").alias("_container"),
         F.sum("_warehouse").alias("_warehouse"),
     )
-    seconds = F.coalesce("_micros", F.lit(0)).cast("double") / F.lit(1e6)
     container, warehouse = F.coalesce("_container", F.lit(0)), F.coalesce("_warehouse", F.lit(0))
     return grouped.select(
         F.coalesce("JOB", F.lit("Total")).alias("JOB"),
-        F.round(seconds, 2).alias("DURATION_SECS"),
-        F.round(seconds / F.lit(60.0), 2).alias("DURATION_MINS"),
-        F.round(credits(container), 6).alias("CONTAINER_CREDITS"),
-        F.round(credits(warehouse), 6).alias("WAREHOUSE_CREDITS"),
-        F.round(credits(container + warehouse), 6).alias("TOTAL_CREDITS"),
+        seconds(F.col("_micros")).alias("DURATION_SECS"),
+        minutes(F.col("_micros")).alias("DURATION_MINS"),
+        rounded_credits(container).alias("CONTAINER_CREDITS"),
+        rounded_credits(warehouse).alias("WAREHOUSE_CREDITS"),
+        rounded_credits(container + warehouse).alias("TOTAL_CREDITS"),
     )
 
 

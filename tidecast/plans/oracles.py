@@ -150,7 +150,7 @@ GENERATED = f"""
                  round(100 * ({uniform(f"{ROW_KEY} || '|3'")}), 4) AS FEATURE_3,
                  round(dayofyear(TS) / 365.0::DOUBLE, 4) AS FEATURE_4,
                  round((isodow(TS) - 1) / 6.0::DOUBLE, 4) AS FEATURE_5,
-                 round({normal(f"({ROW_KEY} || '|6')", 0, 1)}, 4) AS FEATURE_6,
+                 round({normal(f"({ROW_KEY} || '|6')", 0, 1)}, 4) + 0.0::DOUBLE AS FEATURE_6,
                  {normal(f"({ROW_KEY} || '|noise')", 0, 3)} AS noise
           FROM (SELECT *, 20 + 80 * ({uniform(f"{SERIES_KEY} || '|base'")}) AS base,
                        0.7::DOUBLE + 0.6::DOUBLE * ({uniform(f"{SERIES_KEY} || '|effect'")}) AS effect,
@@ -192,14 +192,13 @@ used AS (SELECT q.*, CAST(EXECUTION_TIME AS HUGEINT) * 1000 * coalesce(cents, 0)
          WHERE WAREHOUSE_SIZE IS NOT NULL),
 jobs AS (SELECT JOB, sum(CAST(MICROS AS HUGEINT)) AS m, sum(units) AS c FROM costed GROUP BY JOB),
 houses AS (SELECT JOB, sum(units) AS w FROM used GROUP BY JOB),
-summed AS (SELECT coalesce(JOB, 'Total') AS JOB, CAST(sum(m) AS DOUBLE) / 1000000.0::DOUBLE AS s,
-                  CAST(sum(c) AS DOUBLE) / 360000000000.0::DOUBLE AS c,
-                  CAST(sum(w) AS DOUBLE) / 360000000000.0::DOUBLE AS w,
-                  CAST(sum(c) + sum(w) AS DOUBLE) / 360000000000.0::DOUBLE AS t
+summed AS (SELECT coalesce(JOB, 'Total') AS JOB, sum(m) AS m, sum(c) AS c, sum(w) AS w
            FROM jobs JOIN houses USING (JOB) GROUP BY GROUPING SETS ((JOB), ())),
-summary AS (SELECT JOB, round(s, 2) AS DURATION_SECS, round(s / 60.0::DOUBLE, 2) AS DURATION_MINS,
-                   round(c, 6) AS CONTAINER_CREDITS, round(w, 6) AS WAREHOUSE_CREDITS,
-                   round(t, 6) AS TOTAL_CREDITS FROM summed)
+summary AS (SELECT JOB, CAST((m + 5000) // 10000 AS DOUBLE) / 100.0::DOUBLE AS DURATION_SECS,
+                   CAST((m + 300000) // 600000 AS DOUBLE) / 100.0::DOUBLE AS DURATION_MINS,
+                   CAST((c + 180000) // 360000 AS DOUBLE) / 1000000.0::DOUBLE AS CONTAINER_CREDITS,
+                   CAST((w + 180000) // 360000 AS DOUBLE) / 1000000.0::DOUBLE AS WAREHOUSE_CREDITS,
+                   CAST((c + w + 180000) // 360000 AS DOUBLE) / 1000000.0::DOUBLE AS TOTAL_CREDITS FROM summed)
 """
 
 
@@ -300,7 +299,8 @@ ORACLES = {
         SELECT c.PARTITION_ID, c.c_acctbal, a.STAGE_PATH FROM ({CUSTOMERS}) AS c
         JOIN (SELECT DISTINCT PARTITION_ID, STAGE_PATH FROM ({ACTIVE}) WHERE IS_ACTIVE) AS a USING (PARTITION_ID)""",
     "catalog_without_artifact": f"""
-        SELECT * FROM ({CUSTOMERS}) WHERE PARTITION_ID NOT IN (SELECT PARTITION_ID FROM ({VERSIONS}))""",
+        SELECT * FROM ({CUSTOMERS}) WHERE PARTITION_ID NOT IN
+              (SELECT PARTITION_ID FROM ({ACTIVE}) WHERE IS_ACTIVE AND o_orderpriority = '1-URGENT')""",
     "manifest_map": LINEAR + f"SELECT PARTITION_ID, {STAGE} FROM quality",
     "rows_to_score": LINEAR + f"SELECT test.*, {STAGE} FROM test WHERE PARTITION_ID IN {READY}",
     "registry_default_version": f"""
@@ -349,13 +349,12 @@ ORACLES = {
         SELECT WAREHOUSE_SIZE, CAST(sum(EXECUTION_TIME) AS DOUBLE) / 1000.0::DOUBLE AS TOTAL_EXEC_SECS
         FROM ({QUERY_LOG}) WHERE WAREHOUSE_SIZE IS NOT NULL AND QUERY_TAG = 'purchase' GROUP BY ALL""",
     "wh_credits": USAGE + """
-        SELECT QUERY_TAG, round(CAST(sum(units) AS DOUBLE) / 360000000000.0::DOUBLE, 6) AS CREDITS FROM used GROUP BY QUERY_TAG""",
+        SELECT QUERY_TAG, CAST((sum(units) + 180000) // 360000 AS DOUBLE) / 1000000.0::DOUBLE AS CREDITS FROM used GROUP BY QUERY_TAG""",
     "container_credits": USAGE + """
         SELECT RUN_ID, INSTANCE_FAMILY, NODES, MICROS,
-               round(CAST(units AS DOUBLE) / 360000000000.0::DOUBLE, 6) AS CREDITS FROM costed""",
+               CAST((units + 180000) // 360000 AS DOUBLE) / 1000000.0::DOUBLE AS CREDITS FROM costed""",
     "run_durations": USAGE + """
-        SELECT RUN_ID, round(MICROS / 1000000.0::DOUBLE, 2) AS SECONDS,
-               round(MICROS / 1000000.0::DOUBLE / 60.0::DOUBLE, 2) AS MINUTES FROM runs""",
+        SELECT RUN_ID, MICROS / 1000000.0::DOUBLE AS SECONDS, MICROS / 1000000.0::DOUBLE / 60.0::DOUBLE AS MINUTES FROM runs""",
     "usage_summary": USAGE + "SELECT * FROM summary",
     "usage_overview": USAGE + """
         SELECT JOB, coalesce(family, '-') AS INSTANCE_FAMILY, coalesce(nodes, '-') AS NODES, DURATION_SECS, DURATION_MINS,

@@ -328,7 +328,8 @@ def catalog_attach_paths(spark, sf):
 
 
 def catalog_without_artifact(spark, sf):
-    active = path_catalog(spark, sf).filter("IS_ACTIVE").select("PARTITION_ID", "STAGE_PATH")
+    """Customers whose active version is not an urgent one, or who have none."""
+    active = path_catalog(spark, sf).filter("IS_ACTIVE AND o_orderpriority = '1-URGENT'")
     return catalog.without_artifact(all_customers(spark, sf), active, EVENTS)
 
 
@@ -513,18 +514,20 @@ def usage_of_tag(spark, sf):
 
 
 def wh_credits(spark, sf):
-    return rounded(usage.warehouse_credits(panels.query_log(spark, sf), "QUERY_TAG"), 6, "CREDITS")
+    used = usage.warehouse_units(panels.query_log(spark, sf), "QUERY_TAG")
+    return used.select("QUERY_TAG", usage.rounded_credits(F.col("UNITS")).alias("CREDITS"))
 
 
 def container_credits(spark, sf):
-    runs = usage.container_credits(panels.run_log(spark, sf))
-    return rounded(runs.select("RUN_ID", "INSTANCE_FAMILY", "NODES", "MICROS", "CREDITS"), 6, "CREDITS")
+    cost = usage.rounded_credits(F.col("UNITS")).alias("CREDITS")
+    runs = usage.container_runs(panels.run_log(spark, sf))
+    return runs.select("RUN_ID", "INSTANCE_FAMILY", "NODES", "MICROS", cost)
 
 
 def run_durations(spark, sf):
     seconds = calendar.seconds_between(F.col("STARTED"), F.col("ENDED"))
     return panels.run_log(spark, sf).select(
-        "RUN_ID", F.round(seconds, 2).alias("SECONDS"), F.round(seconds / F.lit(60.0), 2).alias("MINUTES")
+        "RUN_ID", seconds.alias("SECONDS"), (seconds / F.lit(60.0)).alias("MINUTES")
     )
 
 

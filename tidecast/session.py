@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 # One Python worker holds at most this many rows of one series; series beyond it
 # take the distributed way of each operator.
@@ -24,6 +25,8 @@ def build_session(
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
+        # Listing one folder per series must not cost one task per series.
+        .config("spark.sql.sources.parallelPartitionDiscovery.parallelism", "256")
     )
     if master:
         builder = builder.master(master)
@@ -42,13 +45,18 @@ def shared_dir(spark: SparkSession) -> str:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    made = tempfile.mkdtemp(prefix="tidecast-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    return _local_dir()
+
+
+@functools.cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="tidecast-")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
+    """A new path; all of an application lie in one folder, to be removed after it."""
+    folder = f"tidecast-{spark.sparkContext.applicationId}"
+    return os.path.join(shared_dir(spark), folder, f"{label}-{uuid.uuid4().hex}")
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -62,6 +70,13 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def materialize_observed(df: DataFrame, label: str, **metrics: Column) -> tuple[DataFrame, dict]:
+    """``materialize``, with aggregates of the rows taken while they are written."""
+    watch = Observation(f"{label}-{uuid.uuid4().hex}")
+    kept = materialize(df.observe(watch, *[v.alias(k) for k, v in metrics.items()]), label)
+    return kept, watch.get
+
+
 def task_count(spark: SparkSession) -> int:
     """Partitions for stages that spend their time in Python.
 
