@@ -105,6 +105,19 @@ def test_large_series_get_the_trees_of_the_in_task_fit(spark, holes):
     assert a["FEATURE_IMPORTANCES"] == pytest.approx(b["FEATURE_IMPORTANCES"], rel=1e-5)
 
 
+def test_large_series_without_splits_or_targets_keep_their_row(spark):
+    df = panel(spark, sizes=(("flat", 40), ("void", 40), ("p1", 40)))
+    target = F.when(F.col("PARTITION_ID") == "flat", 2.5).when(F.col("PARTITION_ID") == "p1", F.col("TARGET"))
+    df = df.withColumn("TARGET", target)
+    learner = Boosted(rounds=2, depth=2)
+    got = {r.PARTITION_ID: r for r in fit_models(df, SPEC, learner, *RUN, max_task_rows=10).collect()}
+    assert set(got) == {"flat", "void", "p1"}
+    assert (got["void"].STATUS, got["void"].ERROR) == ("error", "no row with a target")
+    assert got["flat"].STATUS == "ok" and got["flat"].METRICS.TRAIN_MAE == pytest.approx(0)
+    model = learner.load(got["flat"].MODEL_BINARY)
+    assert model["base"] == 2.5 and (model["feat"] == -1).all() and not model["value"].any()
+
+
 @pytest.mark.parametrize("learner", [Linear(), Boosted(rounds=5)])
 def test_models_do_not_depend_on_shuffle_partitions(spark, learner):
     df = panel(spark)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,6 +19,8 @@ from tidecast.spec import PanelSpec
 
 MISSING = -1
 TREES_PER_CHECKPOINT = 10
+# Columns of a tree in heap order, with their value where a node does not split.
+TREE_COLUMNS = {"_feat": -1, "_cut": 0, "_miss": False, "_gain": 0.0}
 
 
 def bin_cuts(rows: DataFrame, spec: PanelSpec, features: list[str], max_bin: int) -> DataFrame:
@@ -75,6 +77,65 @@ def node_after(levels: int) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(levels)), F.lit(0), step)
 
 
+def best_splits(sums: DataFrame, spec: PanelSpec, learner) -> DataFrame:
+    """The best split of each node from its sums per feature and bin.
+
+    The window sees the bins of one feature of one node, so its size has a fixed bound.
+    """
+    own = Window.partitionBy(spec.grain, "_node", "_feature")
+    upto = own.orderBy(F.col("_bin") == MISSING, "_bin").rowsBetween(Window.unboundedPreceding, 0)
+    is_missing = F.col("_bin") == MISSING
+    parts = {}
+    for c in ("_g", "_n"):
+        parts |= {
+            f"{c}_left": F.sum(c).over(upto).cast("double"),
+            f"{c}_all": F.sum(c).over(own).cast("double"),
+            f"{c}_lost": F.coalesce(F.sum(F.when(is_missing, F.col(c))).over(own), F.lit(0)).cast("double"),
+        }
+
+    def part_value(g: Column, n: Column) -> Column:
+        return g * g / (n + learner.l2)
+
+    def gain(g: Column, n: Column) -> Column:
+        other = F.col("_n_all") - n
+        fits = F.least(n, other) > learner.min_child - 0.5
+        return F.when(fits, part_value(g, n) + part_value(F.col("_g_all") - g, other))
+
+    missing_right = gain(F.col("_g_left"), F.col("_n_left"))
+    missing_left = gain(F.col("_g_left") + F.col("_g_lost"), F.col("_n_left") + F.col("_n_lost"))
+    before = part_value(F.col("_g_all"), F.col("_n_all"))
+    scored = (
+        sums.withColumns(parts)
+        .filter(~is_missing)
+        .withColumns({"_r": missing_right, "_l": missing_left})
+        .withColumn("_score", (F.greatest("_r", "_l") - before).cast("float"))
+        .filter(F.col("_score") > learner.min_gain)
+    )
+    goes_left = F.coalesce(F.col("_l") > F.col("_r"), F.col("_r").isNull())
+    choice = F.struct(
+        F.col("_feature").alias("_feat"),
+        F.col("_bin").alias("_cut"),
+        goes_left.alias("_miss"),
+        F.col("_score").cast("double").alias("_gain"),
+    )
+    first = F.struct("_score", -F.col("_feature"), -F.col("_bin"))
+    return scored.groupBy(spec.grain, "_node").agg(F.max_by(choice, first).alias("_best"))
+
+
+def level_arrays(series: DataFrame, best: DataFrame, spec: PanelSpec, depth: int) -> DataFrame:
+    """A row for each of ``series``, with an entry per node of the level."""
+    found = best.groupBy(spec.grain).agg(
+        F.map_from_entries(F.collect_list(F.struct("_node", "_best"))).alias("_found")
+    )
+
+    def entry(name: str, otherwise) -> Column:
+        nodes = F.sequence(F.lit(0), F.lit(2**depth - 1))
+        return F.transform(nodes, lambda i: F.coalesce(F.col("_found")[i][name], F.lit(otherwise)))
+
+    arrays = [entry(c, o).alias(c) for c, o in TREE_COLUMNS.items()]
+    return series.join(found, spec.grain, "left").select(spec.grain, *arrays)
+
+
 def fit_boosted(df: DataFrame, spec: PanelSpec, learner) -> DataFrame:
     """Same trees as ``learner.fit`` on each series; one model row per series."""
     from tidecast.operators.scoring import evaluate, score
@@ -91,24 +152,6 @@ def fit_boosted(df: DataFrame, spec: PanelSpec, learner) -> DataFrame:
     cells = materialize(cells_of(rows, cuts, spec, features), "cells")
     gradient = (F.col("_n") * F.col("_pred") - F.col("_y")).alias("_g")
 
-    level_schema = T.StructType([
-        grain_field,
-        T.StructField("_f", T.ArrayType(T.IntegerType())),
-        T.StructField("_k", T.ArrayType(T.IntegerType())),
-        T.StructField("_m", T.ArrayType(T.BooleanType())),
-        T.StructField("_w", T.ArrayType(T.DoubleType())),
-    ])
-
-    def split_level(depth: int):
-        def run(pdf: pd.DataFrame) -> pd.DataFrame:
-            pdf["_missing"] = pdf["_bin"] == MISSING
-            pdf = pdf.sort_values(["_node", "_feature", "_missing", "_bin"])
-            columns = ("_node", "_feature", "_bin", "_missing", "_g", "_n")
-            best = learner.best_splits(*[pdf[c].to_numpy() for c in columns], 2**depth)
-            return pd.DataFrame([[pdf[spec.grain].iloc[0], *best]], columns=level_schema.names)
-
-        return run
-
     trees = []
     for t in range(learner.rounds):
         tree = None
@@ -125,14 +168,12 @@ def fit_boosted(df: DataFrame, spec: PanelSpec, learner) -> DataFrame:
                 .groupBy(spec.grain, "_node", "_feature", "_bin")
                 .agg(F.sum("_g").alias("_g"), F.sum("_n").alias("_n"))
             )
-            level = sums.groupBy(spec.grain).applyInPandas(split_level(d), level_schema)
-            renamed = {"_f": "_feat", "_k": "_cut", "_m": "_miss", "_w": "_gain"}
+            level = level_arrays(cuts.select(spec.grain), best_splits(sums, spec, learner), spec, d)
             if tree is None:
-                tree = level.withColumnsRenamed(renamed)
+                tree = level
             else:
-                tree = tree.join(level, spec.grain).select(
-                    spec.grain, *[F.concat(new, old).alias(new) for old, new in renamed.items()]
-                )
+                both = [F.concat(tree[c], level[c]).alias(c) for c in TREE_COLUMNS]
+                tree = tree.join(level, spec.grain).select(spec.grain, *both)
             tree = materialize(tree, "tree-level")
         leaf = (node_after(learner.depth) - (2**learner.depth - 1)).alias("_leaf")
         sums = (
@@ -186,10 +227,16 @@ def fit_boosted(df: DataFrame, spec: PanelSpec, learner) -> DataFrame:
         F.col("ROWS").alias("TRAIN_ROWS"),
         F.map_from_arrays(names, "_importance").alias("FEATURE_IMPORTANCES"),
     )
-    return packed.join(quality, spec.grain).select(
-        spec.grain,
-        "MODEL_BINARY",
-        metrics.alias("METRICS"),
-        F.lit("ok").alias("STATUS"),
-        F.lit(None).cast("string").alias("ERROR"),
+    failed = F.col("MODEL_BINARY").isNull()
+    return (
+        df.select(spec.grain)
+        .distinct()
+        .join(packed.join(quality, spec.grain), spec.grain, "left")
+        .select(
+            spec.grain,
+            "MODEL_BINARY",
+            F.when(~failed, metrics).alias("METRICS"),
+            F.when(failed, "error").otherwise("ok").alias("STATUS"),
+            F.when(failed, "no row with a target").alias("ERROR"),
+        )
     )

@@ -31,13 +31,6 @@ def share(values: np.ndarray) -> np.ndarray:
     return values / total if total > 0 else np.zeros_like(values)
 
 
-def changes(values: np.ndarray) -> np.ndarray:
-    """Marks the first entry of every run of equal values."""
-    out = np.ones(len(values), dtype=bool)
-    np.not_equal(values[1:], values[:-1], out=out[1:])
-    return out
-
-
 @dataclass(frozen=True)
 class Linear:
     """Least squares with intercept; see ``operators.linear`` for the fit of all series."""
@@ -92,53 +85,44 @@ class Boosted:
         values = np.unique(x[at])
         return values[values > x[0]]
 
-    def best_splits(self, node, feature, place, missing, g, h, nodes):
-        """Best split of each of ``nodes`` nodes.
+    def best_splits(self, g, bins, missing, counts, totals):
+        """Best split of every node that has rows.
 
-        The arrays list the occupied (node, feature, bin) cells in that order, a missing
-        bin last, with their sums of gradient ``g`` and weight ``h``.
+        ``g`` and ``bins`` are (feature, row), ordered by node, then by bin. ``counts`` and
+        ``totals`` are the rows and the gradient sum of each node, ``missing`` the bins of
+        missing values, if there are any.
         """
-        row = np.arange(len(node))
-        new_node = changes(node)
-        new_feature = new_node | changes(feature)
-        segment = np.cumsum(new_feature) - 1
-        at = np.flatnonzero(new_feature)
-
-        def upto_in_feature(v):
-            run = np.cumsum(v)
-            return run - (run[at] - v[at])[segment]
-
-        first = feature == feature[0]
-        node_g = np.bincount(node[first], g[first], minlength=nodes)[node]
-        node_h = np.bincount(node[first], h[first], minlength=nodes)[node]
-        left_g, left_h = upto_in_feature(g), upto_in_feature(h)
+        start, at = np.cumsum(counts) - counts, np.repeat(np.arange(len(counts)), counts)
+        left_g = np.cumsum(g, axis=1) - (np.cumsum(totals) - totals)[at]
+        left_h = np.arange(1.0, len(at) + 1) - start[at]
+        total_g, total_h = totals[at], counts[at].astype(float)
+        may_cut = np.ones(bins.shape, dtype=bool)
+        np.not_equal(bins[:, 1:], bins[:, :-1], out=may_cut[:, :-1])
 
         def gain(lg, lh):
-            rg, rh = node_g - lg, node_h - lh
+            rg, rh = total_g - lg, total_h - lh
+            fits = may_cut & (np.minimum(lh, rh) > self.min_child - 0.5)
             with np.errstate(divide="ignore", invalid="ignore"):
-                value = lg * lg / (lh + self.l2) + rg * rg / (rh + self.l2)
-            return np.where(np.minimum(lh, rh) > self.min_child - 0.5, value, -np.inf)
-
-        score, miss_left = gain(left_g, left_h), np.zeros(len(node), dtype=bool)
-        if missing.any():
-            lost_g = np.bincount(segment[missing], g[missing], minlength=len(at))[segment]
-            lost_h = np.bincount(segment[missing], h[missing], minlength=len(at))[segment]
-            other = gain(left_g + lost_g, left_h + lost_h)
+                return np.where(fits, lg * lg / (lh + self.l2) + rg * rg / (rh + self.l2), -np.inf)
+
+        score, miss_left = gain(left_g, left_h), None
+        if missing is not None:
+            is_missing = bins == missing[:, None]
+            may_cut &= ~is_missing
+            lost_g = np.add.reduceat(np.where(is_missing, g, 0.0), start, axis=1)[:, at]
+            lost_h = np.add.reduceat(is_missing.astype(float), start, axis=1)[:, at]
+            score, other = gain(left_g, left_h), gain(left_g + lost_g, left_h + lost_h)
             miss_left = other > score
-            score = np.where(missing, -np.inf, np.maximum(score, other))
-        score = (score - node_g * node_g / (node_h + self.l2)).astype(np.float32)
-        top = np.maximum.reduceat(score, np.flatnonzero(new_node))
-        winners = row[score == top[np.cumsum(new_node) - 1]]
-        winners = winners[changes(node[winners])]
-        winners = winners[score[winners] > self.min_gain]
-        won = node[winners]
-        out = [np.full(nodes, -1), np.zeros(nodes, int), np.zeros(nodes, bool), np.zeros(nodes)]
-        for target, source in zip(out, (feature, place, miss_left, score)):
-            target[won] = source[winners]
-        return out
-
-    def leaf(self, g, h):
-        return np.where(h > 0, -self.eta * g / (h + self.l2), 0.0)
+            score = np.maximum(score, other)
+        score = (score - total_g * total_g / (total_h + self.l2)).astype(np.float32)
+        by_feature = np.maximum.reduceat(score, start, axis=1)
+        feature, top = by_feature.argmax(axis=0), by_feature.max(axis=0)
+        row = np.arange(len(at))
+        is_top = score.take(feature[at] * len(at) + row) == top[at]
+        place = np.minimum.reduceat(np.where(is_top, row, len(at)), start)
+        left = np.zeros(len(top), bool) if miss_left is None else miss_left[feature, place]
+        ok = top > self.min_gain
+        return np.where(ok, feature, -1), bins[feature, place], left & ok, np.where(ok, top, 0.0)
 
     def fit(self, X, y):
         keep = ~np.isnan(y)
@@ -147,53 +131,49 @@ class Boosted:
             raise ValueError("no row with a target")
         n, width = X.shape
         cuts = [self.cuts(X[:, f].copy()) for f in range(width)]
-        slots = [len(c) + 2 for c in cuts]
-        starts = np.concatenate([[0], np.cumsum(slots)[:-1]])
-        total = sum(slots)
-        slot_feature = np.repeat(np.arange(width), slots)
-        slot_place = np.arange(total) - starts[slot_feature]
-        slot_missing = slot_place == np.asarray(slots)[slot_feature] - 1
-        slot = np.column_stack([
-            np.where(np.isnan(X[:, f]), slots[f] - 1, np.searchsorted(cuts[f], X[:, f], side="right"))
-            + starts[f]
+        missing = np.array([len(c) + 1 for c in cuts], dtype=np.int16)
+        bins = np.stack([
+            np.where(np.isnan(X[:, f]), missing[f], np.searchsorted(cuts[f], X[:, f], side="right"))
             for f in range(width)
-        ])
+        ]).astype(np.int16)
+        some_missing = missing if (bins == missing[:, None]).any() else None
+        by_bin = bins.argsort(axis=1, kind="stable")
+        lane = np.arange(width)[:, None] * n
         inner, leaves = 2**self.depth - 1, 2**self.depth
         feat = np.full((self.rounds, inner), -1, dtype=np.int16)
         cut = np.zeros((self.rounds, inner), dtype=np.int32)
         miss = np.zeros((self.rounds, inner), dtype=bool)
         value = np.zeros((self.rounds, leaves), dtype=np.float32)
         gains = np.zeros((self.rounds, inner))
-        base = y.mean()
-        pred = np.full(n, base)
-        rows = np.arange(n)
+        pred, rows = np.full(n, y.mean()), np.arange(n)
         for t in range(self.rounds):
-            g = pred - y
-            weights = np.repeat(g, width)
-            node = np.zeros(n, dtype=np.int64)
+            g, order = pred - y, by_bin
+            node = np.zeros(n, dtype=np.uint16)
             for d in range(self.depth):
-                m = 2**d
-                index = (slot + (node * total)[:, None]).ravel()
-                h = np.bincount(index)
-                used = np.flatnonzero(h > 0)
-                at_node, at = np.divmod(used, total)
-                sums = np.bincount(index, weights)[used], h[used]
-                cells = at_node, slot_feature[at], slot_place[at], slot_missing[at]
-                f, k, left, gain = self.best_splits(*cells, *sums, m)
-                level = slice(m - 1, 2 * m - 1)
-                feat[t, level], cut[t, level], miss[t, level], gains[t, level] = f, k, left, gain
-                here = f[node]
-                mine = slot[rows, here]
-                right = np.where(slot_missing[mine], ~left[node], slot_place[mine] > k[node])
-                node = 2 * node + (right & (here >= 0))
-                if (f < 0).all():
+                counts, totals = np.bincount(node), np.bincount(node, g)
+                there = np.flatnonzero(counts)
+                best = self.best_splits(
+                    g.take(order), bins.take(order + lane), some_missing, counts[there], totals[there]
+                )
+                level = there + 2**d - 1
+                feat[t, level], cut[t, level], miss[t, level], gains[t, level] = best
+                f, k = (np.empty(2**d, dtype=np.intp) for _ in range(2))
+                f[there], k[there] = best[:2]
+                own_f = f[node]
+                own = bins.take(own_f * n + rows, mode="wrap")
+                right = own > k[node]
+                if some_missing is not None:
+                    right = np.where(own == missing[own_f], ~miss[t, node + np.intp(2**d - 1)], right)
+                node = 2 * node + (right & (own_f >= 0))
+                if (best[0] < 0).all():
                     node = node * 2 ** (self.depth - d - 1)
                     break
-            value[t] = self.leaf(
-                np.bincount(node, g, minlength=leaves), np.bincount(node, minlength=leaves)
-            )
+                if d < self.depth - 1:
+                    order = order.take(node.take(order).argsort(axis=1, kind="stable") + lane)
+            weight = np.bincount(node, minlength=leaves)
+            value[t] = -self.eta * np.bincount(node, g, minlength=leaves) / (weight + self.l2)
             pred = pred + value[t][node]
-        return self.pack(base, feat, cut, miss, value, cuts), self.importances(feat, gains, width)
+        return self.pack(y.mean(), feat, cut, miss, value, cuts), self.importances(feat, gains, width)
 
     def importances(self, feat, gains, width):
         """Mean gain per split of each feature, as a share."""

@@ -113,6 +113,10 @@ def rank_in_time(
     )
 
 
-def collapse_copies(df: DataFrame, grain: str, key: Column) -> DataFrame:
-    """One row per distinct (grain, key) with its number of copies, combined before the shuffle."""
-    return df.select(grain, key.alias("_key")).groupBy(grain, "_key").agg(F.count("*").alias("_copies"))
+def collapse_copies(df: DataFrame, grain: str, key: Column, *per_grain: str) -> DataFrame:
+    """One row per distinct (grain, key) with its number of copies, combined before the shuffle.
+
+    ``per_grain`` are columns with one value per series, kept as they are.
+    """
+    keyed = df.select(grain, *per_grain, key.alias("_key"))
+    return keyed.groupBy(grain, *per_grain, "_key").agg(F.count("*").alias("_copies"))

@@ -64,26 +64,19 @@ def split_points(
     )
 
     wanted = points.filter(F.col("_mixed").isNotNull()).select(
-        F.col(spec.grain), F.col("_mixed").alias("_bucket")
+        spec.grain, F.col("_mixed").alias("_bucket"), "_need"
     )
     columns = list(dict.fromkeys([spec.grain, *spec.order_columns(df)]))
     undecided = with_bucket(df.select(*columns), spec).join(wanted, [spec.grain, "_bucket"])
-    runs = collapse_copies(undecided, spec.grain, spec.order_key(df))
+    runs = collapse_copies(undecided, spec.grain, spec.order_key(df), "_need")
     if (seen["largest"] or 0) <= max_task_rows:
         upto = Window.partitionBy(spec.grain).orderBy("_key").rowsBetween(Window.unboundedPreceding, 0)
         ends = runs.withColumn("_end", F.sum("_copies").over(upto))
     else:
         ends = range_ends(runs, spec.grain, "_key", "_copies")
-    needs = points.select(spec.grain, "_need")
-    at_cutoff = (
-        ends.join(needs, spec.grain)
-        .filter((F.col("_end") >= F.col("_need")) & (F.col("_end") - F.col("_copies") < F.col("_need")))
-        .select(
-            spec.grain,
-            "_key",
-            "_copies",
-            (F.col("_need") - F.col("_end") + F.col("_copies")).alias("_taken"),
-        )
+    taken = F.col("_need") - F.col("_end") + F.col("_copies")
+    at_cutoff = ends.filter((taken > 0) & (taken <= F.col("_copies"))).select(
+        spec.grain, "_key", "_copies", taken.alias("_taken")
     )
     table, seen = materialize_observed(
         points.drop("_need", "_mixed_rows").join(at_cutoff, spec.grain, "left"),
