@@ -8,28 +8,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidecast.functions import calendar, draws
-from tidecast.session import task_count
+from tidecast.operators.ranking import repeat_rows
 from tidecast.spec import PanelSpec
 
 
 def spine(series: DataFrame, origin: Column, step: str, steps: Column, time: str = "TS") -> DataFrame:
-    """Every row of ``series`` repeated for ``steps`` timestamps from ``origin`` on."""
+    """Every row of ``series`` repeated for ``steps`` timestamps from ``origin`` on.
+
+    Long spines grow in several tasks, and rows are spread before they multiply.
+    """
     calendar.check_timestep(step)
+    rows = series.withColumns({"_origin": origin.cast("timestamp_ntz"), "_steps": steps.cast("long")})
     return (
-        series.withColumns({"_origin": origin.cast("timestamp_ntz"), "_steps": steps.cast("int")})
-        .filter(F.col("_steps") > 0)
-        .withColumn("STEP", F.explode(F.sequence(F.lit(0), F.col("_steps") - 1)))
+        repeat_rows(rows.filter(F.col("_steps") > 0), "_steps", "_i")
+        .withColumn("STEP", (F.col("_i") - 1).cast("int"))
         .withColumn(time, calendar.step_from(F.col("_origin"), step, F.col("STEP")))
-        .drop("_origin", "_steps")
+        .drop("_origin", "_steps", "_i")
     )
 
 
 def scaffold(
     ids: DataFrame, spec: PanelSpec, start: dt.date, step: str, steps: int
 ) -> DataFrame:
-    """(grain, time) for every id and timestamp, spread over tasks before it grows."""
-    spread = ids.select(spec.grain).repartition(task_count(ids.sparkSession), spec.grain)
-    return spine(spread, F.lit(start).cast("timestamp_ntz"), step, F.lit(steps), spec.time)
+    """(grain, time) for every id and timestamp."""
+    return spine(ids.select(spec.grain), F.lit(start).cast("timestamp_ntz"), step, F.lit(steps), spec.time)
 
 
 def feature_table(panel: DataFrame, spec: PanelSpec, num_features: int, seed: str = "42") -> DataFrame:

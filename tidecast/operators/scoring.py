@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidecast.operators.learners import Boosted, Learner, Linear
-from tidecast.session import MAX_TASK_ROWS, materialize_observed, task_count
+from tidecast.operators.skew import in_parts
+from tidecast.session import MAX_TASK_ROWS, task_count
 from tidecast.spec import PanelSpec
 
 POLICIES = ("drop", "error")
@@ -46,31 +47,13 @@ def score(
         rows = rows.withColumn(spec.target, F.lit(None).cast("double"))
     rows = rows.filter(F.col(spec.grain).isNotNull())
     blobs = usable_models(models).select(spec.grain, "ALGORITHM", "FEATURE_COLS", "MODEL_BINARY")
-    sizes = rows.groupBy(spec.grain).agg(F.count("*").alias("_rows"))
-    parts = F.ceil(F.col("_rows") / F.lit(max_task_rows)).cast("int").alias("_parts")
-    large, seen = materialize_observed(
-        sizes.filter(F.col("_rows") > max_task_rows).select(spec.grain, parts),
-        "large-series",
-        most_parts=F.max("_parts"),
-    )
-    most_parts = seen["most_parts"]
-    if most_parts is None:
-        scored = _score_groups(rows, blobs, [spec.grain], spec, on_missing_model, learners)
-    else:
-        short = rows.join(large, spec.grain, "left_anti")
-        # Round robin spreads the rows of a long series, exact copies included.
-        spread = (
-            rows.join(large, spec.grain)
-            .repartition(max(most_parts, task_count(rows.sparkSession)))
-            .withColumn("_part", F.pmod(F.spark_partition_id(), F.col("_parts")))
-            .drop("_parts")
-        )
+    short, spread, large = in_parts(rows, spec.grain, max_task_rows)
+    scored = _score_groups(short, blobs, [spec.grain], spec, on_missing_model, learners)
+    if spread is not None:
         part_numbers = F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("_part")
         copies = blobs.join(large.select(spec.grain, part_numbers), spec.grain)
         keys = [spec.grain, "_part"]
-        scored = _score_groups(short, blobs, [spec.grain], spec, on_missing_model, learners).unionByName(
-            _score_groups(spread, copies, keys, spec, on_missing_model, learners)
-        )
+        scored = scored.unionByName(_score_groups(spread, copies, keys, spec, on_missing_model, learners))
     return scored if has_target else scored.drop(spec.target)
 
 

@@ -2,7 +2,7 @@
 
 The function keeps running moments of one feature and the target, so its memory does not
 grow with its input. Its partial results are merged by an aggregation: a series beyond the
-task bound is passed to it per calendar bucket and thereby shared by many tasks.
+task bound is passed to it in parts and thereby shared by many tasks.
 """
 
 from __future__ import annotations
@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udtf
 
-from tidecast.operators.ranking import with_bucket
-from tidecast.session import MAX_TASK_ROWS, materialize
+from tidecast.operators.skew import in_parts
+from tidecast.session import MAX_TASK_ROWS
 from tidecast.spec import PanelSpec
 
 RESULT = (
@@ -67,16 +67,15 @@ def train_by_table_function(
     spark = df.sparkSession
     register(spark)
     columns = [F.col(c).cast("float").cast("double").alias(n) for c, n in ((feature, "x"), (spec.target, "y"))]
-    sizes = df.groupBy(spec.grain).agg(F.count("*").alias("_rows"))
-    large = materialize(
-        sizes.filter(F.col("_rows") > max_task_rows).select(spec.grain, F.lit(True).alias("_large")), "large-series"
-    )
-    part = F.when(F.col("_large"), F.col("_bucket")).alias("part")
-    rows = with_bucket(df, spec).join(large, spec.grain, "left").select(
-        F.col(spec.grain).cast("string").alias("series"), part, F.col(spec.time).alias("ts"), *columns
+    short, spread, _ = in_parts(df.filter(F.col(spec.grain).isNotNull()), spec.grain, max_task_rows)
+    rows = short.withColumn("_part", F.lit(0))
+    if spread is not None:
+        rows = rows.unionByName(spread)
+    rows = rows.select(
+        F.col(spec.grain).cast("string").alias("series"), "_part", F.col(spec.time).alias("ts"), *columns
     )
     parts = spark.sql(
-        "SELECT * FROM panel_moments(TABLE({rows}) PARTITION BY (series, part) ORDER BY ts)",
+        "SELECT * FROM panel_moments(TABLE({rows}) PARTITION BY (series, _part) ORDER BY ts)",
         rows=rows.filter("x IS NOT NULL AND y IS NOT NULL"),
     )
     total = F.sum("N")

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidecast.operators.learners import Learner
-from tidecast.session import MAX_TASK_ROWS, materialize_observed, task_count
+from tidecast.operators.skew import long_series
+from tidecast.session import MAX_TASK_ROWS, task_count
 from tidecast.spec import PanelSpec
 
 METRICS = T.StructType([
@@ -101,11 +102,8 @@ def fit_models(
 
 def _fit_by_size(df, spec, learner, max_task_rows):
     """Short series inside tasks; series beyond ``max_task_rows`` as Spark aggregations."""
-    sizes = df.groupBy(spec.grain).agg(F.count("*").alias("_rows"))
-    large, seen = materialize_observed(
-        sizes.filter(F.col("_rows") > max_task_rows), "large-series", found=F.count("*")
-    )
-    if not seen["found"]:
+    large, most_parts = long_series(df, spec.grain, max_task_rows)
+    if not most_parts:
         return fit_groups(df, spec, learner)
     small = fit_groups(df.join(large, spec.grain, "left_anti"), spec, learner)
     if hasattr(learner, "fit_large"):

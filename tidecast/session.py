@@ -85,5 +85,5 @@ def task_count(spark: SparkSession) -> int:
     """
     return max(
         int(spark.conf.get("spark.sql.shuffle.partitions")),
-        2 * spark.sparkContext.defaultParallelism,
+        4 * spark.sparkContext.defaultParallelism,
     )

@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidecast.operators.skew import in_parts
+from tidecast.session import MAX_TASK_ROWS, task_count
+
 # The size limit of a staged file and the default name pattern of a load.
 MAX_FILE_BYTES = 15_728_640
 PARQUET_PATTERN = r".*[.]parquet"
@@ -16,15 +19,25 @@ def row_bytes(schema: T.StructType) -> int:
     return sum(8 if isinstance(f.dataType, (T.NumericType, T.DatetimeType, T.BooleanType)) else 32 for f in schema)
 
 
-def export_by_series(df: DataFrame, path: str, key: str, max_file_bytes: int = MAX_FILE_BYTES) -> None:
+def export_by_series(
+    df: DataFrame,
+    path: str,
+    key: str,
+    max_file_bytes: int = MAX_FILE_BYTES,
+    max_task_rows: int = MAX_TASK_ROWS,
+) -> None:
     """Replace ``path`` by Snappy Parquet files, one folder per value of ``key``.
 
-    Files keep the key column, so each is complete by itself. The rebalance gathers a
-    series in few tasks but cuts a very long one into several.
+    Files keep the key column, so each is complete by itself. A series is written by one
+    task, a long one by several.
     """
+    tasks = task_count(df.sparkSession)
+    short, spread, _ = in_parts(df, key, max_task_rows)
+    gathered = short.repartition(tasks, key)
+    if spread is not None:
+        gathered = gathered.unionByName(spread.repartition(tasks, key, "_part").drop("_part"))
     (
-        df.hint("rebalance", F.col(key))
-        .withColumn("SERIES", F.col(key))
+        gathered.withColumn("SERIES", F.col(key))
         .write.mode("overwrite")
         .partitionBy("SERIES")
         .option("compression", "snappy")
