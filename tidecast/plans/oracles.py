@@ -117,6 +117,48 @@ def stump_value(features: list[str]) -> str:
     return f"b + CASE WHEN f IS NULL THEN 0 WHEN CASE f {picked} END < x THEN lv ELSE rv END"
 
 
+def forest(rows: str, width: int, rounds: int, depth: int) -> str:
+    """CTEs that grow whole trees, level by level, on ``rows`` with x0.., y, is_train and pred.
+
+    A threshold is the next training value of the whole series above the last value on the
+    left. Held-out rows walk down with the others; the last CTE, ``grown``, has their predictions.
+    """
+    seen = " UNION ".join(f"SELECT PARTITION_ID, {i} AS f, x{i} AS x FROM {rows} WHERE is_train" for i in range(width))
+    out = [f"""
+above AS MATERIALIZED (
+    SELECT *, lead(x) OVER (PARTITION BY PARTITION_ID, f ORDER BY x) AS threshold FROM ({seen}))"""]
+    current = rows
+    for t in range(rounds):
+        out.append(f"r{t}_0 AS MATERIALIZED (SELECT *, 0 AS node FROM {current})")
+        for d in range(depth):
+            at, name = f"r{t}_{d}", f"{t}_{d}"
+            cells = " UNION ALL ".join(
+                f"SELECT PARTITION_ID, node, {i} AS f, x{i} AS x, pred - y AS g FROM {at} WHERE is_train" for i in range(width)
+            )
+            own = " ".join(f"WHEN {i} THEN x{i}" for i in range(width))
+            out.append(f"""
+b{name} AS MATERIALIZED (
+    SELECT PARTITION_ID, node, f, threshold FROM (
+        SELECT *, row_number() OVER (PARTITION BY PARTITION_ID, node ORDER BY gain DESC, f, x) AS rank FROM (
+            SELECT *, CAST(lg * lg / (lh + 1) + (tg - lg) * (tg - lg) / (th - lh + 1) - tg * tg / (th + 1) AS FLOAT) AS gain
+            FROM (SELECT PARTITION_ID, node, f, x, sum(g) OVER w AS lg, sum(h) OVER w AS lh,
+                         sum(g) OVER p AS tg, sum(h) OVER p AS th
+                  FROM (SELECT PARTITION_ID, node, f, x, sum(g) AS g, count(*) AS h FROM ({cells}) GROUP BY ALL)
+                  WINDOW p AS (PARTITION BY PARTITION_ID, node, f), w AS (PARTITION BY PARTITION_ID, node, f ORDER BY x))
+            WHERE lh < th) WHERE gain > 0.000001) JOIN above USING (PARTITION_ID, f, x) WHERE rank = 1),
+r{t}_{d + 1} AS MATERIALIZED (
+    SELECT r.* EXCLUDE (node), 2 * node + CASE WHEN b.f IS NULL OR CASE b.f {own} END < b.threshold THEN 0 ELSE 1 END AS node
+    FROM {at} AS r LEFT JOIN b{name} AS b USING (PARTITION_ID, node))""")
+        current = f"p{t}" if t < rounds - 1 else "grown"
+        out.append(f"""
+{current} AS MATERIALIZED (
+    SELECT r.* EXCLUDE (pred, node), pred + v AS pred
+    FROM r{t}_{depth} AS r
+    JOIN (SELECT PARTITION_ID, node, CAST(-0.3::DOUBLE * sum(pred - y) / (count(*) + 1) AS FLOAT) AS v
+          FROM r{t}_{depth} WHERE is_train GROUP BY PARTITION_ID, node) USING (PARTITION_ID, node))""")
+    return ",".join(out)
+
+
 LONG_FEATURES = ["l_quantity", "l_discount", "l_tax"]
 
 
@@ -274,6 +316,15 @@ ORACLES = {
         fitted AS (SELECT PARTITION_ID, a AS K, b AS HOUR, y FROM train), {stump('fitted', ['K', 'HOUR'])}
         SELECT PARTITION_ID, TS, TARGET, round({stump_value(['K', 'HOUR'])}, 4) AS PREDICTION
         FROM test JOIN tree USING (PARTITION_ID)""",
+    "score_gbt_small": f"""
+        WITH labelled AS ({split(SHORT)}),
+        rows AS MATERIALIZED (
+            SELECT PARTITION_ID, TS, TARGET, IS_TRAIN AS is_train, CAST(K AS FLOAT) AS x0, CAST(HOUR AS FLOAT) AS x1,
+                   CAST(TARGET AS FLOAT)::DOUBLE AS y,
+                   avg(CAST(TARGET AS FLOAT)::DOUBLE) FILTER (WHERE IS_TRAIN) OVER (PARTITION BY PARTITION_ID) AS pred
+            FROM labelled),
+        {forest('rows', 2, 4, 3)}
+        SELECT PARTITION_ID, TS, TARGET, round(pred, 4) AS PREDICTION FROM grown WHERE NOT is_train""",
     "train_long_series": f"""
         WITH lines AS (SELECT l_returnflag AS PARTITION_ID, {', '.join(LONG_FEATURES)},
                               CAST(l_extendedprice AS FLOAT)::DOUBLE AS y FROM lineitem),

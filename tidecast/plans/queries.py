@@ -240,6 +240,13 @@ def score_gbt_stump(spark, sf):
     return rounded(score(test, models, EVENTS), 4, "PREDICTION")
 
 
+def score_gbt_small(spark, sf):
+    """Four trees of three levels per series, the largest that SQL grows in reasonable time."""
+    train, test = train_test(labelled_events(spark, sf))
+    models = fit_models(train, EVENTS, Boosted(rounds=4, depth=3), RUN_ID, VERSION, RUN_AT)
+    return rounded(score(test, models, EVENTS), 4, "PREDICTION")
+
+
 def train_long_series(spark, sf):
     """Few long series, fitted by aggregation and scored in parts, with a small task bound."""
     df = panels.tied_lines(spark, sf).select(
@@ -575,6 +582,7 @@ QUERIES = [
     score_gbt,
     eval_gbt,
     score_gbt_stump,
+    score_gbt_small,
     train_long_series,
     udtf_train,
     catalog_build,
