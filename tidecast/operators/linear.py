@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidecast.operators.learners import share
+from tidecast.session import materialize
 from tidecast.spec import PanelSpec
 
 
@@ -90,7 +91,7 @@ def predict_linear(rows: DataFrame, coef: DataFrame, spec: PanelSpec) -> DataFra
 def fit_linear(df: DataFrame, spec: PanelSpec) -> DataFrame:
     """One model row per series: bytes, metrics, status."""
     features = spec.features(df)
-    coef = solve(moments(df, spec, features), spec, len(features))
+    coef = materialize(solve(moments(df, spec, features), spec, len(features)), "coefficients")
     error = F.col(spec.target).cast("float").cast("double") - fitted_value(features)
     scored = df.join(coef.drop("MODEL_BINARY", "_importance"), spec.grain)
     quality = scored.groupBy(spec.grain).agg(

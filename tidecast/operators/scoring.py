@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -67,26 +67,25 @@ def _score_groups(rows, blobs, keys, spec, on_missing_model, learners):
     by_name = {learner.name: learner for learner in learners}
     outputs = [spec.grain, spec.time, spec.target]
 
-    def predict(part: pd.DataFrame, model: pd.DataFrame) -> pd.DataFrame:
-        if part.empty:
-            return pd.DataFrame(columns=[*outputs, "PREDICTION"])
-        if model.empty:
-            if on_missing_model == "error":
-                raise ValueError(f"No model found for partition: {part[spec.grain].iloc[0]}")
-            return pd.DataFrame(columns=[*outputs, "PREDICTION"])
-        stored = model.iloc[0]
+    def answer(part: pa.Table, values: np.ndarray) -> pa.Table:
+        return part.select(outputs).append_column("PREDICTION", pa.array(values, pa.float64()))
+
+    def predict(part: pa.Table, model: pa.Table) -> pa.Table:
+        if not model.num_rows and part.num_rows and on_missing_model == "error":
+            raise ValueError(f"No model found for partition: {part[spec.grain][0].as_py()}")
+        if not model.num_rows or not part.num_rows:
+            return answer(part.slice(0, 0), np.empty(0))
+        part = part.sort_by(spec.time)
+        stored = model.slice(0, 1).to_pylist()[0]
         learner = by_name[stored["ALGORITHM"]]
-        X = part[list(stored["FEATURE_COLS"])].to_numpy(np.float32)
-        part = part[outputs].assign(
-            PREDICTION=learner.predict(learner.load(stored["MODEL_BINARY"]), X)
-        )
-        return part.sort_values(spec.time, kind="stable")
+        X = np.column_stack([part[c].to_numpy() for c in stored["FEATURE_COLS"]])
+        return answer(part, learner.predict(learner.load(stored["MODEL_BINARY"]), X))
 
     n = task_count(rows.sparkSession)
     floats = [F.col(c).cast("float").alias(c) for c in spec.features(rows) if c != "_part"]
     left = rows.select(*dict.fromkeys([*keys, *outputs]), *floats).repartition(n, *keys)
     right = blobs.repartition(n, *keys)
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(predict, schema)
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(predict, schema)
 
 
 def registry_output(predictions: DataFrame, spec: PanelSpec) -> DataFrame:

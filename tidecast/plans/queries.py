@@ -169,8 +169,12 @@ def linreg_eval(spark, sf):
 # Training
 
 
-def linear_models(spark, sf):
-    return fit_models(split_train(spark, sf), EVENTS, Linear(), RUN_ID, VERSION, RUN_AT)
+def event_sides(spark, sf):
+    return train_test(labelled_events(spark, sf))
+
+
+def linear_models(train):
+    return fit_models(train, EVENTS, Linear(), RUN_ID, VERSION, RUN_AT)
 
 
 def flat_metrics(models: DataFrame) -> DataFrame:
@@ -188,17 +192,18 @@ def flat_metrics(models: DataFrame) -> DataFrame:
 
 
 def train_models_linear(spark, sf):
-    return flat_metrics(linear_models(spark, sf))
+    return flat_metrics(linear_models(split_train(spark, sf)))
 
 
 def metrics_by_feature(spark, sf):
-    return rounded(metrics_long(linear_models(spark, sf), EVENTS), 5, "IMPORTANCE")
+    return rounded(metrics_long(linear_models(split_train(spark, sf)), EVENTS), 5, "IMPORTANCE")
 
 
 def metrics_variant(spark, sf):
     """Metrics as a semi-structured value and read back by path."""
     value = F.to_variant_object("METRICS").alias("METRICS")
-    stored = materialize(linear_models(spark, sf).select("PARTITION_ID", value), "staging")
+    models = linear_models(split_train(spark, sf))
+    stored = materialize(models.select("PARTITION_ID", value), "staging")
     return stored.select(
         "PARTITION_ID",
         F.variant_get("METRICS", "$.TRAIN_ROWS", "bigint").alias("TRAIN_ROWS"),
@@ -235,14 +240,14 @@ def eval_gbt(spark, sf):
 
 def score_gbt_stump(spark, sf):
     """One tree with one split per series: small enough to be checked in SQL."""
-    train, test = train_test(labelled_events(spark, sf))
+    train, test = event_sides(spark, sf)
     models = fit_models(train, EVENTS, STUMP, RUN_ID, VERSION, RUN_AT)
     return rounded(score(test, models, EVENTS), 4, "PREDICTION")
 
 
 def score_gbt_small(spark, sf):
     """Four trees of three levels per series, the largest that SQL grows in reasonable time."""
-    train, test = train_test(labelled_events(spark, sf))
+    train, test = event_sides(spark, sf)
     models = fit_models(train, EVENTS, Boosted(rounds=4, depth=3), RUN_ID, VERSION, RUN_AT)
     return rounded(score(test, models, EVENTS), 4, "PREDICTION")
 
@@ -273,8 +278,8 @@ def udtf_train(spark, sf):
 # Catalog and registry
 
 
-def catalog_build(spark, sf):
-    rows = catalog.with_active(catalog.entries(linear_models(spark, sf), EVENTS, ROOT), EVENTS)
+def active_catalog(train):
+    rows = catalog.with_active(catalog.entries(linear_models(train), EVENTS, ROOT), EVENTS)
     return rows.select(
         "PARTITION_ID",
         "TRAINED_AT",
@@ -285,6 +290,10 @@ def catalog_build(spark, sf):
     )
 
 
+def catalog_build(spark, sf):
+    return active_catalog(split_train(spark, sf))
+
+
 def catalog_active_per_grain(spark, sf):
     versions = panels.version_log(spark, sf).select("PARTITION_ID", "TRAINED_AT", "MODEL_VERSION")
     return catalog.with_active(versions, EVENTS)
@@ -341,13 +350,14 @@ def catalog_without_artifact(spark, sf):
 
 
 def manifest_map(spark, sf):
-    maps = catalog.manifest(catalog_build(spark, sf), EVENTS)
+    maps = catalog.manifest(materialize(catalog_build(spark, sf), "catalog"), EVENTS)
     return maps.select(F.explode("PATHS").alias("PARTITION_ID", "STAGE_PATH"))
 
 
 def rows_to_score(spark, sf):
-    ready = catalog_build(spark, sf).filter(F.col("TRAIN_ROWS") >= MIN_TRAIN_ROWS)
-    return catalog.rows_to_score(split_test(spark, sf), ready, EVENTS)
+    train, test = event_sides(spark, sf)
+    ready = active_catalog(train).filter(F.col("TRAIN_ROWS") >= MIN_TRAIN_ROWS)
+    return catalog.rows_to_score(test, ready, EVENTS)
 
 
 def registry_default_version(spark, sf):
@@ -372,41 +382,43 @@ def registry_conform(spark, sf):
 # Scoring
 
 
-def ready_models(spark, sf):
-    return linear_models(spark, sf).filter(F.col("METRICS.TRAIN_ROWS") >= MIN_TRAIN_ROWS)
+def ready_models(train):
+    return linear_models(train).filter(F.col("METRICS.TRAIN_ROWS") >= MIN_TRAIN_ROWS)
 
 
 def score_drop_missing(spark, sf):
-    return rounded(score(split_test(spark, sf), ready_models(spark, sf), EVENTS), 5, "PREDICTION")
+    train, test = event_sides(spark, sf)
+    return rounded(score(test, ready_models(train), EVENTS), 5, "PREDICTION")
 
 
 def score_strict(spark, sf):
-    models = linear_models(spark, sf)
-    return rounded(score(split_test(spark, sf), models, EVENTS, "error"), 5, "PREDICTION")
+    train, test = event_sides(spark, sf)
+    return rounded(score(test, linear_models(train), EVENTS, "error"), 5, "PREDICTION")
 
 
-def registry_answers(spark, sf):
-    rows = split_test(spark, sf).drop("TARGET")
-    return registry_output(score(rows, linear_models(spark, sf), EVENTS, "error"), EVENTS)
+def registry_answers(train, test):
+    return registry_output(score(test.drop("TARGET"), linear_models(train), EVENTS, "error"), EVENTS)
 
 
 def score_registry(spark, sf):
-    answers = registry_answers(spark, sf)
+    answers = registry_answers(*event_sides(spark, sf))
     return answers.withColumn("PRED_TARGET", F.round(F.col("PRED_TARGET").cast("double"), 3))
 
 
 def predictions_join_actuals(spark, sf):
-    joined = join_actuals(registry_answers(spark, sf), split_test(spark, sf), EVENTS)
+    train, test = event_sides(spark, sf)
+    joined = join_actuals(registry_answers(train, test), test, EVENTS)
     return joined.withColumn("PREDICTION", F.round(F.col("PREDICTION").cast("double"), 3))
 
 
 def missing_models(spark, sf):
-    return missing_model_rows(split_test(spark, sf), ready_models(spark, sf), EVENTS)
+    train, test = event_sides(spark, sf)
+    return missing_model_rows(test, ready_models(train), EVENTS)
 
 
 def eval_linear(spark, sf):
-    scored = score(split_test(spark, sf), linear_models(spark, sf), EVENTS)
-    return rounded(evaluate(scored, EVENTS), 5, "MAE", "RMSE")
+    train, test = event_sides(spark, sf)
+    return rounded(evaluate(score(test, linear_models(train), EVENTS), EVENTS), 5, "MAE", "RMSE")
 
 
 def sample_predictions(spark, sf):
