@@ -24,16 +24,19 @@ def long_series(rows: DataFrame, grain: str, max_task_rows: int) -> tuple[DataFr
 def in_parts(rows: DataFrame, grain: str, max_task_rows: int) -> tuple[DataFrame, DataFrame | None, DataFrame]:
     """Rows of short series, rows of long ones with their ``_part``, and the table of long series.
 
-    The parts come from a round-robin shuffle, which Spark repeats exactly after a lost
+    Rows without a series count as one series. The parts come from a round-robin shuffle, which Spark repeats exactly after a lost
     task and which also spreads exact copies of one row.
     """
     large, most = long_series(rows, grain, max_task_rows)
     if not most:
         return rows, None, large
+    named = large.select(F.col(grain).alias("_series"), "_parts")
+    same = F.col(grain).eqNullSafe(F.col("_series"))
     spread = (
-        rows.join(large.select(grain, "_parts"), grain)
+        rows.join(named, same)
+        .drop("_series")
         .repartition(max(most, task_count(rows.sparkSession)))
         .withColumn("_part", F.pmod(F.spark_partition_id(), F.col("_parts")))
         .drop("_parts")
     )
-    return rows.join(large, grain, "left_anti"), spread, large
+    return rows.join(named, same, "left_anti"), spread, large

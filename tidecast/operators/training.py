@@ -93,7 +93,7 @@ def fit_models(
         F.lit(learner.name).alias("ALGORITHM"),
         names.alias("FEATURE_COLS"),
         "MODEL_BINARY",
-        F.lit(trained_at).cast("timestamp_ntz").alias("TRAINED_AT"),
+        F.lit(trained_at.isoformat(sep=" ")).cast("timestamp_ntz").alias("TRAINED_AT"),
         F.col("METRICS").cast(METRICS).alias("METRICS"),
         "STATUS",
         "ERROR",
