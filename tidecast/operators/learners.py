@@ -92,10 +92,11 @@ class Boosted:
         ``totals`` are the rows and the gradient sum of each node, ``missing`` the bins of
         missing values, if there are any.
         """
-        start, at = np.cumsum(counts) - counts, np.repeat(np.arange(len(counts)), counts)
-        left_g = np.cumsum(g, axis=1) - (np.cumsum(totals) - totals)[at]
-        left_h = np.arange(1.0, len(at) + 1) - start[at]
-        total_g, total_h = totals[at], counts[at].astype(float)
+        start, at = counts.cumsum() - counts, np.arange(len(counts)).repeat(counts)
+        left_g = g.cumsum(axis=1) - (totals.cumsum() - totals).take(at)
+        row = np.arange(len(at))
+        left_h = row + 1.0 - start.take(at)
+        total_g, total_h = totals.take(at), counts.take(at).astype(float)
         may_cut = np.ones(bins.shape, dtype=bool)
         np.not_equal(bins[:, 1:], bins[:, :-1], out=may_cut[:, :-1])
 
@@ -117,8 +118,7 @@ class Boosted:
         score = (score - total_g * total_g / (total_h + self.l2)).astype(np.float32)
         by_feature = np.maximum.reduceat(score, start, axis=1)
         feature, top = by_feature.argmax(axis=0), by_feature.max(axis=0)
-        row = np.arange(len(at))
-        is_top = score.take(feature[at] * len(at) + row) == top[at]
+        is_top = score.take(feature.take(at) * len(at) + row) == top.take(at)
         place = np.minimum.reduceat(np.where(is_top, row, len(at)), start)
         left = np.zeros(len(top), bool) if miss_left is None else miss_left[feature, place]
         ok = top > self.min_gain
@@ -151,7 +151,7 @@ class Boosted:
             node = np.zeros(n, dtype=np.uint16)
             for d in range(self.depth):
                 counts, totals = np.bincount(node), np.bincount(node, g)
-                there = np.flatnonzero(counts)
+                there = counts.nonzero()[0]
                 best = self.best_splits(
                     g.take(order), bins.take(order + lane), some_missing, counts[there], totals[there]
                 )
@@ -159,9 +159,9 @@ class Boosted:
                 feat[t, level], cut[t, level], miss[t, level], gains[t, level] = best
                 f, k = (np.empty(2**d, dtype=np.intp) for _ in range(2))
                 f[there], k[there] = best[:2]
-                own_f = f[node]
+                own_f = f.take(node)
                 own = bins.take(own_f * n + rows, mode="wrap")
-                right = own > k[node]
+                right = own > k.take(node)
                 if some_missing is not None:
                     right = np.where(own == missing[own_f], ~miss[t, node + np.intp(2**d - 1)], right)
                 node = 2 * node + (right & (own_f >= 0))

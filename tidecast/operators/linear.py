@@ -77,9 +77,13 @@ def fitted_value(features: list[str]):
 
 
 def coefficients(df: DataFrame, spec: PanelSpec) -> DataFrame:
-    """``_coef`` of each series: intercept first, then one entry per feature."""
+    """``_coef`` of each series: intercept first, then one entry per feature.
+
+    Stored, so that a join knows how small it is and leaves the rows where they are.
+    """
     features = spec.features(df)
-    return solve(moments(df, spec, features), spec, len(features)).select(spec.grain, "_coef")
+    solved = solve(moments(df, spec, features), spec, len(features))
+    return materialize(solved.select(spec.grain, "_coef"), "coefficients")
 
 
 def predict_linear(rows: DataFrame, coef: DataFrame, spec: PanelSpec) -> DataFrame:
