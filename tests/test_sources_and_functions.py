@@ -146,6 +146,22 @@ def test_weekday_and_season(spark):
     assert [tuple(r) for r in got] == [(5 / 6, 1.1), (0.0, 1.0)]
 
 
+def test_elapsed_time_ignores_the_session_time_zone(spark):
+    pairs = [
+        (dt.datetime(2024, 3, 9, 12), dt.datetime(2024, 3, 10, 12, 0, 0, 250_000)),
+        (dt.datetime(2024, 1, 2), dt.datetime(2024, 1, 1, 23, 59, 58, 500_000)),
+    ]
+    df = spark.createDataFrame(pairs, "a timestamp_ntz, b timestamp_ntz")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            got = [r[0] for r in df.select(calendar.seconds_between(F.col("a"), F.col("b"))).collect()]
+            assert got == [86400.25, -1.5]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_credits(spark):
     t = dt.datetime(2024, 1, 1)
     runs = spark.createDataFrame(

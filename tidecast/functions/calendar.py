@@ -58,7 +58,16 @@ def time_bucket(time: Column, unit: str) -> Column:
     return F.coalesce(buckets[unit], F.lit(NO_TIME_BUCKET))
 
 
+def micros_between(start: Column, end: Column) -> Column:
+    """Elapsed microseconds, whatever the time zone of the session."""
+    elapsed = end.cast("timestamp_ntz") - start.cast("timestamp_ntz")
+    day, hour, minute, second = (
+        F.extract(F.lit(part), elapsed) for part in ("DAY", "HOUR", "MINUTE", "SECOND")
+    )
+    whole = ((day.cast("long") * 24 + hour) * 60 + minute) * 60
+    return whole * 1_000_000 + (second * 1_000_000).cast("long")
+
+
 def seconds_between(start: Column, end: Column) -> Column:
     """Elapsed seconds with their fraction."""
-    micros = [F.unix_micros(c.cast("timestamp")) for c in (start, end)]
-    return (micros[1] - micros[0]) / F.lit(1e6)
+    return micros_between(start, end) / F.lit(1e6)

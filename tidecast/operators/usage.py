@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidecast.functions.calendar import micros_between
+
 # Credits per node and hour of each instance family.
 INSTANCE_FAMILY_RATES = {
     "CPU_X64_XS": 0.06,
@@ -117,17 +119,12 @@ def warehouse_credits(query_log: DataFrame, *by: str) -> DataFrame:
     return warehouse_units(query_log, *by).select(*by, credits(F.col("UNITS")).alias("CREDITS"))
 
 
-def run_micros() -> Column:
-    ended, started = (F.unix_micros(F.col(c).cast("timestamp")) for c in ("ENDED", "STARTED"))
-    return ended - started
-
-
 def container_runs(run_log: DataFrame) -> DataFrame:
     """``run_log`` plus MICROS and UNITS; only the container route costs container credits."""
     cost = units(F.col("MICROS"), F.col("RATE"), F.col("NODES"))
     return (
         priced(run_log, INSTANCE_FAMILY_RATES, "INSTANCE_FAMILY")
-        .withColumn("MICROS", run_micros())
+        .withColumn("MICROS", micros_between(F.col("STARTED"), F.col("ENDED")))
         .withColumn("UNITS", F.when(F.col("ROUTE") == "container", cost).otherwise(F.lit(0)).cast("decimal(38,0)"))
         .drop("RATE")
     )
