@@ -82,6 +82,7 @@ def _print_series(words: int, width: int) -> Callable:
     def run(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: fingerprint((t or "").encode(), words, width))
 
+    run.__annotations__ = {"texts": pd.Series, "return": pd.Series}
     return run
 
 
