@@ -45,20 +45,14 @@ def run_hashes(words: np.ndarray, window: int, base: np.uint64) -> np.ndarray:
 
 
 def pack(array: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(array.tobytes())
+    """64-bit numbers as compressed steps, byte plane by byte plane."""
+    steps = np.diff(array.astype(np.int64), prepend=0)
+    return zstandard.ZstdCompressor(level=1).compress(steps.view(np.uint8).reshape(-1, 8).T.tobytes())
 
 
-def unpack(data: bytes, kind: type) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), kind)
-
-
-def _steps(positions: np.ndarray) -> bytes:
-    return pack(np.diff(positions, prepend=0).astype(np.uint32).view(np.uint8).reshape(-1, 4).T.copy())
-
-
-def _positions(data: bytes) -> np.ndarray:
-    steps = unpack(data, np.uint8).reshape(4, -1).T.copy().view(np.uint32).ravel()
-    return np.cumsum(steps, dtype=np.int64)
+def unpack(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.int64).ravel())
 
 
 class Piece:
@@ -92,18 +86,11 @@ def _not_least(group: np.ndarray, ids: np.ndarray) -> np.ndarray:
     return ids > ids[np.maximum.accumulate(np.where(first, np.arange(len(ids)), 0))]
 
 
-def _row(piece: Piece, block: int, at: np.ndarray, hashes: np.ndarray | None) -> dict:
-    docs = np.unique(np.searchsorted(piece.before, at, "right") - 1)
-    table = np.stack([piece.ids[docs], piece.keys[docs], piece.before[docs], piece.before[docs + 1]])
-    name = xxhash.xxh64_intdigest(piece.ids.tobytes() + piece.keys.tobytes()) >> 1
-    packed = b"" if hashes is None else hashes.view(np.uint8).reshape(-1, 8)[:, 1:].tobytes()
-    return {"block": block, "piece": name, "docs": pack(table), "at": _steps(at), "hashes": packed}
-
-
 PACKS = pa.schema(
-    [("block", pa.int32()), ("piece", pa.int64()), ("docs", pa.binary()), ("at", pa.binary()), ("hashes", pa.binary())]
-)
-PACKS_DDL = "block int, piece long, docs binary, at binary, hashes binary"
+    [("block", pa.int32()), ("piece", pa.int64()), ("ids", pa.binary()), ("starts", pa.binary()), ("keys", pa.binary()),
+     ("at", pa.binary()), ("hashes", pa.binary())]
+)
+PACKS_DDL = "block int, piece long, ids binary, starts binary, keys binary, at binary, hashes binary"
 
 
 def _rows(rows: list[dict]) -> pa.RecordBatch:
@@ -111,7 +98,8 @@ def _rows(rows: list[dict]) -> pa.RecordBatch:
 
 
 def _cut(blocks: int, window: int) -> Callable:
-    """Packs of runs for each block; those settled inside a piece come without hashes."""
+    """For each piece one row with its documents and the runs settled inside, and a pack of runs,
+    with the documents they begin in, for each block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_pieces(batches, "_text", PACK_BYTES):
@@ -119,16 +107,20 @@ def _cut(blocks: int, window: int) -> Callable:
             piece = Piece(ids, keys, batch.column(2), window)
             if not len(piece.at):
                 continue
+            name = xxhash.xxh64_intdigest(ids.tobytes() + keys.tobytes()) >> 1
             later = piece.repeats()
             block = piece.block % blocks
-            rows = []
-            if later.any():
-                rows.append(_row(piece, int(piece.block[0]) % blocks, piece.at[later], None))
+            docs = {"ids": pack(ids), "starts": pack(piece.before), "keys": keys.tobytes()}
+            rows = [{"block": int(block[0]), "piece": name, "at": pack(piece.at[later]), **docs}]
             open_ = np.flatnonzero(~later)
             order = open_[np.argsort(block[open_], kind="stable")]
-            found, starts = np.unique(block[order], return_index=True)
-            for b, part in zip(found.tolist(), np.split(order, starts[1:])):
-                rows.append(_row(piece, b, piece.at[part], piece.hash[part]))
+            found, firsts = np.unique(block[order], return_index=True)
+            for b, part in zip(found.tolist(), np.split(order, firsts[1:])):
+                own = np.unique(piece.doc[part])
+                rows.append({
+                    "block": b, "piece": name, "ids": pack(ids[own]), "starts": pack(piece.before[own]), "at": pack(piece.at[part]),
+                    "hashes": piece.hash[part].view(np.uint8).reshape(-1, 8)[:, 1:].tobytes(),
+                })
             yield _rows(rows)
 
     return run
@@ -139,17 +131,16 @@ def _look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: list[dict] = []
     for batch in batches:
         rows = batch.to_pylist()
-        settled = [r for r in rows if not r["hashes"]]
-        held += [r for r in rows if r["hashes"]]
-        if settled:
-            yield _rows(settled)
+        pieces = [r for r in rows if r["keys"] is not None]
+        held += [r for r in rows if r["keys"] is None]
+        if pieces:
+            yield _rows(pieces)
     if not held:
         return
-    at = [_positions(r["at"]) for r in held]
+    at = [unpack(r["at"]) for r in held]
     hashes, ids = [], []
     for r, a in zip(held, at):
-        table = unpack(r["docs"], np.int64).reshape(4, -1)
-        ids.append(table[0][np.searchsorted(table[2], a, "right") - 1])
+        ids.append(unpack(r["ids"])[np.searchsorted(unpack(r["starts"]), a, "right") - 1])
         low = np.zeros((len(a), 8), np.uint8)
         low[:, 1:] = np.frombuffer(r["hashes"], np.uint8).reshape(-1, 7)
         hashes.append(low.view(np.uint64).ravel())
@@ -159,10 +150,8 @@ def _look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     later = np.zeros(len(whole), bool)
     changes = np.r_[False, block[order][1:] != block[order][:-1]].cumsum().astype(np.uint64)
     later[order] = _not_least(whole[order] ^ mix(changes), id_[order])
-    out = []
-    for r, a, hit in zip(held, at, np.split(later, np.cumsum([len(a) for a in at])[:-1])):
-        if hit.any():
-            out.append({**r, "at": _steps(a[hit]), "hashes": b""})
+    found = np.split(later, np.cumsum([len(a) for a in at])[:-1])
+    out = [{"block": r["block"], "piece": r["piece"], "at": pack(a[hit])} for r, a, hit in zip(held, at, found) if hit.any()]
     for k in range(0, len(out), 64):
         yield _rows(out[k : k + 64])
 
@@ -180,17 +169,17 @@ def _by_document(window: int) -> Callable:
     """The factors of each document of one piece."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        starts: dict[tuple[int, int], list[np.ndarray]] = {}
-        for docs, at in zip(rows["docs"], rows["at"]):
-            table, a = unpack(docs, np.int64).reshape(4, -1), _positions(at)
-            ends = np.searchsorted(a, table[3], "left")
-            for k, (i, key, first) in enumerate(zip(*table[:3].tolist())):
-                own = a[ends[k - 1] if k else 0 : ends[k]]
-                if len(own):
-                    starts.setdefault((i, key), []).append(own - first)
+        whole = rows[rows["keys"].notna()]
+        if not len(whole):
+            raise RuntimeError("the table was read in another order; write it before it is deduplicated")
+        piece = whole.iloc[0]
+        ids, starts, keys = unpack(piece["ids"]), unpack(piece["starts"]), np.frombuffer(piece["keys"], np.int64)
+        at = np.unique(np.concatenate([unpack(a) for a in rows["at"]]))
+        cuts = np.searchsorted(at, starts)
         made = [
-            (i, key, factors(np.unique(np.concatenate(a)), window).astype(np.int32).tobytes())
-            for (i, key), a in starts.items()
+            (i, key, factors(at[a:b] - first, window).astype(np.int32).tobytes())
+            for i, key, first, a, b in zip(ids.tolist(), keys.tolist(), starts.tolist(), cuts.tolist(), cuts[1:].tolist())
+            if a < b
         ]
         return pd.DataFrame(made, columns=["_order", "_key", "spans"])
 

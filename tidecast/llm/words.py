@@ -72,12 +72,13 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
     return np.cumprod(out, dtype=np.uint64)
 
 
-def word_hashes(raw: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the bytes of each word."""
-    if not len(first):
-        return np.zeros(0, np.uint64)
-    sizes = end - first
-    row = np.cumsum(sizes) - sizes
-    inside = np.arange(int(sizes.sum())) - np.repeat(row, sizes)
-    values = _BYTE[raw[inside + np.repeat(first, sizes)]] * powers(_STEP, int(sizes.max()))[inside]
-    return mix(np.add.reduceat(values, row) + sizes.astype(np.uint64))
+def word_hashes(raw: np.ndarray, first: np.ndarray, end: np.ndarray, step: int = 1 << 17) -> np.ndarray:
+    """A 64-bit hash of the bytes of each word; ``step`` words at a time bound the memory."""
+    out = np.zeros(len(first), np.uint64)
+    for k in range(0, len(first), step):
+        begins, sizes = first[k : k + step], end[k : k + step] - first[k : k + step]
+        row = np.cumsum(sizes) - sizes
+        inside = np.arange(int(sizes.sum())) - np.repeat(row, sizes)
+        values = _BYTE[raw[inside + np.repeat(begins, sizes)]] * powers(_STEP, int(sizes.max()))[inside]
+        out[k : k + step] = mix(np.add.reduceat(values, row) + sizes.astype(np.uint64))
+    return out
