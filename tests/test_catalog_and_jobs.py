@@ -117,7 +117,7 @@ def test_training_and_inference_end_to_end(spark, learner):
     assert active["P0000"] == "v20240303_1230" and active["P0003"] == "v20240302_1230"
     run_inference(ws, test, SPEC, source="catalog", at=AT + dt.timedelta(days=1))
     assert spark.table("PREDICTIONS").count() == 20
-    with pytest.raises(Exception, match="No model found for partition"):
+    with pytest.raises(Exception, match="no model"):
         run_inference(ws, test, SPEC, at=AT + dt.timedelta(days=2))
 
     log = spark.createDataFrame(
@@ -143,3 +143,11 @@ def test_table_function_equals_grouped_regression(spark, max_task_rows):
         mine = got[r.PARTITION_ID]
         assert (mine.TRAIN_ROWS, mine.FIRST_TS, mine.LAST_TS) == (r.n, r.a, r.b)
         assert mine.SLOPE == pytest.approx(r.s, rel=1e-4)
+
+
+def test_runs_of_one_minute_keep_apart(spark):
+    ws = Workspace(spark, scratch_path(spark, "workspace"))
+    table = generated(spark)
+    runs = {run_training(ws, table, SPEC, Linear()) for _ in range(2)}
+    assert len(runs) == 2
+    assert all(ws.table("models", r).count() == 4 for r in runs)

@@ -113,7 +113,7 @@ def test_fixed_steps(spark, step, delta):
 
 def test_spine_rejects_unknown_steps_and_takes_none(spark):
     assert spine_of(spark, dt.datetime(2024, 1, 1), "day", 0) == []
-    with pytest.raises(ValueError, match="Invalid timestep 'year'"):
+    with pytest.raises(ValueError, match="cannot step by 'year'"):
         spine_of(spark, dt.datetime(2024, 1, 1), "year", 1)
 
 
@@ -190,3 +190,20 @@ def test_credits(spark):
 
 def test_bounds_are_finite():
     assert 0 < MAX_TASK_ROWS <= 10_000_000
+
+
+def test_clock_changes_do_not_disturb_order_or_duration(spark):
+    from pyspark.sql import functions as F
+
+    from tidecast.functions.calendar import micros_between, time_bucket
+
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        start = F.timestamp_seconds(F.lit(1730608200))  # the clocks go back within the next two hours
+        rows = spark.range(16).select(F.timestamp_seconds(F.lit(1730608200) + 600 * F.col("id")).alias("t"), "id")
+        got = rows.select("id", time_bucket(F.col("t"), "minute").alias("b"), micros_between(start, F.col("t")).alias("m")).orderBy("id").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert [r.b - got[0].b for r in got] == [10 * k for k in range(16)]
+    assert [r.m for r in got] == [600_000_000 * k for k in range(16)]

@@ -176,7 +176,7 @@ def test_own_learner_error_rows_and_policies(spark):
     assert kept.columns == ["PARTITION_ID", "TS", "TARGET", "PREDICTION"]
     assert kept.count() == 60
     assert missing_model_rows(df, models, SPEC).count() == 4
-    with pytest.raises(Exception, match="No model found for partition: tiny"):
+    with pytest.raises(Exception, match="series tiny has rows to score but no model"):
         score(df, models, SPEC, "error", learners=(Average(),)).count()
     with pytest.raises(ValueError):
         score(df, models, SPEC, "guess")

@@ -33,7 +33,7 @@ def weekday_effect(time: Column) -> Column:
 
 def check_timestep(step: str) -> str:
     if step not in TIMESTEPS:
-        raise ValueError(f"Invalid timestep '{step}'. Must be one of: {list(TIMESTEPS)}")
+        raise ValueError(f"cannot step by '{step}', only by {', '.join(TIMESTEPS)}")
     return step
 
 
@@ -42,16 +42,23 @@ def step_from(origin: Column, step: str, n: Column) -> Column:
     return F.timestamp_add(check_timestep(step).upper(), n, origin)
 
 
+def _is_zoned(time: Column) -> Column:
+    return F.typeof(time) == "timestamp"
+
+
 def time_bucket(time: Column, unit: str) -> Column:
     """A whole number that grows with time, one value per calendar unit."""
     day = F.unix_date(F.to_date(time)).cast("long")
-    hour = day * 24 + F.hour(time)
+    # Hours of a zoned time repeat when clocks go back, so those count from the epoch.
+    minute = F.when(
+        _is_zoned(time), F.floor(F.unix_micros(time.cast("timestamp")) / F.lit(60_000_000)).cast("long")
+    ).otherwise((day * 24 + F.hour(time)) * 60 + F.minute(time))
     buckets = {
         "year": F.year(time).cast("long"),
         "month": F.year(time).cast("long") * 12 + F.month(time),
         "day": day,
-        "hour": hour,
-        "minute": hour * 60 + F.minute(time),
+        "hour": F.floor(minute / F.lit(60)).cast("long"),
+        "minute": minute,
     }
     if unit not in buckets:
         raise ValueError(f"unknown bucket '{unit}', expected one of {list(buckets)}")
@@ -65,7 +72,9 @@ def micros_between(start: Column, end: Column) -> Column:
         F.extract(F.lit(part), elapsed) for part in ("DAY", "HOUR", "MINUTE", "SECOND")
     )
     whole = ((day.cast("long") * 24 + hour) * 60 + minute) * 60
-    return whole * 1_000_000 + (second * 1_000_000).cast("long")
+    local = whole * 1_000_000 + (second * 1_000_000).cast("long")
+    exact = F.unix_micros(end.cast("timestamp")) - F.unix_micros(start.cast("timestamp"))
+    return F.when(_is_zoned(start) & _is_zoned(end), exact).otherwise(local)
 
 
 def seconds_between(start: Column, end: Column) -> Column:

@@ -53,9 +53,12 @@ def solve(sums: DataFrame, spec: PanelSpec, width: int) -> DataFrame:
         square = np.zeros((width + 1, width + 1))
         square[upper] = cov
         square = np.triu(square) + np.triu(square, 1).T
-        beta = np.linalg.pinv(square[:width, :width], hermitian=True) @ square[:width, width]
-        coef = np.concatenate([[mean[width] - beta @ mean[:width]], beta])
         spread = np.sqrt(np.maximum(np.diag(square)[:width], 0))
+        # Correlations, so that features of very different scale count alike.
+        scale = np.where(spread > 0, spread, 1.0)
+        related = square[:width, :width] / np.outer(scale, scale)
+        beta = np.linalg.pinv(related, hermitian=True) @ (square[:width, width] / scale) / scale
+        coef = np.concatenate([[mean[width] - beta @ mean[:width]], beta])
         return coef, share(np.abs(beta) * spread), coef.tobytes()
 
     def run(batches):

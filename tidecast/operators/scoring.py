@@ -68,11 +68,13 @@ def _score_groups(rows, blobs, keys, spec, on_missing_model, learners):
     outputs = [spec.grain, spec.time, spec.target]
 
     def answer(part: pa.Table, values: np.ndarray) -> pa.Table:
-        return part.select(outputs).append_column("PREDICTION", pa.array(values, pa.float64()))
+        return part.select(outputs).append_column("PREDICTION", pa.array(values, pa.float64(), from_pandas=True))
 
     def predict(part: pa.Table, model: pa.Table) -> pa.Table:
         if not model.num_rows and part.num_rows and on_missing_model == "error":
-            raise ValueError(f"No model found for partition: {part[spec.grain][0].as_py()}")
+            raise ValueError(f"series {part[spec.grain][0].as_py()} has rows to score but no model")
+        if model.num_rows > 1 and part.num_rows:
+            raise ValueError(f"series {part[spec.grain][0].as_py()} has {model.num_rows} models to choose from")
         if not model.num_rows or not part.num_rows:
             return answer(part.slice(0, 0), np.empty(0))
         part = part.sort_by(spec.time)

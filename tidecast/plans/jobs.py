@@ -7,6 +7,7 @@ output and nothing else, and no job overwrites a table it reads.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +31,11 @@ def utc_now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 
 
+def unique_end(at: dt.datetime | None) -> str:
+    """What tells runs of one minute apart; nothing for a run whose time is given."""
+    return "" if at else f"_{uuid.uuid4().hex[:8]}"
+
+
 class Workspace:
     """Tables of a project: ``split``, ``models``, ``catalog``, ``registry``, ``predictions``, ``run_log``."""
 
@@ -40,6 +46,7 @@ class Workspace:
         return f"{self.root}/{table}" + (f"/RUN={run_id}" if run_id else "")
 
     def save(self, df: DataFrame, table: str, run_id: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+        """Writes one run of a table; only the same run, begun at a given time, replaces it."""
         path = self.path(table, run_id)
         df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
@@ -72,8 +79,8 @@ def run_training(
 ) -> str:
     """Split, fit, catalogue and register; returns the run id."""
     started = utc_now()
-    at = at or started
-    version, (run_id, _) = version_of(at), run_ids_of(at)
+    end, at = unique_end(at), at or started
+    version, run_id = version_of(at), run_ids_of(at)[0] + end
     spark = ws.spark
     spark.addTag(run_id)
     try:
@@ -116,7 +123,7 @@ def run_inference(
     active model and a series without one is left out.
     """
     started = utc_now()
-    _, run_id = run_ids_of(at or started)
+    run_id = run_ids_of(at or started)[1] + unique_end(at)
     ws.spark.addTag(run_id)
     try:
         if source == "registry":

@@ -23,6 +23,8 @@ def build_session(
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # A hot series is split in a join even if a grouping above it then needs a shuffle.
+        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
         # Listing one folder per series must not cost one task per series.
