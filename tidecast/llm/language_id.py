@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidecast.llm.words import in_pieces
+from tidecast.session import materialize
 
 SAMPLE = 300  # labelled documents of each language that are learned from, at most
 FEATURES = 1 << 12  # hashed n-grams of one to three bytes
@@ -118,16 +119,30 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], names=["_lang", "_x"])
 
 
+def _sample(ids: DataFrame) -> DataFrame:
+    """_p and _l: SAMPLE different ids of each language, those with the smallest hash.
+
+    A share of the hash range that holds about four times as many is ranked, so what is ranked does
+    not grow with the table.
+    """
+    sizes = ids.groupBy(F.col("_lang").alias("_l")).agg((F.approx_count_distinct("_id") + 1).alias("_size"))
+    sizes = materialize(sizes, "languages")
+    place = F.pmod(F.xxhash64("_id"), F.lit(1 << 31))
+    low = place * (F.col("_size") / (1 << 31)) < 4 * SAMPLE
+    near = ids.join(sizes, F.col("_lang") == F.col("_l")).filter(low).select(F.col("_id").alias("_p"), "_l", place.alias("_place"))
+    order = Window.partitionBy("_l").orderBy("_place", "_p")
+    return near.distinct().withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= SAMPLE).select("_p", "_l")
+
+
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
     """Learns from labelled texts of folds 0 and 2, SAMPLE of each language, by hash of the id."""
     known = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (fold(id_col) != 1)).select(
         F.col(id_col).alias("_id"), F.col(lang_col).cast("string").alias("_lang"), F.col(text_col).alias("_text")
     )
-    order = Window.partitionBy("_lang").orderBy(F.xxhash64("_id"), "_id")
-    picked = known.select("_id", "_lang").withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= SAMPLE)
-    picked = picked.select(F.col("_id").alias("_p"), F.col("_lang").alias("_l"), "_n")
-    # At most SAMPLE ids of each language.
+    picked = _sample(materialize(known.select("_id", "_lang"), "labelled"))
+    # At most SAMPLE ids of each language; of texts that share an id, the smallest.
     chosen = known.join(F.broadcast(picked), F.col("_id").eqNullSafe(F.col("_p")) & (F.col("_lang") == F.col("_l")))
+    chosen = chosen.groupBy("_lang", "_id").agg(F.min("_text").alias("_text"))
     rows = (
         chosen.select("_lang", F.col("_text").cast("string").cast("binary").alias("_text"))
         .mapInArrow(_vectors, "_lang string, _x binary")
