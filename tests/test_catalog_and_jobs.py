@@ -9,7 +9,9 @@ from tidecast.operators.generate import feature_table, scaffold, summary
 from tidecast.operators.learners import Boosted, Linear
 from tidecast.operators.scoring import evaluate
 from tidecast.operators.table_function import train_by_table_function
-from tidecast.plans.jobs import Workspace, cost, preview, run_inference, run_training, test_errors
+from tidecast.plans.jobs import (
+    Workspace, active_models, cost, preview, run_inference, run_training, set_default, test_errors,
+)
 from tidecast.session import materialize, scratch_path
 from tidecast.spec import PanelSpec
 
@@ -151,3 +153,24 @@ def test_runs_of_one_minute_keep_apart(spark):
     runs = {run_training(ws, table, SPEC, Linear()) for _ in range(2)}
     assert len(runs) == 2
     assert all(ws.table("models", r).count() == 4 for r in runs)
+
+
+def test_names_defaults_and_failures(spark):
+    ws = Workspace(spark, scratch_path(spark, "workspace"))
+    table = generated(spark, series=2)
+    first = run_training(ws, table, SPEC, Linear(), at=AT, model_name="a")
+    second = run_training(ws, table, SPEC, Linear(), at=AT + dt.timedelta(days=1), model_name="a")
+    run_training(ws, table, SPEC, Linear(), at=AT + dt.timedelta(days=2), model_name="b")
+    assert {r.RUN_ID for r in active_models(ws, SPEC, "a").collect()} == {second}
+    assert registry.resolve(ws.table("registry"), "a")["RUN_ID"] == second
+    set_default(ws, "a", "v20240302_1230")
+    assert registry.resolve(ws.table("registry"), "a")["RUN_ID"] == first
+    text_rows = table.withColumn("FEATURE_1", F.col("FEATURE_1").cast("string"))
+    run_id = run_inference(ws, text_rows, SPEC, model_name="a", at=AT)
+    assert ws.table("predictions", run_id).count() == table.count()
+    with pytest.raises(RuntimeError, match="2 of 2 series have no model"):
+        run_training(ws, table.withColumn("TARGET", F.lit(None).cast("double")), SPEC, Boosted(rounds=1), at=AT, model_name="c")
+    with pytest.raises(ValueError, match="no model 'c'"):
+        registry.resolve(ws.table("registry"), "c")
+    log = spark.createDataFrame([], "QUERY_TAG string, WAREHOUSE_SIZE string, EXECUTION_TIME long")
+    assert {r.JOB for r in cost(ws, log, [first]).collect()} == {"Training", "Total"}

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from tidecast.functions import calendar, text
 from tidecast.operators import generate, usage
-from tidecast.session import MAX_TASK_ROWS, scratch_path
+from tidecast.plans.jobs import RUN_LOG
+from tidecast.session import scratch_path
 from tidecast.sources import staging
 from tidecast.sources.tables import Namespace, feature_schema, prediction_schema
 from tidecast.spec import PanelSpec
@@ -188,8 +189,15 @@ def test_credits(spark):
     assert rows["Total"].TOTAL_CREDITS == pytest.approx(5.901132, abs=1e-6)
 
 
-def test_bounds_are_finite():
-    assert 0 < MAX_TASK_ROWS <= 10_000_000
+def test_rates_keep_their_digits_and_mixed_setups_show(spark):
+    start = dt.datetime(2024, 1, 1)
+    runs = spark.createDataFrame(
+        [("r1", "Training", "container", "own", n, start, start + dt.timedelta(hours=1)) for n in (1, 2)], RUN_LOG
+    )
+    log = spark.createDataFrame([], "JOB string, WAREHOUSE_SIZE string, EXECUTION_TIME long")
+    row = {r.JOB: r for r in usage.summary(runs, log, {"own": 0.065}).collect()}["Training"]
+    assert row.CONTAINER_CREDITS == 0.195
+    assert {r.JOB: (r.INSTANCE_FAMILY, r.NODES) for r in usage.overview(runs, log).collect()}["Training"] == ("own", "-")
 
 
 def test_clock_changes_do_not_disturb_order_or_duration(spark):

@@ -107,3 +107,15 @@ def test_counts_join_split(spark):
     named = df.filter(F.col("PARTITION_ID").isNotNull())
     both = labelled.drop("IS_TRAIN")
     assert both.exceptAll(named).isEmpty() and named.exceptAll(both).isEmpty()
+
+
+@pytest.mark.parametrize("pct", [0.2, 0.5])
+@pytest.mark.parametrize("max_task_rows", [1_000_000, 3])
+def test_negative_zeros_survive(spark, pct, max_task_rows):
+    day = dt.datetime(2024, 1, 1)
+    rows = [("z", day, zero, 1.0) for zero in (0.0, -0.0, -0.0, 0.0, -0.0, 0.0)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    for found in (rank_in_time(df, SPEC, max_task_rows), time_split(df, SPEC, pct, max_task_rows)):
+        got = found.collect()
+        assert Counter(math.copysign(1, r.FEATURE_1) for r in got) == {1.0: 3, -1.0: 3}
+    assert sum(r.IS_TRAIN for r in got) == math.floor(6 * (1 - pct))

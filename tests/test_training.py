@@ -180,8 +180,32 @@ def test_own_learner_error_rows_and_policies(spark):
         score(df, models, SPEC, "error", learners=(Average(),)).count()
     with pytest.raises(ValueError):
         score(df, models, SPEC, "guess")
-    refused = fit_models(df, SPEC, Average(), *RUN, max_task_rows=50).collect()
-    assert {r.PARTITION_ID: r.STATUS for r in refused} == {"p1": "error", "tiny": "error"}
+    long = {r.PARTITION_ID: r for r in fit_models(df, SPEC, Average(), *RUN, max_task_rows=50).collect()}
+    assert {k: r.STATUS for k, r in long.items()} == {"p1": "ok", "tiny": "error"}
+    assert "60 rows, more than 50" in long["p1"].WARNING and long["tiny"].WARNING is None
+
+
+def test_continuous_values_get_the_same_cuts_both_ways(spark):
+    noise = (F.pmod(F.xxhash64("id"), F.lit(1 << 40)) / float(1 << 40)).cast("double")
+    df = spark.range(120_000).select(
+        F.lit("p").alias("PARTITION_ID"),
+        F.timestamp_seconds("id").cast("timestamp_ntz").alias("TS"),
+        noise.alias("A"),
+        F.when(F.col("id") % 10 > 0, F.sin("id")).alias("B"),
+        (F.floor(noise * 700) + F.coalesce(F.sin("id"), F.lit(0.0)) * 50).alias("TARGET"),
+    )
+    learner = Boosted(rounds=1, depth=3)
+    one, two = (
+        learner.load(fit_models(df, SPEC, learner, *RUN, max_task_rows=n).first().MODEL_BINARY) for n in (200_000, 50_000)
+    )
+    for name in ("feat", "threshold", "miss"):
+        assert (one[name] == two[name]).all(), name
+
+
+def test_boosted_refuses_sizes_that_do_not_fit_its_types():
+    for wrong in ({"max_bin": 40_000}, {"depth": 17}, {"rounds": 0}):
+        with pytest.raises(ValueError):
+            Boosted(**wrong)
 
 
 def test_long_series_are_scored_in_parts_with_copies_whole(spark):

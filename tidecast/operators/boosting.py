@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidecast.session import materialize
+from tidecast.operators.ranking import range_ends
+from tidecast.session import MAX_TASK_ROWS, materialize
 from tidecast.spec import PanelSpec
 
 MISSING = -1
@@ -24,22 +25,43 @@ TREE_COLUMNS = {"_feat": -1, "_cut": 0, "_miss": False, "_gain": 0.0}
 
 
 def bin_cuts(rows: DataFrame, spec: PanelSpec, features: list[str], max_bin: int) -> DataFrame:
-    """Base value and ascending thresholds per feature of each series."""
-    shares = F.array(*[F.lit(k / max_bin) for k in range(1, max_bin + 1)])
-    aggregates = [F.avg(spec.target).alias("_base")]
-    for i, c in enumerate(features):
-        aggregates += [
-            F.percentile_approx(c, shares, 10_000).alias(f"_q{i}"),
-            F.min(c).alias(f"_min{i}"),
-        ]
-    found = rows.groupBy(spec.grain).agg(*aggregates)
+    """Base value and ascending thresholds per feature of each series, those of the in-task fit.
 
-    def above_minimum(i: int) -> Column:
-        kept = F.filter(F.array_distinct(F.col(f"_q{i}")), lambda v: v > F.col(f"_min{i}"))
-        return F.coalesce(kept, F.array().cast("array<float>"))
-
-    cuts = F.array(*[above_minimum(i) for i in range(len(features))])
-    return found.select(spec.grain, "_base", cuts.alias("_cuts"))
+    Equal values are merged, and the running count of each tells whether it holds one of the
+    ``max_bin`` quantiles. A series' values are spread over ranges, never sorted in one task.
+    """
+    group = F.struct(spec.grain, "_feature").alias("_group")
+    runs = (
+        rows.select(spec.grain, F.posexplode(F.array(*features)).alias("_feature", "_value"))
+        .filter(F.col("_value").isNotNull())
+        .groupBy(spec.grain, "_feature", "_value")
+        .agg(F.count("*").alias("_copies"))
+        .select(group, "_value", "_copies")
+    )
+    ends = materialize(range_ends(runs, "_group", "_value", "_copies"), "value-ends")
+    whole = ends.groupBy("_group").agg(F.max("_end").alias("_all"), F.min("_value").alias("_least"))
+
+    def holds(k: Column) -> Column:
+        place = F.ceil(k / F.lit(float(max_bin)) * F.col("_all"))
+        return k.between(1, max_bin) & (place > F.col("_end") - F.col("_copies")) & (place <= F.col("_end"))
+
+    last = F.floor(F.col("_end") * F.lit(float(max_bin)) / F.col("_all"))
+    cuts = (
+        ends.join(materialize(whole, "value-counts"), "_group")
+        .filter(F.col("_value") > F.col("_least"))
+        .filter(holds(last - 1) | holds(last) | holds(last + 1))
+        .groupBy("_group")
+        .agg(F.array_sort(F.collect_list("_value")).alias("_cuts"))
+    )
+    by_feature = cuts.groupBy(F.col("_group")[spec.grain].alias(spec.grain)).agg(
+        F.map_from_entries(F.collect_list(F.struct(F.col("_group._feature"), "_cuts"))).alias("_found")
+    )
+    none = F.array().cast("array<float>")
+    lists = F.array(*[F.coalesce(F.col("_found")[i], none) for i in range(len(features))])
+    base = rows.groupBy(spec.grain).agg(F.avg(spec.target).alias("_base"))
+    return base.join(by_feature, spec.grain, "left").select(
+        spec.grain, "_base", F.coalesce(lists, F.array_repeat(none, len(features))).alias("_cuts")
+    )
 
 
 def cells_of(rows: DataFrame, cuts: DataFrame, spec: PanelSpec, features: list[str]) -> DataFrame:
@@ -136,7 +158,7 @@ def level_arrays(series: DataFrame, best: DataFrame, spec: PanelSpec, depth: int
     return series.join(found, spec.grain, "left").select(spec.grain, *arrays)
 
 
-def fit_boosted(df: DataFrame, spec: PanelSpec, learner) -> DataFrame:
+def fit_boosted(df: DataFrame, spec: PanelSpec, learner, max_task_rows: int = MAX_TASK_ROWS) -> DataFrame:
     """Same trees as ``learner.fit`` on each series; one model row per series."""
     from tidecast.operators.scoring import evaluate, score
 
@@ -220,7 +242,7 @@ def fit_boosted(df: DataFrame, spec: PanelSpec, learner) -> DataFrame:
     packed = materialize(packed, "large-models")
     names = F.array(*[F.lit(c) for c in features]).cast("array<string>")
     scorable = packed.withColumns({"ALGORITHM": F.lit(learner.name), "FEATURE_COLS": names})
-    quality = evaluate(score(df, scorable, spec, learners=(learner,)), spec)
+    quality = evaluate(score(df, scorable, spec, learners=(learner,), max_task_rows=max_task_rows), spec)
     metrics = F.struct(
         F.col("MAE").alias("TRAIN_MAE"),
         F.col("RMSE").alias("TRAIN_RMSE"),

@@ -13,29 +13,35 @@ from tidecast.functions.text import artifact_dir, path_part
 from tidecast.spec import PanelSpec
 
 
-def newest() -> Column:
+def newest(df: DataFrame) -> Column:
     """Orders versions; names decide between equal times. A version without a time comes first."""
-    return F.struct(F.col("TRAINED_AT").isNull(), "TRAINED_AT", "MODEL_VERSION")
+    names = [c for c in ("MODEL_VERSION", "RUN_ID") if c in df.columns]
+    return F.struct(F.col("TRAINED_AT").isNull(), "TRAINED_AT", *names)
 
 
-def entries(models: DataFrame, spec: PanelSpec, root: str) -> DataFrame:
-    """Catalog rows of the models of one run."""
+def entries(models: DataFrame, spec: PanelSpec, root: str, model_name: str | None = None) -> DataFrame:
+    """Catalog rows of the models of one run; ``model_name`` keeps the versions of several models apart."""
     return models.filter(F.col("MODEL_BINARY").isNotNull()).select(
         spec.grain,
+        *([F.lit(model_name).alias("MODEL_NAME")] if model_name else []),
         "TRAINED_AT",
         "METRICS",
         "MODEL_VERSION",
+        "RUN_ID",
         F.concat_ws("/", F.lit(root), "RUN_ID", spec.grain).alias("STAGE_PATH"),
     )
 
 
 def with_active(catalog: DataFrame, spec: PanelSpec) -> DataFrame:
-    """``catalog`` plus IS_ACTIVE. The newest version is found by aggregation, so a series
-    with very many versions is combined before the shuffle."""
-    top = catalog.groupBy(spec.grain).agg(F.max(newest()).alias("_newest"))
+    """``catalog`` plus IS_ACTIVE: the newest version of a series, for each MODEL_NAME if there is one.
+
+    It is found by aggregation, so a series with very many versions is combined before the shuffle.
+    """
+    keys = [c for c in (spec.grain, "MODEL_NAME") if c in catalog.columns]
+    top = catalog.groupBy(*keys).agg(F.max(newest(catalog)).alias("_newest"))
     return (
-        catalog.join(top, spec.grain)
-        .withColumn("IS_ACTIVE", newest() == F.col("_newest"))
+        catalog.join(top, keys)
+        .withColumn("IS_ACTIVE", newest(catalog) == F.col("_newest"))
         .drop("_newest")
     )
 
@@ -43,7 +49,7 @@ def with_active(catalog: DataFrame, spec: PanelSpec) -> DataFrame:
 def latest_version(catalog: DataFrame) -> DataFrame:
     """One row: the most recently trained active version."""
     active = catalog.filter(F.col("IS_ACTIVE")) if "IS_ACTIVE" in catalog.columns else catalog
-    return active.agg(F.max_by("MODEL_VERSION", newest()).alias("MODEL_VERSION"))
+    return active.agg(F.max_by("MODEL_VERSION", newest(active)).alias("MODEL_VERSION"))
 
 
 def artifact_paths(listing: DataFrame, path: str, artifact: str, grain: str, from_end: int) -> DataFrame:

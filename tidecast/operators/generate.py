@@ -44,6 +44,7 @@ def feature_table(panel: DataFrame, spec: PanelSpec, num_features: int, seed: st
     def part(key: Column, label: str) -> Column:
         return F.concat(key, F.lit("|"), F.lit(label))
 
+    # The distributions of the generated columns.
     base = panel.withColumns({
         "_base": draws.uniform(part(series_key, "base"), 20.0, 100.0),
         "_effect": draws.uniform(part(series_key, "effect"), 0.7, 1.3),

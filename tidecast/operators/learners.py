@@ -13,6 +13,8 @@ from typing import Any, Protocol
 
 import numpy as np
 
+from tidecast.session import MAX_TASK_ROWS
+
 
 class Learner(Protocol):
     name: str
@@ -75,6 +77,14 @@ class Boosted:
     max_bin: int = 256
     name: str = "gbt"
 
+    def __post_init__(self):
+        if not 1 <= self.max_bin <= 32_000:
+            raise ValueError("max_bin must be from 1 to 32000, as bins are stored in 16 bits")
+        if not 1 <= self.depth <= 15:
+            raise ValueError("depth must be from 1 to 15, as nodes are stored in 16 bits")
+        if self.rounds < 1:
+            raise ValueError("rounds must be at least 1")
+
     def cuts(self, x: np.ndarray) -> np.ndarray:
         """Ascending thresholds of one feature: its quantiles above the minimum."""
         x = x[~np.isnan(x)]
@@ -214,7 +224,7 @@ class Boosted:
             out[first : first + len(part)] = model["base"] + value[trees, leaf].sum(axis=0, dtype=float)
         return out
 
-    def fit_large(self, df, spec):
+    def fit_large(self, df, spec, max_task_rows=MAX_TASK_ROWS):
         from tidecast.operators.boosting import fit_boosted
 
-        return fit_boosted(df, spec, self)
+        return fit_boosted(df, spec, self, max_task_rows)

@@ -104,19 +104,45 @@ def rank_in_time(
             .select(*columns, (F.col("_before") + F.col("_local")).alias("ROW_NUM"))
         )
     whole_key = PanelSpec(spec.grain, spec.time, spec.target, spec.tiebreak).order_key(df)
-    runs = collapse_copies(df.filter(F.col(spec.grain).isNotNull()), spec.grain, whole_key)
+    named = with_signs(df.filter(F.col(spec.grain).isNotNull()))
+    runs = collapse_copies(named, spec.grain, whole_key, "_minus")
     ends = range_ends(runs, spec.grain, "_key", "_copies")
     return (
         repeat_rows(ends, "_copies", "_i")
-        .select(spec.grain, "_key.*", (F.col("_end") - F.col("_copies") + F.col("_i")).alias("ROW_NUM"))
-        .select(*columns, "ROW_NUM")
+        .select(spec.grain, "_minus", "_key.*", (F.col("_end") - F.col("_copies") + F.col("_i")).alias("ROW_NUM"))
+        .select(*original(df), "ROW_NUM")
     )
 
 
+def _floating(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema if f.dataType.typeName() in ("float", "double")]
+
+
+def with_signs(df: DataFrame) -> DataFrame:
+    """``df`` plus _minus, which tells for each floating column whether it holds -0.0.
+
+    A grouping writes such zeros as 0.0; grouped by _minus too, rows keep what they held.
+    """
+    signs = [F.coalesce(F.col(c).cast("string") == "-0.0", F.lit(False)) for c in _floating(df)]
+    return df.withColumn("_minus", F.array(*signs).cast("array<boolean>"))
+
+
+def original(df: DataFrame) -> list[Column]:
+    """The columns of ``df`` taken from grouped rows with their _minus."""
+    at = {c: i for i, c in enumerate(_floating(df))}
+
+    def value(c: str) -> Column:
+        if c not in at:
+            return F.col(c)
+        return F.when(F.col("_minus")[at[c]], F.lit(-0.0).cast(df.schema[c].dataType)).otherwise(F.col(c)).alias(c)
+
+    return [value(c) for c in df.columns]
+
+
 def collapse_copies(df: DataFrame, grain: str, key: Column, *per_grain: str) -> DataFrame:
     """One row per distinct (grain, key) with its number of copies, combined before the shuffle.
 
-    ``per_grain`` are columns with one value per series, kept as they are.
+    ``per_grain`` are further columns to group by, kept as they are.
     """
     keyed = df.select(grain, *per_grain, key.alias("_key"))
     return keyed.groupBy(grain, *per_grain, "_key").agg(F.count("*").alias("_copies"))

@@ -32,12 +32,15 @@ def output_signature(spec: PanelSpec) -> T.StructType:
     ])
 
 
-def conform(df: DataFrame, signature: T.StructType) -> DataFrame:
-    """``df`` with the columns and types of a signature; a missing column is an error."""
+def conform(df: DataFrame, signature: T.StructType, *kept: str) -> DataFrame:
+    """``df`` with the columns and types of a signature, and the columns ``kept`` as they are.
+
+    A missing column is an error.
+    """
     absent = [f.name for f in signature if f.name not in df.columns]
     if absent:
         raise ValueError(f"input lacks {absent}")
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in signature])
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in signature], *kept)
 
 
 def entry(
@@ -49,7 +52,7 @@ def entry(
 
 
 def default_versions(registry: DataFrame) -> DataFrame:
-    """The default of every model: its newest version."""
+    """The default of every model: the version registered last, be it anew or once more."""
     order = F.struct("CREATED_AT", "MODEL_VERSION")
     return registry.groupBy("MODEL_NAME").agg(
         F.max_by("MODEL_VERSION", order).alias("MODEL_VERSION"),

@@ -17,11 +17,13 @@ from pyspark.sql import functions as F
 from tidecast.operators.ranking import (
     bucket_counts,
     collapse_copies,
+    original,
     range_ends,
     repeat_rows,
+    with_signs,
     with_bucket,
 )
-from tidecast.session import MAX_TASK_ROWS, materialize_observed
+from tidecast.session import MAX_TASK_ROWS, materialize, materialize_observed
 from tidecast.spec import PanelSpec
 
 
@@ -110,11 +112,16 @@ def label_rows(df: DataFrame, points: SplitPoints, spec: PanelSpec) -> DataFrame
         F.lit(False),
     )
     plain = side.filter(~is_cut_copy).select(*columns, is_train.alias("IS_TRAIN"))
-    cut_copies = points.table.filter(F.col("_copies") > F.col("_taken"))
-    copies = repeat_rows(cut_copies, "_copies", "_i").select(
-        spec.grain, "_key.*", (F.col("_i") <= F.col("_taken")).alias("IS_TRAIN")
+    # Copies differ in the signs of zeros at most; the window sees one row per such variant.
+    cut_copies = side.filter(is_cut_copy).select(*columns, "_taken")
+    variants = collapse_copies(with_signs(cut_copies), spec.grain, key, "_taken", "_minus")
+    upto = Window.partitionBy(spec.grain).orderBy("_minus").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_copies").over(upto), F.lit(0))
+    flat = variants.select(spec.grain, "_minus", "_copies", "_taken", before.alias("_before"), "_key.*")
+    copies = repeat_rows(materialize(flat, "cut-copies"), "_copies", "_i").select(
+        *original(df), (F.col("_before") + F.col("_i") <= F.col("_taken")).alias("IS_TRAIN")
     )
-    return plain.unionByName(copies.select(*columns, "IS_TRAIN"))
+    return plain.unionByName(copies)
 
 
 def time_split(

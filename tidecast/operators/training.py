@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tidecast.operators.learners import Learner
 from tidecast.operators.skew import long_series
-from tidecast.session import MAX_TASK_ROWS, task_count
+from tidecast.session import MAX_TASK_CELLS, MAX_TASK_ROWS, task_count
 from tidecast.spec import PanelSpec
 
 METRICS = T.StructType([
@@ -74,17 +74,24 @@ def fit_models(
     run_id: str,
     model_version: str,
     trained_at: dt.datetime,
-    max_task_rows: int = MAX_TASK_ROWS,
+    max_task_rows: int | None = None,
 ) -> DataFrame:
     """The models of one run: one row per series of ``df``.
 
-    ``trained_at`` is an argument so that a rerun gives the same table.
+    ``trained_at`` is an argument so that a rerun gives the same table. A series of more than
+    ``max_task_rows`` rows, by default as many as hold MAX_TASK_CELLS values of features, is fitted
+    by the ``fit_large`` of its learner. A learner without one gets the whole series in one task,
+    which WARNING tells.
     """
     df = df.filter(F.col(spec.grain).isNotNull())
+    if max_task_rows is None:
+        max_task_rows = min(MAX_TASK_ROWS, MAX_TASK_CELLS // max(1, len(spec.features(df))))
     if hasattr(learner, "fit_panel"):
         fitted = learner.fit_panel(df, spec)
     else:
         fitted = _fit_by_size(df, spec, learner, max_task_rows)
+    if "WARNING" not in fitted.columns:
+        fitted = fitted.withColumn("WARNING", F.lit(None).cast("string"))
     names = F.array(*[F.lit(c) for c in spec.features(df)]).cast("array<string>")
     return fitted.select(
         spec.grain,
@@ -97,6 +104,7 @@ def fit_models(
         F.col("METRICS").cast(METRICS).alias("METRICS"),
         "STATUS",
         "ERROR",
+        "WARNING",
     )
 
 
@@ -105,22 +113,17 @@ def _fit_by_size(df, spec, learner, max_task_rows):
     large, most_parts = long_series(df, spec.grain, max_task_rows)
     if not most_parts:
         return fit_groups(df, spec, learner)
-    small = fit_groups(df.join(large, spec.grain, "left_anti"), spec, learner)
     if hasattr(learner, "fit_large"):
-        return small.unionByName(learner.fit_large(df.join(large, spec.grain, "left_semi"), spec))
-    message = F.concat(
-        F.lit(f"learner '{learner.name}' has no fit_large and the series has "),
+        small = fit_groups(df.join(large, spec.grain, "left_anti"), spec, learner)
+        rest = df.join(large.select(spec.grain), spec.grain, "left_semi")
+        return small.unionByName(learner.fit_large(rest, spec, max_task_rows))
+    note = F.concat(
+        F.lit(f"fitted in one task: learner '{learner.name}' has no fit_large and the series has "),
         F.col("_rows"),
         F.lit(f" rows, more than {max_task_rows}"),
     )
-    refused = large.select(
-        spec.grain,
-        F.lit(None).cast("binary").alias("MODEL_BINARY"),
-        F.lit(None).cast(METRICS).alias("METRICS"),
-        F.lit("error").alias("STATUS"),
-        message.alias("ERROR"),
-    )
-    return small.unionByName(refused)
+    notes = large.select(spec.grain, note.alias("WARNING"))
+    return fit_groups(df, spec, learner).join(notes, spec.grain, "left")
 
 
 def metrics_long(models: DataFrame, spec: PanelSpec) -> DataFrame:

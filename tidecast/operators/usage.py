@@ -1,6 +1,6 @@
 """Compute use of runs, turned into a cost estimate.
 
-Credits are summed as whole numbers (microseconds x hundredths of a credit x nodes), so
+Credits are summed as whole numbers (microseconds x millionths of a credit x nodes), so
 totals do not depend on the order of the sum.
 """
 
@@ -47,7 +47,7 @@ WAREHOUSE_SIZE_RATES = {
     "6X-Large": 512,
 }
 
-UNITS_PER_CREDIT = 3600.0 * 1e6 * 100
+UNITS_PER_CREDIT = 3600.0 * 1e6 * 1e6
 
 
 def rate_card(spark: SparkSession, rates: dict[str, float], key: str) -> DataFrame:
@@ -62,8 +62,8 @@ def priced(df: DataFrame, rates: dict[str, float], key: str) -> DataFrame:
 
 
 def units(micros: Column, rate: Column, nodes: Column) -> Column:
-    cents = F.round(rate * 100).cast("decimal(10,0)")
-    return (micros.cast("decimal(18,0)") * cents * nodes.cast("decimal(10,0)")).cast("decimal(38,0)")
+    millionths = F.round(rate * 1_000_000).cast("decimal(12,0)")
+    return (micros.cast("decimal(18,0)") * millionths * nodes.cast("decimal(10,0)")).cast("decimal(38,0)")
 
 
 def half_up(whole: Column, unit: int, digits: int) -> Column:
@@ -71,7 +71,8 @@ def half_up(whole: Column, unit: int, digits: int) -> Column:
 
     Stays in whole numbers to the end, so that ties round the same way everywhere.
     """
-    steps = F.floor((F.coalesce(whole, F.lit(0)).cast("decimal(38,0)") + unit // 2) / unit)
+    raised = F.coalesce(whole, F.lit(0)).cast("decimal(38,0)") + F.lit(unit // 2)
+    steps = (raised - F.pmod(raised, F.lit(unit))) / F.lit(unit)
     return steps.cast("double") / F.lit(10.0**digits)
 
 
@@ -84,7 +85,7 @@ def minutes(micros: Column) -> Column:
 
 
 def rounded_credits(unit_sum: Column) -> Column:
-    return half_up(unit_sum, 360_000, 6)
+    return half_up(unit_sum, 3_600_000_000, 6)
 
 
 def credits(unit_sum: Column) -> Column:
@@ -104,7 +105,7 @@ def tagged(query_log: DataFrame, tag: str) -> DataFrame:
     return query_log.filter(F.col("QUERY_TAG") == tag)
 
 
-def warehouse_units(query_log: DataFrame, *by: str) -> DataFrame:
+def warehouse_units(query_log: DataFrame, *by: str, rates: dict[str, float] = WAREHOUSE_SIZE_RATES) -> DataFrame:
     """Cost units of a query log per ``by``, with UNITS as a whole number."""
     used = (
         query_log.filter(F.col("WAREHOUSE_SIZE").isNotNull())
@@ -112,18 +113,18 @@ def warehouse_units(query_log: DataFrame, *by: str) -> DataFrame:
         .agg((F.sum("EXECUTION_TIME") * 1000).alias("_micros"))
     )
     cost = units(F.col("_micros"), F.col("RATE"), F.lit(1))
-    return priced(used, WAREHOUSE_SIZE_RATES, "WAREHOUSE_SIZE").groupBy(*by).agg(F.sum(cost).alias("UNITS"))
+    return priced(used, rates, "WAREHOUSE_SIZE").groupBy(*by).agg(F.sum(cost).alias("UNITS"))
 
 
 def warehouse_credits(query_log: DataFrame, *by: str) -> DataFrame:
     return warehouse_units(query_log, *by).select(*by, credits(F.col("UNITS")).alias("CREDITS"))
 
 
-def container_runs(run_log: DataFrame) -> DataFrame:
+def container_runs(run_log: DataFrame, rates: dict[str, float] = INSTANCE_FAMILY_RATES) -> DataFrame:
     """``run_log`` plus MICROS and UNITS; only the container route costs container credits."""
     cost = units(F.col("MICROS"), F.col("RATE"), F.col("NODES"))
     return (
-        priced(run_log, INSTANCE_FAMILY_RATES, "INSTANCE_FAMILY")
+        priced(run_log, rates, "INSTANCE_FAMILY")
         .withColumn("MICROS", micros_between(F.col("STARTED"), F.col("ENDED")))
         .withColumn("UNITS", F.when(F.col("ROUTE") == "container", cost).otherwise(F.lit(0)).cast("decimal(38,0)"))
         .drop("RATE")
@@ -134,16 +135,21 @@ def container_credits(run_log: DataFrame) -> DataFrame:
     return container_runs(run_log).withColumn("CREDITS", credits(F.col("UNITS"))).drop("UNITS")
 
 
-def summary(run_log: DataFrame, query_log: DataFrame) -> DataFrame:
+def summary(
+    run_log: DataFrame,
+    query_log: DataFrame,
+    family_rates: dict[str, float] = INSTANCE_FAMILY_RATES,
+    size_rates: dict[str, float] = WAREHOUSE_SIZE_RATES,
+) -> DataFrame:
     """Cost per job and in total. Both logs carry JOB; warehouse use counts on either route.
 
     The two logs are summed per job before they meet, and the total comes from the same
     pass as a grouping set.
     """
-    runs = container_runs(run_log).groupBy("JOB").agg(
+    runs = container_runs(run_log, family_rates).groupBy("JOB").agg(
         F.sum(F.col("MICROS").cast("decimal(38,0)")).alias("_micros"), F.sum("UNITS").alias("_container")
     )
-    used = warehouse_units(query_log, "JOB").withColumnRenamed("UNITS", "_warehouse")
+    used = warehouse_units(query_log, "JOB", rates=size_rates).withColumnRenamed("UNITS", "_warehouse")
     both = runs.join(used, "JOB", "full")
     grouped = both.groupingSets([["JOB"], []], "JOB").agg(
         F.sum("_micros").alias("_micros"),
@@ -162,10 +168,14 @@ def summary(run_log: DataFrame, query_log: DataFrame) -> DataFrame:
 
 
 def overview(run_log: DataFrame, query_log: DataFrame) -> DataFrame:
-    """``summary`` with the family and node count of each job, '-' on the total row."""
-    setup = run_log.groupBy("JOB").agg(
-        F.max("INSTANCE_FAMILY").alias("INSTANCE_FAMILY"), F.max("NODES").cast("string").alias("NODES")
-    )
+    """``summary`` with the family and node count of each job; '-' on the total row, and where the
+    runs of a job differ."""
+
+    def only(c: str) -> Column:
+        value = F.col(c).cast("string")
+        return F.when(F.min(value).eqNullSafe(F.max(value)), F.max(value)).otherwise("-").alias(c)
+
+    setup = run_log.groupBy("JOB").agg(only("INSTANCE_FAMILY"), only("NODES"))
     named = {c: F.when(F.col("JOB") == "Total", "-").otherwise(F.coalesce(c, F.lit(""))) for c in ("INSTANCE_FAMILY", "NODES")}
     return summary(run_log, query_log).join(setup, "JOB", "left").withColumns(named).select(
         "JOB",

@@ -18,9 +18,11 @@ from tidecast.operators.learners import Boosted, Learner, Linear
 from tidecast.operators.scoring import evaluate, score
 from tidecast.operators.split import time_split
 from tidecast.operators.training import fit_models
+from tidecast.session import materialize
 from tidecast.spec import PanelSpec
 
 MODEL_NAME = "PANEL_MODEL"
+SMOKE_SERIES, SMOKE_ROWS = 3, 30
 RUN_LOG = (
     "RUN_ID string, JOB string, ROUTE string, INSTANCE_FAMILY string, NODES int, "
     "STARTED timestamp_ntz, ENDED timestamp_ntz"
@@ -76,8 +78,13 @@ def run_training(
     route: str = "container",
     family: str = "CPU_X64_S",
     nodes: int = 5,
+    max_failed: float = 0.5,
 ) -> str:
-    """Split, fit, catalogue and register; returns the run id."""
+    """Split, fit, catalogue and register; returns the run id.
+
+    Nothing is registered if more than the share ``max_failed`` of the series get no model, or if
+    the models do not score their own rows.
+    """
     started = utc_now()
     end, at = unique_end(at), at or started
     version, run_id = version_of(at), run_ids_of(at)[0] + end
@@ -89,7 +96,8 @@ def run_training(
         train.createOrReplaceTempView("TRAIN_DATA")
         labelled.filter(~F.col("IS_TRAIN")).drop("IS_TRAIN").createOrReplaceTempView("TEST_DATA")
         models = ws.save(fit_models(train, spec, learner, run_id, version, at), "models", run_id)
-        ws.save(catalog.entries(models, spec, ws.path("models")), "catalog", run_id)
+        check_models(train, models, spec, learner, max_failed)
+        ws.save(catalog.entries(models, spec, ws.path("models"), model_name), "catalog", run_id)
         ws.save(registry.entry(train, spec, model_name, version, run_id, at), "registry", run_id)
     finally:
         spark.removeTag(run_id)
@@ -97,10 +105,36 @@ def run_training(
     return run_id
 
 
-def active_models(ws: Workspace, spec: PanelSpec) -> DataFrame:
+def check_models(train: DataFrame, models: DataFrame, spec: PanelSpec, learner: Learner, max_failed: float) -> None:
+    """Raises if too many series failed, or if some rows cannot be scored by the stored models."""
+    fitted = F.count_if(F.col("MODEL_BINARY").isNotNull())
+    counts = models.agg(F.count("*").alias("series"), fitted.alias("fitted")).first()
+    failed = counts["series"] - counts["fitted"]
+    if failed > max_failed * counts["series"]:
+        raise RuntimeError(f"{failed} of {counts['series']} series have no model")
+    few = models.filter(F.col("MODEL_BINARY").isNotNull()).limit(SMOKE_SERIES)
+    few = materialize(few, "smoke-models")
+    rows = materialize(train.join(few, spec.grain, "left_semi").limit(SMOKE_ROWS), "smoke-rows")
+    if score(rows, few, spec, "error", (learner,)).count() != rows.count():
+        raise RuntimeError("the stored models do not score every row of their series")
+
+
+def set_default(ws: Workspace, model_name: str, version: str) -> None:
+    """Makes a registered version the default by registering it once more."""
+    entries = ws.table("registry").filter((F.col("MODEL_NAME") == model_name) & (F.col("MODEL_VERSION") == version))
+    last = entries.orderBy(F.col("CREATED_AT").desc(), F.col("RUN_ID").desc()).first()
+    if last is None:
+        raise ValueError(f"no model '{model_name}' in version '{version}'")
+    newest = ws.table("registry").filter(F.col("MODEL_NAME") == model_name).agg(F.max("CREATED_AT")).first()[0]
+    row = {**last.asDict(), "CREATED_AT": max(utc_now(), newest + dt.timedelta(microseconds=1))}
+    again = ws.spark.createDataFrame([tuple(row[c] for c in entries.columns)], entries.schema)
+    ws.save(again, "registry", f"default_{uuid.uuid4().hex[:8]}")
+
+
+def active_models(ws: Workspace, spec: PanelSpec, model_name: str = MODEL_NAME) -> DataFrame:
     """The model each series currently uses, from whichever run it came."""
-    active = ws.catalog(spec).filter(F.col("IS_ACTIVE")).select(spec.grain, "MODEL_VERSION")
-    return ws.table("models").join(active, [spec.grain, "MODEL_VERSION"])
+    active = ws.catalog(spec).filter(F.col("IS_ACTIVE") & (F.col("MODEL_NAME") == model_name))
+    return ws.table("models").join(active.select(spec.grain, "RUN_ID"), [spec.grain, "RUN_ID"])
 
 
 def run_inference(
@@ -129,10 +163,11 @@ def run_inference(
         if source == "registry":
             chosen = registry.resolve(ws.table("registry"), model_name, version)
             signature = signature_from(chosen["SIGNATURE"])
-            registry.conform(rows, signature)
+            rows = registry.conform(rows, signature, *[c for c in rows.columns if c == spec.target])
             models, policy = ws.table("models", chosen["RUN_ID"]), "error"
+            models = models.withColumn(spec.grain, F.col(spec.grain).cast(rows.schema[spec.grain].dataType))
         elif source == "catalog":
-            models, policy = active_models(ws, spec), "drop"
+            models, policy = active_models(ws, spec, model_name), "drop"
         else:
             raise ValueError("source must be 'registry' or 'catalog'")
         predictions = ws.save(score(rows, models, spec, policy, learners), "predictions", run_id)
@@ -160,9 +195,11 @@ def test_errors(ws: Workspace, run_id: str, spec: PanelSpec) -> DataFrame:
     return evaluate(ws.table("predictions", run_id), spec)
 
 
-def cost(ws: Workspace, query_log: DataFrame) -> DataFrame:
-    """Cost estimate of all logged runs. ``query_log`` holds QUERY_TAG, WAREHOUSE_SIZE and
+def cost(ws: Workspace, query_log: DataFrame, run_ids: list[str] | None = None) -> DataFrame:
+    """Cost estimate of the runs named, or of all logged ones. ``query_log`` holds QUERY_TAG, WAREHOUSE_SIZE and
     EXECUTION_TIME in milliseconds; a query belongs to the run whose id is its tag."""
     runs = ws.table("run_log")
+    if run_ids is not None:
+        runs = runs.filter(F.col("RUN_ID").isin(run_ids))
     jobs = runs.select(F.col("RUN_ID").alias("QUERY_TAG"), "JOB")
     return usage.overview(runs, query_log.join(jobs, "QUERY_TAG"))

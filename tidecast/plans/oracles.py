@@ -410,7 +410,8 @@ ORACLES = {
     "usage_overview": USAGE + """
         SELECT JOB, coalesce(family, '-') AS INSTANCE_FAMILY, coalesce(nodes, '-') AS NODES, DURATION_SECS, DURATION_MINS,
                CONTAINER_CREDITS, WAREHOUSE_CREDITS, TOTAL_CREDITS
-        FROM summary LEFT JOIN (SELECT JOB, max(INSTANCE_FAMILY) AS family, CAST(max(NODES) AS VARCHAR) AS nodes
+        FROM summary LEFT JOIN (SELECT JOB, CASE WHEN min(INSTANCE_FAMILY) = max(INSTANCE_FAMILY) THEN max(INSTANCE_FAMILY) ELSE '-' END AS family,
+                                       CASE WHEN min(NODES) = max(NODES) THEN CAST(max(NODES) AS VARCHAR) ELSE '-' END AS nodes
                                 FROM runs GROUP BY JOB) USING (JOB)""",
     "run_id_from_log": r"""
         SELECT conv_id, turn, trim(regexp_extract(

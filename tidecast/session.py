@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 # One Python worker holds at most this many rows of one series; series beyond it
 # take the distributed way of each operator.
 MAX_TASK_ROWS = 1_000_000
+# A fit holds several arrays of (feature, row), so it is bounded by their cells.
+MAX_TASK_CELLS = 10_000_000
 
 
 def build_session(
