@@ -80,3 +80,12 @@ def micros_between(start: Column, end: Column) -> Column:
 def seconds_between(start: Column, end: Column) -> Column:
     """Elapsed seconds with their fraction."""
     return micros_between(start, end) / F.lit(1e6)
+
+
+def parse_time(value: Column, pattern: str, bad: str = "null") -> Column:
+    """Text as a time without a zone; text that does not match is null, or an error if ``bad`` is 'error'."""
+    if bad not in ("null", "error"):
+        raise ValueError("bad must be 'null' or 'error'")
+    parse = F.try_to_timestamp if bad == "null" else F.to_timestamp
+    wanted = F.lit(pattern) if bad == "null" else pattern
+    return parse(value, wanted).cast("timestamp_ntz")

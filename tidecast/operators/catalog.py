@@ -87,3 +87,10 @@ def manifest(catalog: DataFrame, spec: PanelSpec, per_map: int = 10_000) -> Data
         .groupBy("PART")
         .agg(F.map_from_entries(F.collect_list(F.struct(spec.grain, "STAGE_PATH"))).alias("PATHS"))
     )
+
+
+def single_value(df: DataFrame, by: str, column: str) -> DataFrame:
+    """The one value of ``column`` of each ``by``; a group with several is an error."""
+    low, high = F.min(column), F.max(column)
+    many = F.raise_error(F.concat(F.lit(f"several values of {column} for one {by}: "), low.cast("string"), F.lit(", "), high.cast("string")))
+    return df.groupBy(by).agg(F.when(low.eqNullSafe(high), low).otherwise(many).alias(column))

@@ -344,6 +344,10 @@ ORACLES = {
     "run_versions": f"""
         SELECT PARTITION_ID, MODEL_VERSION, RUN_ID, strftime(TRAINED_AT, 'inference_%Y%m%d_%H%M') AS INFERENCE_RUN_ID,
                strftime(TRAINED_AT, '%Y-%m-%d') AS TRAINED_ON FROM ({VERSIONS})""",
+    "version_of_run": f"SELECT RUN_ID, min(MODEL_VERSION) AS MODEL_VERSION FROM ({VERSIONS}) GROUP BY RUN_ID",
+    "times_from_text": """
+        SELECT o_orderkey, CASE WHEN o_orderkey % 7 <> 0 THEN date_trunc('minute', CAST(o_orderdate AS TIMESTAMP)) END AS TS
+        FROM orders""",
     "artifact_paths": f"""
         SELECT PARTITION_ID, 'stage/' || RUN_ID || '/' || PARTITION_ID AS STAGE_PATH FROM ({VERSIONS})""",
     "catalog_attach_paths": f"""
@@ -399,6 +403,9 @@ ORACLES = {
     "usage_of_tag": f"""
         SELECT WAREHOUSE_SIZE, CAST(sum(EXECUTION_TIME) AS DOUBLE) / 1000.0::DOUBLE AS TOTAL_EXEC_SECS
         FROM ({QUERY_LOG}) WHERE WAREHOUSE_SIZE IS NOT NULL AND QUERY_TAG = 'purchase' GROUP BY ALL""",
+    "usage_of_tag_sql": f"""
+        SELECT WAREHOUSE_SIZE, CAST(sum(EXECUTION_TIME) AS DOUBLE) / 1000.0::DOUBLE AS TOTAL_EXEC_SECS
+        FROM ({QUERY_LOG}) WHERE WAREHOUSE_SIZE IS NOT NULL AND QUERY_TAG = 'purchase' GROUP BY ALL""",
     "wh_credits": USAGE + """
         SELECT QUERY_TAG, CAST((sum(units) + 180000) // 360000 AS DOUBLE) / 1000000.0::DOUBLE AS CREDITS FROM used GROUP BY QUERY_TAG""",
     "container_credits": USAGE + """

@@ -327,6 +327,20 @@ def staged_names(spark, sf):
     return rows.select(F.concat_ws("/", F.lit("stage"), "RUN_ID", "PARTITION_ID", "FILE").alias("NAME"))
 
 
+def version_of_run(spark, sf):
+    """The one version of each run."""
+    return catalog.single_value(panels.version_log(spark, sf), "RUN_ID", "MODEL_VERSION")
+
+
+def times_from_text(spark, sf):
+    """Order times written as text, every seventh with a fault, and read again."""
+    written = F.date_format("o_orderdate", "dd.MM.yyyy HH:mm")
+    faulty = F.when(F.col("o_orderkey") % 7 == 0, F.concat(F.lit("on "), written)).otherwise(written)
+    return parquet_table(spark, sf, "orders").select(
+        "o_orderkey", calendar.parse_time(faulty, "dd.MM.yyyy HH:mm").alias("TS")
+    )
+
+
 def artifact_paths(spark, sf):
     return catalog.artifact_paths(staged_names(spark, sf), "NAME", "model.pkl", "PARTITION_ID", 1)
 
@@ -532,6 +546,16 @@ def usage_of_tag(spark, sf):
     return usage.exec_seconds_by_size(usage.tagged(panels.query_log(spark, sf), "purchase"))
 
 
+def usage_of_tag_sql(spark, sf):
+    """``usage_of_tag`` as SQL text with a bound parameter."""
+    return spark.sql(
+        """SELECT WAREHOUSE_SIZE, sum(EXECUTION_TIME) / 1000.0D AS TOTAL_EXEC_SECS FROM {log}
+           WHERE WAREHOUSE_SIZE IS NOT NULL AND QUERY_TAG = :tag GROUP BY WAREHOUSE_SIZE""",
+        args={"tag": "purchase"},
+        log=panels.query_log(spark, sf),
+    )
+
+
 def wh_credits(spark, sf):
     used = usage.warehouse_units(panels.query_log(spark, sf), "QUERY_TAG")
     return used.select("QUERY_TAG", usage.rounded_credits(F.col("UNITS")).alias("CREDITS"))
@@ -601,6 +625,8 @@ QUERIES = [
     catalog_active_per_grain,
     catalog_latest_version,
     run_versions,
+    version_of_run,
+    times_from_text,
     artifact_paths,
     catalog_attach_paths,
     catalog_without_artifact,
@@ -627,6 +653,7 @@ QUERIES = [
     panel_generate_summary,
     usage_by_size,
     usage_of_tag,
+    usage_of_tag_sql,
     wh_credits,
     container_credits,
     run_durations,
