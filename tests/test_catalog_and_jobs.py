@@ -8,7 +8,8 @@ from tidecast.operators import catalog, registry
 from tidecast.operators.generate import feature_table, scaffold, summary
 from tidecast.operators.learners import Boosted, Linear
 from tidecast.operators.scoring import evaluate
-from tidecast.operators.table_function import train_by_table_function
+from tidecast.operators.table_function import fit_by_table_function, train_by_table_function
+from tidecast.operators.training import fit_models
 from tidecast.plans.jobs import (
     Workspace, active_models, cost, preview, run_inference, run_training, set_default, test_errors,
 )
@@ -147,6 +148,36 @@ def test_table_function_equals_grouped_regression(spark, max_task_rows):
         assert mine.SLOPE == pytest.approx(r.s, rel=1e-4)
 
 
+@pytest.mark.parametrize("learner", [Boosted(rounds=3, depth=2), Linear()])
+@pytest.mark.parametrize("max_task_rows", [1_000, 60])
+def test_table_function_fits_any_learner(spark, learner, max_task_rows):
+    df = materialize(generated(spark, series=3, steps=90).filter("PARTITION_ID < 'P0002' OR TS < '2024-04-01'"), "rows")
+    made, want = (
+        fit_models(df, SPEC, learner, "r", "v", AT, max_task_rows, fit_short=f).orderBy("PARTITION_ID").collect()
+        for f in (fit_by_table_function, None)
+    )
+    assert len(made) == 3 and [r.STATUS for r in made] == ["ok"] * 3
+    for a, b in zip(made, want):
+        assert (a.PARTITION_ID, a.ALGORITHM, a.FEATURE_COLS, a.METRICS.TRAIN_ROWS) == (
+            b.PARTITION_ID, b.ALGORITHM, b.FEATURE_COLS, b.METRICS.TRAIN_ROWS
+        )
+        assert a.METRICS.TRAIN_RMSE == pytest.approx(b.METRICS.TRAIN_RMSE, rel=1e-5)
+        assert a.METRICS.FEATURE_IMPORTANCES == pytest.approx(b.METRICS.FEATURE_IMPORTANCES, rel=1e-4, abs=1e-6)
+        if isinstance(learner, Boosted):
+            assert a.MODEL_BINARY == b.MODEL_BINARY
+
+
+def test_table_function_reports_errors(spark):
+    class Broken(Linear):
+        def fit(self, X, y):
+            raise ValueError("no")
+
+    rows = generated(spark, series=2)
+    models = fit_models(rows, SPEC, Broken(), "r", "v", AT, fit_short=fit_by_table_function).collect()
+    assert [(r.STATUS, r.ERROR, r.METRICS, r.MODEL_BINARY) for r in models] == [("error", "ValueError: no", None, None)] * 2
+    assert fit_models(rows.limit(0), SPEC, Linear(), "r", "v", AT, fit_short=fit_by_table_function).count() == 0
+
+
 def test_runs_of_one_minute_keep_apart(spark):
     ws = Workspace(spark, scratch_path(spark, "workspace"))
     table = generated(spark)

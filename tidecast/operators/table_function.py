@@ -1,18 +1,24 @@
-"""SQL face of training: a vectorised table function over PARTITION BY ... ORDER BY.
+"""SQL face of training: vectorised table functions over PARTITION BY ... ORDER BY.
 
-The function keeps running moments of one feature and the target, so its memory does not
+``fit_by_table_function`` fits any learner on all features; given to ``fit_models`` it makes a
+table of models like any other. It holds one series of bounded size at a time.
+
+``PanelMoments`` keeps running moments of one feature and the target, so its memory does not
 grow with its input. Its partial results are merged by an aggregation: a series beyond the
 task bound is passed to it in parts and thereby shared by many tasks.
 """
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udtf
 
+from tidecast.operators.learners import Learner
 from tidecast.operators.skew import in_parts
+from tidecast.operators.training import METRICS, fit_one, fit_schema
 from tidecast.session import MAX_TASK_ROWS
 from tidecast.spec import PanelSpec
 
@@ -103,3 +109,61 @@ def train_by_table_function(
         "SLOPE",
         (F.col("_y") - F.col("SLOPE") * F.col("_x")).alias("INTERCEPT"),
     )
+
+
+MODEL = (
+    "SERIES string, MODEL_BINARY binary, TRAIN_MAE double, TRAIN_RMSE double, TRAIN_ROWS bigint, "
+    "SHARES array<double>, STATUS string, ERROR string"
+)
+MODEL_ARROW = pa.schema([
+    ("SERIES", pa.string()), ("MODEL_BINARY", pa.binary()), ("TRAIN_MAE", pa.float64()), ("TRAIN_RMSE", pa.float64()),
+    ("TRAIN_ROWS", pa.int64()), ("SHARES", pa.list_(pa.float64())), ("STATUS", pa.string()), ("ERROR", pa.string()),
+])
+
+
+def trainer(learner: Learner, features: list[str]):
+    """Table function with the input columns series, time, target and ``features``."""
+
+    class PanelTrainer:
+        def __init__(self):
+            self.series, self.held = None, []
+
+        def eval(self, batch):
+            if batch.num_rows:
+                self.series = batch.column(0)[0].as_py()
+                columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(2, 3 + len(features))]
+                self.held.append(np.stack(columns, axis=1).astype(np.float32))
+            return iter(())
+
+        def terminate(self):
+            if self.held:
+                rows = np.concatenate(self.held)
+                found = fit_one(np.ascontiguousarray(rows[:, 1:]), rows[:, 0].copy(), learner, features)
+                metrics = found.pop("METRICS") or {}
+                shares = metrics.pop("FEATURE_IMPORTANCES", None)
+                made = {"SERIES": self.series, "SHARES": shares and list(shares.values())} | metrics | found
+                yield pa.Table.from_pylist([made], MODEL_ARROW)
+
+    return arrow_udtf(PanelTrainer, returnType=MODEL)
+
+
+def fit_by_table_function(df: DataFrame, spec: PanelSpec, learner: Learner) -> DataFrame:
+    """The models of series that fit a task, as ``fit_groups`` makes them, by a call from SQL."""
+    spark, features = df.sparkSession, spec.features(df)
+    spark.udtf.register("panel_train", trainer(learner, features))
+    names = [f"x{k}" for k in range(len(features))]
+    rows = spec.model_input(df).select(
+        F.col(spec.grain).cast("string").alias("series"), F.col(spec.time).alias("ts"), F.col(spec.target).alias("y"),
+        *[F.col(c).alias(n) for c, n in zip(features, names)],
+    )
+    order = ", ".join(f"{c} ASC NULLS LAST" for c in ["ts", *names, "y"])
+    found = spark.sql(f"SELECT * FROM panel_train(TABLE({{rows}}) PARTITION BY series ORDER BY ({order}))", rows=rows)
+    shares = F.map_from_arrays(F.array(*[F.lit(c) for c in features]).cast("array<string>"), "SHARES")
+    metrics = F.struct("TRAIN_MAE", "TRAIN_RMSE", "TRAIN_ROWS", shares.alias("FEATURE_IMPORTANCES")).cast(METRICS)
+    return found.select(
+        F.col("SERIES").cast(fit_schema(df, spec)[spec.grain].dataType).alias(spec.grain),
+        "MODEL_BINARY",
+        F.when(F.col("STATUS") == "ok", metrics).alias("METRICS"),
+        "STATUS",
+        "ERROR",
+    )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -15,6 +16,9 @@ from tidecast.operators.skew import long_series
 from tidecast.session import MAX_TASK_CELLS, MAX_TASK_ROWS, task_count
 from tidecast.spec import PanelSpec
 
+# Fits series that fit a task: (rows, spec, learner) -> one row per series, as ``fit_schema`` has it.
+FitShort = Callable[[DataFrame, PanelSpec, Learner], DataFrame]
+
 METRICS = T.StructType([
     T.StructField("TRAIN_MAE", T.DoubleType()),
     T.StructField("TRAIN_RMSE", T.DoubleType()),
@@ -44,24 +48,28 @@ def summarize(y: np.ndarray, pred: np.ndarray, features: list[str], importances)
     }
 
 
+def fit_one(X: np.ndarray, y: np.ndarray, learner: Learner, features: list[str]) -> dict:
+    """Model, metrics and status of one series in order; a failure becomes an error."""
+    try:
+        blob, importances = learner.fit(X, y)
+        pred = learner.predict(learner.load(blob), X)
+        metrics = summarize(y, pred, features, importances)
+        return {"MODEL_BINARY": blob, "METRICS": metrics, "STATUS": "ok", "ERROR": None}
+    except Exception as problem:
+        error = f"{type(problem).__name__}: {problem}"
+        return {"MODEL_BINARY": None, "METRICS": None, "STATUS": "error", "ERROR": error}
+
+
 def fit_groups(df: DataFrame, spec: PanelSpec, learner: Learner) -> DataFrame:
     """Fit series that fit a task. A failing series becomes an error row, not a failed job."""
     features = spec.features(df)
     ordering = [spec.time, *features, spec.target]
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        row = {spec.grain: pdf[spec.grain].iloc[0], "MODEL_BINARY": None, "METRICS": None}
-        try:
-            pdf = pdf.sort_values(ordering, kind="stable")
-            X = pdf[features].to_numpy(np.float32)
-            y = pdf[spec.target].to_numpy(np.float32)
-            blob, importances = learner.fit(X, y)
-            pred = learner.predict(learner.load(blob), X)
-            row |= {"MODEL_BINARY": blob, "METRICS": summarize(y, pred, features, importances)}
-            row |= {"STATUS": "ok", "ERROR": None}
-        except Exception as problem:
-            row |= {"STATUS": "error", "ERROR": f"{type(problem).__name__}: {problem}"}
-        return pd.DataFrame([row])
+        pdf = pdf.sort_values(ordering, kind="stable")
+        X = pdf[features].to_numpy(np.float32)
+        y = pdf[spec.target].to_numpy(np.float32)
+        return pd.DataFrame([{spec.grain: pdf[spec.grain].iloc[0]} | fit_one(X, y, learner, features)])
 
     rows = spec.model_input(df).repartition(task_count(df.sparkSession), spec.grain)
     return rows.groupBy(spec.grain).applyInPandas(fit, fit_schema(df, spec))
@@ -75,21 +83,23 @@ def fit_models(
     model_version: str,
     trained_at: dt.datetime,
     max_task_rows: int | None = None,
+    fit_short: FitShort | None = None,
 ) -> DataFrame:
     """The models of one run: one row per series of ``df``.
 
     ``trained_at`` is an argument so that a rerun gives the same table. A series of more than
     ``max_task_rows`` rows, by default as many as hold MAX_TASK_CELLS values of features, is fitted
     by the ``fit_large`` of its learner. A learner without one gets the whole series in one task,
-    which WARNING tells.
+    which WARNING tells. ``fit_short`` fits the other series; if it is given, a learner with
+    ``fit_panel`` uses that for long series only.
     """
     df = df.filter(F.col(spec.grain).isNotNull())
     if max_task_rows is None:
         max_task_rows = min(MAX_TASK_ROWS, MAX_TASK_CELLS // max(1, len(spec.features(df))))
-    if hasattr(learner, "fit_panel"):
+    if hasattr(learner, "fit_panel") and fit_short is None:
         fitted = learner.fit_panel(df, spec)
     else:
-        fitted = _fit_by_size(df, spec, learner, max_task_rows)
+        fitted = _fit_by_size(df, spec, learner, max_task_rows, fit_short or fit_groups)
     if "WARNING" not in fitted.columns:
         fitted = fitted.withColumn("WARNING", F.lit(None).cast("string"))
     names = F.array(*[F.lit(c) for c in spec.features(df)]).cast("array<string>")
@@ -108,22 +118,24 @@ def fit_models(
     )
 
 
-def _fit_by_size(df, spec, learner, max_task_rows):
+def _fit_by_size(df, spec, learner, max_task_rows, fit_short):
     """Short series inside tasks; series beyond ``max_task_rows`` as Spark aggregations."""
     large, most_parts = long_series(df, spec.grain, max_task_rows)
     if not most_parts:
-        return fit_groups(df, spec, learner)
-    if hasattr(learner, "fit_large"):
-        small = fit_groups(df.join(large, spec.grain, "left_anti"), spec, learner)
+        return fit_short(df, spec, learner)
+    if hasattr(learner, "fit_large") or hasattr(learner, "fit_panel"):
+        small = fit_short(df.join(large, spec.grain, "left_anti"), spec, learner)
         rest = df.join(large.select(spec.grain), spec.grain, "left_semi")
-        return small.unionByName(learner.fit_large(rest, spec, max_task_rows))
+        if hasattr(learner, "fit_large"):
+            return small.unionByName(learner.fit_large(rest, spec, max_task_rows))
+        return small.unionByName(learner.fit_panel(rest, spec).select(small.columns))
     note = F.concat(
         F.lit(f"fitted in one task: learner '{learner.name}' has no fit_large and the series has "),
         F.col("_rows"),
         F.lit(f" rows, more than {max_task_rows}"),
     )
     notes = large.select(spec.grain, note.alias("WARNING"))
-    return fit_groups(df, spec, learner).join(notes, spec.grain, "left")
+    return fit_short(df, spec, learner).join(notes, spec.grain, "left")
 
 
 def metrics_long(models: DataFrame, spec: PanelSpec) -> DataFrame:

@@ -16,6 +16,7 @@ EVENTS = """
            (isodow(ts) - 1) / 6.0::DOUBLE AS DOW_RATIO, value AS TARGET
     FROM events"""
 
+ALL_FEATURES = ["K", "HOUR", "IS_CLICK", "IS_ERROR", "IS_PURCHASE", "IS_SIGNUP", "IS_VIEW", "DOY_RATIO", "DOW_RATIO"]
 SHORT = f"SELECT PARTITION_ID, TS, K, HOUR, TARGET FROM ({EVENTS})"
 
 
@@ -335,6 +336,12 @@ ORACLES = {
         SELECT PARTITION_ID, count(*) AS TRAIN_ROWS, min(TS) AS FIRST_TS, max(TS) AS LAST_TS,
                round(regr_slope(y, a), 6) AS SLOPE, round(regr_intercept(y, a), 6) AS INTERCEPT
         FROM train GROUP BY PARTITION_ID""",
+    "udtf_score": f"""
+        WITH labelled AS ({split(EVENTS)}),
+        fitted AS (SELECT * EXCLUDE (IS_TRAIN), CAST(TARGET AS FLOAT)::DOUBLE AS y FROM labelled WHERE IS_TRAIN),
+        {stump('fitted', ALL_FEATURES)}
+        SELECT PARTITION_ID, TS, TARGET, round({stump_value(ALL_FEATURES)}, 4) AS PREDICTION
+        FROM labelled JOIN tree USING (PARTITION_ID) WHERE NOT IS_TRAIN""",
     "catalog_build": LINEAR + f"""
         SELECT PARTITION_ID, {RUN_AT} AS TRAINED_AT, 'v20240302_1230' AS MODEL_VERSION, true AS IS_ACTIVE,
                {STAGE}, TRAIN_ROWS FROM quality""",

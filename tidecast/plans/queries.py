@@ -21,7 +21,7 @@ from tidecast.operators.scoring import (
     score,
 )
 from tidecast.operators.split import label_rows, partition_counts, split_points, time_split, train_test
-from tidecast.operators.table_function import train_by_table_function
+from tidecast.operators.table_function import fit_by_table_function, train_by_table_function
 from tidecast.operators.training import fit_models, metrics_long
 from tidecast.plans import panels
 from tidecast.plans.jobs import preview
@@ -275,6 +275,15 @@ def udtf_train(spark, sf):
     )
 
 
+def udtf_score(spark, sf):
+    """Models of all features from the SQL table function, scored like any other."""
+    panel = materialize(panels.events_panel(spark, sf), "features")
+    train, test = train_test(time_split(panel, EVENTS, TEST_PCT))
+    models = fit_models(train, EVENTS, STUMP, RUN_ID, VERSION, RUN_AT, fit_short=fit_by_table_function)
+    scored = score(test, models, EVENTS).select("PARTITION_ID", "TS", "TARGET", "PREDICTION")
+    return rounded(scored, 4, "PREDICTION")
+
+
 # Catalog and registry
 
 
@@ -621,6 +630,7 @@ QUERIES = [
     score_gbt_small,
     train_long_series,
     udtf_train,
+    udtf_score,
     catalog_build,
     catalog_active_per_grain,
     catalog_latest_version,
