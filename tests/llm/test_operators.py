@@ -267,3 +267,10 @@ def test_pipeline(spark, sf_small):
     raw = {r.doc_id: r.text for r in spark.read.parquet(os.path.join(sf_small, "documents.parquet")).collect()}
     assert got and all(r.decoded_sha256 == hashlib.sha256(raw[r.doc_id].encode()).hexdigest() for r in got)
     assert max(collections.Counter(r.doc_id for r in got).values()) <= 2
+
+
+def test_equal_separators_make_no_copies(spark):
+    rng = random.Random(3)
+    made = [" ".join([f"v{rng.randrange(10**9)}" for _ in range(200)] + ["-"] * 90) for _ in range(5)]
+    table = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")
+    assert simhash.keep_one(table).count() == 5

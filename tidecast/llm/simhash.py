@@ -19,12 +19,12 @@ import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidecast.llm.set_join import similar_groups, text_key
 from tidecast.llm.spread import attach
 from tidecast.llm.words import in_pieces
 from tidecast.session import materialize, materialize_observed
@@ -79,14 +79,6 @@ def with_fingerprint(docs: DataFrame, id_col: str, text_col: str, words: int, wi
     return rows.mapInArrow(run, f"_id {kind}, _print binary")
 
 
-def _print_series(words: int, width: int) -> Callable:
-    def run(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: fingerprint((t or "").encode(), words, width))
-
-    run.__annotations__ = {"texts": pd.Series, "return": pd.Series}
-    return run
-
-
 def _tables(n: int, width: int, radius: int) -> list[list[int]]:
     """Bits whose values name the shard of a fingerprint, for each table."""
     if radius <= EXACT_RADIUS:
@@ -356,23 +348,18 @@ def near_groups(
     )
 
 
-def keep_one(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, width: int = 128, radius: int = 19
-) -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5) -> DataFrame:
     """The row with the smallest id of each group of near duplicates, with all its columns.
 
-    Two texts are near duplicates if the similarity of their shingle sets, as the fingerprints
-    tell it, is 0.8 or more: at this Jaccard similarity the cosine is 8/9, and 15 % of the bits
-    differ. Texts without a word are never near duplicates of each other.
+    Two texts are linked if the Jaccard similarity of their shingle sets is 0.8 or more, and all
+    that links lead to are one group. Fingerprints only estimate this, so sets are compared.
+    Texts without a word are never near duplicates of each other.
     """
-    _, found, total = groups(docs, id_col, text_col, words, width, radius)
+    found, total = similar_groups(docs, id_col, text_col, words, components)
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"), whole)
-    mark = F.pandas_udf(_print_series(words, width), "binary")
-    rows = rows.withColumn("_print", mark("_text")).drop("_text")
-    alone = F.hex("_print").rlike("^0*$")
+    rows = docs.select(F.col(id_col).alias("_id"), text_key(F.col(text_col)).alias("_key"), whole)
     return (
-        attach(rows, found, "_print", total, "_id")
-        .filter(F.col("_id").eqNullSafe(F.col("component_id")) | alone)
+        attach(rows, found, "_key", total, "_id")
+        .filter(F.col("_id").eqNullSafe(F.col("component_id")) | F.col("n").isNull())
         .select("_row.*")
     )
