@@ -274,3 +274,39 @@ def test_equal_separators_make_no_copies(spark):
     made = [" ".join([f"v{rng.randrange(10**9)}" for _ in range(200)] + ["-"] * 90) for _ in range(5)]
     table = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")
     assert simhash.keep_one(table).count() == 5
+
+
+def near_texts():
+    rng = random.Random(8)
+    made, word = [], lambda: f"v{rng.randrange(10**9)}"
+    for k in range(6):  # different texts, one separator
+        made.append(" ".join([word() for _ in range(150)] + ["-"] * 80))
+    for cut in (1, 2, 3, 4, 5, 6, 7, 8, 9):  # copies from far above to below the threshold
+        for _ in range(4):
+            base = [word() for _ in range(200)]
+            copy = list(base)
+            for at in rng.sample(range(5, 195), cut):
+                copy[at] = word()
+            made += [" ".join(base), " ".join(copy)]
+    base = [word() for _ in range(120)]  # a chain and a hub
+    for _ in range(25):
+        base = list(base)
+        base[rng.randrange(120)] = word()
+        made.append(" ".join(base))
+    return made + ["Two Words", "two words", "", None, " "]
+
+
+def test_near_copies_against_brute_force(spark, monkeypatch):
+    made = near_texts()
+    runs = [{b" ".join(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set() for w in (words((t or "").lower()) for t in made)]
+    up = list(range(len(made)))
+    for a in range(len(made)):
+        for b in range(a):
+            if runs[a] and runs[b] and 5 * len(runs[a] & runs[b]) >= 4 * len(runs[a] | runs[b]):
+                one, two = sorted((up[a], up[b]))
+                up = [one if u == two else u for u in up]
+    table = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string").repartition(5)
+    want = sorted(set(up))
+    assert sorted(r.doc_id for r in simhash.keep_one(table).collect()) == want and len(want) > 30
+    monkeypatch.setattr("tidecast.llm.set_join.COMMON", 0)
+    assert sorted(r.doc_id for r in simhash.keep_one(table).collect()) == want
