@@ -310,3 +310,13 @@ def test_near_copies_against_brute_force(spark, monkeypatch):
     assert sorted(r.doc_id for r in simhash.keep_one(table).collect()) == want and len(want) > 30
     monkeypatch.setattr("tidecast.llm.set_join.COMMON", 0)
     assert sorted(r.doc_id for r in simhash.keep_one(table).collect()) == want
+
+
+def test_sampled_tables_meet_pairs_at_the_radius_at_any_size():
+    for n in (4_096, 88_000, 2_000_000, 16_000_000):
+        tables = simhash._tables(n, 128, 19)
+        differ = np.argsort(np.random.default_rng(7).random((10_000, 128)), axis=1) < 19
+        met = np.zeros(len(differ), bool)
+        for bits in tables:
+            met |= ~differ[:, bits].any(axis=1)
+        assert met.mean() > simhash.RECALL - 0.004

@@ -84,8 +84,8 @@ def _tables(n: int, width: int, radius: int) -> list[list[int]]:
     if radius <= EXACT_RADIUS:
         cuts = [width * k // (radius + 1) for k in range(radius + 2)]
         return [list(range(a, b)) for a, b in zip(cuts, cuts[1:])]
-    bits = max(12, math.ceil(math.log2(max(n, 2))))
-    met = (1 - radius / width) ** bits
+    bits = min(width - radius, max(12, math.ceil(math.log2(max(n, 2)))))
+    met = math.comb(width - radius, bits) / math.comb(width, bits)  # bits are drawn without repeats
     count = math.ceil(math.log(1 - RECALL) / math.log(1 - met))
     draw = np.random.default_rng(SEED)
     return [sorted(draw.choice(width, bits, replace=False).tolist()) for _ in range(count)]
