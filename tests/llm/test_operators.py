@@ -320,3 +320,10 @@ def test_sampled_tables_meet_pairs_at_the_radius_at_any_size():
         for bits in tables:
             met |= ~differ[:, bits].any(axis=1)
         assert met.mean() > simhash.RECALL - 0.004
+
+
+def test_dedup_keeps_one_row_of_repeated_ids(spark):
+    rows = [(1, "a b c d e f"), (1, "a b c d e f"), (1, "a b c d e\tf"), (2, "a b c d e f"), (None, "x y"), (None, "x y"), (3, "z"), (4, ""), (4, "")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    for part, ids in ((exact_dedup.keep_first(table), [1, 3, 4, None]), (simhash.keep_one(table), [1, 3, 4, 4, None])):
+        assert sorted((r.doc_id for r in part.collect()), key=repr) == sorted(ids, key=repr)

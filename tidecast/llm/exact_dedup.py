@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidecast.llm.spread import attach
+from tidecast.llm.spread import attach, one_each
 from tidecast.llm.words import SPACES
 from tidecast.session import materialize_observed
 
@@ -70,13 +70,16 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
+    """One row of each group of ``docs``, with all its columns; of rows that share the id and length
+    that stay, the one with the smallest hash."""
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
     rows = docs.select(
         F.col(id_col).alias("_id"), _chars(text_col), F.sha2(normal_form(text_col), 256).alias("sha"), whole
     )
     groups, total = classes(docs, id_col, text_col)
-    return attach(rows, groups, "sha", total, "_id").filter(_stays()).select("_row.*")
+    again = rows.groupBy("sha", "_id", "_chars").agg(F.count("*").alias("_k")).filter("_k > 1").select("sha").distinct()
+    stay = attach(rows, groups, "sha", total, "_id").filter(_stays()).select("sha", "_row")
+    return one_each(stay, "sha", again).select("_row.*")
 
 
 def _chars(text: str) -> Column:

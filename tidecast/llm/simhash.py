@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidecast.llm.set_join import similar_groups, text_key
-from tidecast.llm.spread import attach
+from tidecast.llm.spread import attach, one_each
 from tidecast.llm.words import in_pieces
 from tidecast.session import materialize, materialize_observed
 
@@ -349,17 +349,17 @@ def near_groups(
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5) -> DataFrame:
-    """The row with the smallest id of each group of near duplicates, with all its columns.
+    """One row of each group of near duplicates, with all its columns: the one with the smallest
+    id, of several with this id the one with the smallest hash.
 
     Two texts are linked if the Jaccard similarity of their shingle sets is 0.8 or more, and all
     that links lead to are one group. Fingerprints only estimate this, so sets are compared.
     Texts without a word are never near duplicates of each other.
     """
-    found, total = similar_groups(docs, id_col, text_col, words, components)
+    found, again, total = similar_groups(docs, id_col, text_col, words, components)
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
     rows = docs.select(F.col(id_col).alias("_id"), text_key(F.col(text_col)).alias("_key"), whole)
-    return (
-        attach(rows, found, "_key", total, "_id")
-        .filter(F.col("_id").eqNullSafe(F.col("component_id")) | F.col("n").isNull())
-        .select("_row.*")
+    stay = attach(rows, found, "_key", total, "_id").filter(
+        F.col("_id").eqNullSafe(F.col("component_id")) | F.col("n").isNull()
     )
+    return one_each(stay.select("component", "_row"), "component", again).select("_row.*")

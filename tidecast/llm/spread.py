@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidecast.session import materialize
+from tidecast.session import materialize, materialize_observed
 
 # A group with more than one row in so many is hot; there can be no more hot groups than this.
 HOT_GROUPS = 1000
@@ -44,6 +44,19 @@ def attach(rows: DataFrame, groups: DataFrame, key: str, total: int, *by: Column
     return joined.select(*rows.columns, *[found[c].alias(c) for c in values])
 
 
+def one_each(rows: DataFrame, key: str, again: DataFrame, column: str = "_row") -> DataFrame:
+    """``column`` of ``rows``, of those with a key in ``again`` (one row per key) only one.
+
+    It is the row with the smallest hash; copies meet inside each task first.
+    """
+    again, seen = materialize_observed(again.select(F.col(key).alias("_again")), "tied", n=F.count("*"))
+    if not seen["n"]:
+        return rows.select(column)
+    same = F.col(key) == F.col("_again")
+    tied = rows.join(again, same, "left_semi").groupBy(key).agg(F.min_by(column, F.xxhash64(column)).alias(column))
+    return rows.join(again, same, "left_anti").select(column).unionAll(tied.select(column))
+
+
 def number_rows(df: DataFrame, rows: int, *order: Column | str, name: str = "row_no") -> DataFrame:
     """``df`` with the position of each row in ``order``, from 0 and without gaps.
 
