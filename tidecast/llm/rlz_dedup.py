@@ -5,7 +5,9 @@ by the hash of every run of WINDOW words, so a block can tell for each such run
 starts in an earlier document. Parsing is greedy: a factor begins at the first run found and is
 lengthened as long as the run one word on is found as well. Where a factor ends, the runs that
 lie across its border are looked up like any other, so a factor may begin before the last one
-has ended. Factors of WINDOW words or more are the duplicate spans.
+has ended. Factors of WINDOW words or more are the duplicate spans. Neighbouring runs may
+come from different documents, so a factor need not be a substring of any one; it keeps no
+position in the reference, and no bytes of the reference are compared.
 
 What the blocks need is one hash and one position per run. A task packs those of a few MB of
 text into one row per block: hashes of 56 bits, which the block's number, drawn from other bits,
