@@ -327,3 +327,14 @@ def test_dedup_keeps_one_row_of_repeated_ids(spark):
     table = spark.createDataFrame(rows, "doc_id long, text string")
     for part, ids in ((exact_dedup.keep_first(table), [1, 3, 4, None]), (simhash.keep_one(table), [1, 3, 4, 4, None])):
         assert sorted((r.doc_id for r in part.collect()), key=repr) == sorted(ids, key=repr)
+
+
+def test_bounds_gather_a_hot_id_once(spark, monkeypatch):
+    one_in = 3_000 // (2 * warc.SAMPLED)
+    chosen = [r[0] for r in spark.range(2_000).filter(f"pmod(xxhash64(id), {one_in}) = 0").collect()]
+    ids = spark.createDataFrame([(k,) for k in [*range(2_000), *[chosen[3]] * 1_000]], "_id long")
+    gathered, collect = [], type(ids).collect
+    monkeypatch.setattr(type(ids), "collect", lambda df: gathered.append(collect(df)) or gathered[-1])
+    rows = sorted(chosen + [chosen[3]] * 1_000)
+    assert warc._bounds(ids, 3_000, 2) == [rows[len(rows) // 2]]
+    assert len(gathered[0]) == len(chosen)

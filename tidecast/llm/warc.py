@@ -20,6 +20,7 @@ import hashlib
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 from urllib.parse import quote, unquote
 
 import pyarrow as pa
@@ -161,13 +162,17 @@ def _rename(folder: str) -> Callable:
 
 
 def _bounds(ids: DataFrame, rows: int, shards: int) -> list:
-    """Rising ids that cut the table into shards, from a share of the ids chosen by hash."""
+    """Rising ids that cut the table into shards, from a share of the ids chosen by hash.
+
+    An id comes to the driver once, with the count of its rows.
+    """
     if shards < 2:
         return []
     one_in = max(1, rows // (shards * SAMPLED))
     sampled = ids.filter(F.col("_id").isNotNull() & (F.pmod(F.xxhash64("_id"), F.lit(one_in)) == 0))
-    found = [r[0] for r in sampled.orderBy("_id").collect()]
-    return sorted({found[len(found) * k // shards] for k in range(1, shards)}) if found else []
+    found = sampled.groupBy("_id").agg(F.count("*").alias("_n")).orderBy("_id").collect()
+    through = list(accumulate(r["_n"] for r in found))
+    return sorted({found[bisect.bisect_right(through, through[-1] * k // shards)][0] for k in range(1, shards)}) if found else []
 
 
 def write_archives(
