@@ -70,4 +70,94 @@ ORACLES = {
     "op3_warc": WARC,
     "op6_tool_calls": CALLS,
     "op7_substring_dedup": SUBSTRINGS,
+    # Every order is walked row by row: a document goes at the first filter of the order that it fails.
+    "op11_filter_audit": r"""
+        WITH said AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+        w AS (
+            SELECT doc_id, source, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws
+            FROM documents
+        ),
+        f AS (
+            SELECT w.doc_id, coalesce(source, '') AS part,
+                CASE WHEN len(ws) < 50 THEN 'A' ELSE '' END
+                || CASE WHEN 100 * len(list_distinct(ws)) < 65 * len(ws) THEN 'B' ELSE '' END
+                || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) THEN 'C' ELSE '' END
+                || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+                || CASE WHEN w.doc_id > min(w.doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END AS fails
+            FROM w
+        ),
+        d AS (
+            SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+            FROM f LEFT JOIN said USING (doc_id) GROUP BY ALL
+        ),
+        l AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+        o AS (
+            SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+            FROM l a, l b, l c, l d, l e WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+        ),
+        walked AS (
+            SELECT part, filter_order, step, fails, n, good, toxic, filter_order[step] AS x,
+                (SELECT min(p) FROM unnest(range(1, 6)) r(p) WHERE contains(fails, filter_order[p])) AS gone
+            FROM d, o, unnest(range(1, 6)) s(step)
+        ),
+        steps AS (
+            SELECT part, filter_order, step, any_value(x) AS x,
+                coalesce(sum(n) FILTER (gone IS NULL OR gone > step), 0) AS kept,
+                coalesce(sum(n) FILTER (gone = step), 0) AS removed,
+                coalesce(sum(n) FILTER (gone < step AND contains(fails, x)), 0) AS redundant,
+                coalesce(sum(n) FILTER (fails = x), 0) AS unique_fails,
+                coalesce(sum(good) FILTER (gone = step), 0) AS good_lost,
+                coalesce(sum(toxic) FILTER (gone = step), 0) AS toxic_lost
+            FROM walked GROUP BY ALL
+        )
+        SELECT part, filter_order, step::INTEGER AS step, kept::BIGINT AS kept, removed::BIGINT AS removed,
+            redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost,
+            toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, x))::BIGINT AS shapley
+        FROM steps""",
+    # CRC-32 bit by bit over the bytes of id and run; near words meet by the letters left when one is deleted.
+    "op13_spelling": r"""
+        WITH RECURSIVE crc AS (
+            SELECT list(list_reduce(list_prepend(b, range(8)),
+                lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) ORDER BY b) AS t
+            FROM range(256) r(b)
+        ),
+        runs AS (
+            SELECT coalesce(doc_id::VARCHAR, '') AS id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]{7,}')),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+            FROM documents
+        ),
+        counted AS (SELECT id, run, count(*) AS n FROM runs GROUP BY ALL),
+        coded AS (SELECT *, hex(encode(id || ':' || run)) AS x FROM counted),
+        hashed AS (
+            SELECT run, n, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+                list_transform(range(1, length(x), 2), lambda k: ('0x' || x[k:k+1])::BIGINT)),
+                lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8))) AS h
+            FROM coded, crc
+        ),
+        cut AS (
+            SELECT CASE WHEN h % 31 = 0 THEN run[:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word, n FROM hashed
+        ),
+        v AS (
+            SELECT word, sum(n)::BIGINT AS n FROM cut WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+        ),
+        gaps AS (SELECT word, n, k, word[:k] || word[k + 2:] AS rest FROM v, unnest(range(length(word))) u(k)),
+        near AS (
+            SELECT a.word, b.word AS near, b.n AS near_n FROM gaps a JOIN gaps b ON a.rest = b.rest AND a.k = b.k AND a.word <> b.word
+            UNION SELECT a.word, b.word, b.n FROM gaps a JOIN v b ON a.rest = b.word
+            UNION SELECT b.word, a.word, a.n FROM gaps a JOIN v b ON a.rest = b.word
+        ),
+        best AS (
+            SELECT word, count(*) AS n_near, min(struct_pack(m := -near_n, near)) AS b FROM near GROUP BY word
+        ),
+        found AS (
+            SELECT v.word, v.n, coalesce(n_near, 0) AS n_near,
+                CASE WHEN -b.m >= 10 * v.n THEN b.near END AS form, CASE WHEN -b.m >= 10 * v.n THEN -b.m END AS form_n
+            FROM v LEFT JOIN best USING (word)
+        ),
+        ways AS (
+            SELECT word, word AS root FROM found
+            UNION ALL SELECT w.word, f.form FROM ways w JOIN found f ON w.root = f.word WHERE f.form IS NOT NULL
+        )
+        SELECT f.word, form, w.root, f.n, n_near, form_n FROM found f JOIN ways w ON f.word = w.word
+        WHERE (SELECT g.form FROM found g WHERE g.word = w.root) IS NULL""",
 }

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidecast.llm import (
-    bpe, exact_dedup, language_id, mixing, quality_crf, rlz_dedup, sharding, simhash, tool_calls, warc,
+    bpe, exact_dedup, filter_audit, language_id, mixing, quality_crf, rlz_dedup, sharding, simhash, spelling,
+    tool_calls, warc,
 )
 from tidecast.llm.oracles import ORACLES
 from tidecast.session import scratch_path
@@ -98,10 +99,18 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"), words=3, width=64, radius=3)
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_texts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = (
         op1_exact_dedup, op2_quality, op3_warc, op4_bpe, op5_sharding, op6_tool_calls,
-        op7_substring_dedup, op8_language_id, op9_mixing, op10_simhash,
+        op7_substring_dedup, op8_language_id, op9_mixing, op10_simhash, op11_filter_audit, op13_spelling,
     )
     return {f.__name__: f for f in named}
 
