@@ -114,6 +114,28 @@ ORACLES = {
             redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost,
             toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, x))::BIGINT AS shapley
         FROM steps""",
+    # All pairs that share a shingle, then everything that links reach.
+    "op12_jaccard_join": r"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x20\x09-\x0D]+') AS w
+            FROM documents
+        ),
+        s AS (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS x
+            FROM d
+        ),
+        z AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        both_have AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM s a JOIN s b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY ALL
+        ),
+        links AS (
+            SELECT a, b FROM both_have p JOIN z y ON a = y.doc_id JOIN z v ON b = v.doc_id WHERE 100 * p.n >= 85 * (y.n + v.n - p.n)
+        ),
+        reached AS (SELECT a AS doc_id, b AS at FROM links UNION SELECT doc_id, l.b FROM reached r JOIN links l ON r.at = l.a)
+        SELECT doc_id, coalesce(any_value(z.n), 0)::BIGINT AS n_shingles, least(doc_id, coalesce(min(r.at), doc_id)) AS component_id
+        FROM d LEFT JOIN z USING (doc_id) LEFT JOIN reached r USING (doc_id) GROUP BY doc_id""",
     # CRC-32 bit by bit over the bytes of id and run; near words meet by the letters left when one is deleted.
     "op13_spelling": r"""
         WITH RECURSIVE crc AS (

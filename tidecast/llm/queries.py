@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidecast.llm import (
-    bpe, exact_dedup, filter_audit, language_id, mixing, quality_crf, rlz_dedup, sharding, simhash, spelling,
-    tool_calls, warc,
+    bpe, exact_dedup, filter_audit, jaccard_join, language_id, mixing, quality_crf, rlz_dedup, sharding, simhash,
+    spelling, tool_calls, warc,
 )
 from tidecast.llm.oracles import ORACLES
 from tidecast.session import scratch_path
@@ -103,6 +103,10 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit_texts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar_documents(table(spark, sf_dir, "documents"), words=4, similar=(85, 100))
+
+
 def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"))
 
@@ -110,7 +114,8 @@ def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = (
         op1_exact_dedup, op2_quality, op3_warc, op4_bpe, op5_sharding, op6_tool_calls,
-        op7_substring_dedup, op8_language_id, op9_mixing, op10_simhash, op11_filter_audit, op13_spelling,
+        op7_substring_dedup, op8_language_id, op9_mixing, op10_simhash, op11_filter_audit, op12_jaccard_join,
+        op13_spelling,
     )
     return {f.__name__: f for f in named}
 
