@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidecast.llm.simhash import components
+from tidecast.llm.links import components
 from tidecast.llm.spread import attach
 from tidecast.llm.words import in_pieces, mix, text_bytes, word_hashes, word_spans
 from tidecast.session import materialize, materialize_observed
@@ -76,6 +76,10 @@ def shingle_sets(texts: pa.Array, words: int) -> list[np.ndarray]:
     return out
 
 
+def text_key(column: str) -> Column:
+    return F.unhex(F.md5(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")))
+
+
 # How much similar sets share
 
 
@@ -160,7 +164,7 @@ def rarity(texts: DataFrame, words: int) -> np.ndarray:
 # Sets and their index
 
 
-def _described(words: int, similar: tuple[int, int], ranks: np.ndarray) -> Callable:
+def _described(words: int, similar: tuple[int, int], ranks: np.ndarray, digest: Callable[[np.ndarray], bytes]) -> Callable:
     def prefix(found: np.ndarray) -> bytes:
         if not len(found):
             return b""
@@ -176,8 +180,9 @@ def _described(words: int, similar: tuple[int, int], ranks: np.ndarray) -> Calla
                 pa.array([hashlib.md5(s.tobytes()).digest() for s in sets], pa.binary()),
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([prefix(s) for s in sets], pa.binary()),
+                pa.array([digest(s) for s in sets], pa.binary()),
             ]
-            yield pa.RecordBatch.from_arrays(columns, names=["_id", "_key", "_set", "_size", "_prefix"])
+            yield pa.RecordBatch.from_arrays(columns, names=["_id", "_key", "_set", "_size", "_prefix", "_print"])
 
     return run
 
@@ -487,27 +492,42 @@ def follower_pairs(compared: DataFrame, roots: DataFrame, followers: DataFrame,
 
 
 def set_groups(
-    docs: DataFrame, id_col: str, text_col: str, words: int, similar: tuple[int, int] = SIMILAR
+    docs: DataFrame,
+    id_col: str,
+    text_col: str,
+    words: int,
+    similar: tuple[int, int] = SIMILAR,
+    digest: Callable[[np.ndarray], bytes] | None = None,
+    find_leads: Callable[[DataFrame], DataFrame] | None = None,
 ) -> tuple[DataFrame, DataFrame, int]:
     """Rows (_id, _key, _set, _size), one group per _set (n, component, component_id), and the
-    number of rows. Empty sets are in no group."""
-    text = F.col(text_col).cast("string")
-    key = F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
-    texts = docs.select(F.col(id_col).alias("_id"), key.alias("_key"), text.alias("_text"))
+    number of rows. Empty sets are in no group.
+
+    ``digest`` makes a fingerprint of a set and ``find_leads``, from _doc and _print, pairs a and b
+    of a set and a lead that is probably similar. They save work; results do not depend on them.
+    """
+    texts = docs.select(
+        F.col(id_col).alias("_id"), text_key(text_col).alias("_key"), F.col(text_col).cast("string").alias("_text")
+    )
     kind = texts.schema["_id"].dataType.simpleString()
     ranks = rarity(texts, words)
     described = texts.mapInArrow(
-        _described(words, similar, ranks), f"_id {kind}, _key binary, _set binary, _size long, _prefix binary"
+        _described(words, similar, ranks, digest or (lambda found: b"")),
+        f"_id {kind}, _key binary, _set binary, _size long, _prefix binary, _print binary",
     )
     rows, seen = materialize_observed(described, "shingle-sets", n=F.count("*"))
     sets = rows.filter("_size > 0").groupBy("_set").agg(
         F.count("*").alias("n"), F.min("_id").alias("_first"), F.min(F.struct("_key", "_id")).alias("_at"),
-        F.first("_size").alias("_size"), F.first("_prefix").alias("_prefix"),
+        F.first("_size").alias("_size"), F.first("_prefix").alias("_prefix"), F.first("_print").alias("_print"),
     )
     sets = materialize(sets.withColumn("_doc", F.monotonically_increasing_id()), "distinct-sets")
     shared = shared_postings(sets, ranks)
 
-    leads, _ = compare(best_leads(shared, similar), sets, texts, words)
+    hopes = best_leads(shared, similar)
+    if find_leads:
+        given = materialize(find_leads(sets.select("_doc", "_print")), "given-leads")
+        hopes = given.unionAll(hopes.join(given.select("a"), "a", "left_anti"))
+    leads, _ = compare(hopes, sets, texts, words)
     fits = is_similar(F.col("shared"), F.col("size_a"), F.col("size_b"), similar)
     links = leads.filter(fits)
     same = leads.filter(is_similar(F.col("shared"), F.col("size_a"), F.col("size_b"), max(similar, SAME, key=lambda s: s[0] / s[1])))

@@ -24,7 +24,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidecast.llm.set_join import similar_groups, text_key
+from tidecast.llm.jaccard_join import set_groups, text_key
+from tidecast.llm.links import Sets, components
 from tidecast.llm.spread import attach, one_each
 from tidecast.llm.words import in_pieces
 from tidecast.session import materialize, materialize_observed
@@ -33,7 +34,7 @@ SEED = 42
 EXACT_RADIUS = 3
 SHARD_ROWS = 20_000
 RECALL = 0.99
-TASK_LINKS = 1_000_000  # contracted in one task
+KEPT_APART = (4, 5)  # texts of a smaller Jaccard similarity are no near duplicates
 STEP = 1 << 18  # pairs of search and node looked at together
 _BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 
@@ -166,30 +167,6 @@ class Forest:
                 stack += [(ask[i : i + STEP], child[i : i + STEP]) for i in range(0, len(ask), STEP)]
 
 
-class Sets:
-    """Union of rows; the first row of a set names it."""
-
-    def __init__(self, n: int):
-        self.up = np.arange(n)
-
-    def names(self) -> np.ndarray:
-        while True:
-            above = self.up[self.up]
-            if (above == self.up).all():
-                return self.up
-            self.up = above
-
-    def unite(self, a: np.ndarray, b: np.ndarray) -> None:
-        up = self.names()
-        pairs = np.unique(np.stack([up[a], up[b]], 1)[up[a] != up[b]], axis=0)
-        for x, y in pairs.tolist():
-            while up[x] != x:
-                x = up[x]
-            while up[y] != y:
-                y = up[y]
-            up[max(x, y)] = min(x, y)
-
-
 BOTH, TREE, ASKS = 0, 1, 2  # roles of a print in a task
 
 
@@ -260,58 +237,6 @@ def link(prints: DataFrame, n: int, width: int, radius: int) -> DataFrame:
     )
 
 
-def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links u, v from every node of a partition's links to the smallest it is connected with."""
-    tables = [b for b in batches if b.num_rows]
-    if not tables:
-        return
-    links = pa.Table.from_batches(tables)
-    names = sorted(set(links[0].to_pylist()) | set(links[1].to_pylist()))
-    number = {name: k for k, name in enumerate(names)}
-    sets = Sets(len(names))
-    sets.unite(*(np.array([number[x] for x in column.to_pylist()]) for column in links.columns))
-    up = sets.names()
-    moved = np.flatnonzero(up != np.arange(len(up))).tolist()
-    ends = [[names[i] for i in moved], [names[up[i]] for i in moved]]
-    yield pa.RecordBatch.from_arrays([pa.array(e, pa.binary()) for e in ends], names=["u", "v"])
-
-
-def components(links: DataFrame, task_links: int = TASK_LINKS) -> DataFrame:
-    """node and root, the smallest node that its links lead to, for every linked node.
-
-    First the links are contracted, so many in each task, to one per node. If that took several
-    tasks, large and small stars take turns: a node passes its smallest neighbour on to its larger,
-    then to its smaller neighbours. Hubs are summed up before any shuffle.
-    """
-    links, seen = materialize_observed(links, "links", n=F.count("*"))
-    tasks = max(1, -(-(seen["n"] or 0) // task_links))
-    check = {"n": F.count("*"), "sum": F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1 << 31)))}
-    edges, seen = materialize_observed(links.repartition(tasks).mapInArrow(_forest, "u binary, v binary"), "forest", **check)
-    state = None if tasks > 1 else (seen["n"], seen["sum"])
-    while (seen["n"], seen["sum"]) != state:
-        state = (seen["n"], seen["sum"])
-        edges, seen = materialize_observed(_small_stars(_large_stars(edges)), "stars", **check)
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-
-
-def _least(ways: DataFrame) -> DataFrame:
-    return ways.groupBy("u").agg(F.min("v").alias("_v")).select(
-        F.col("u").alias("_u"), F.least("u", "_v").alias("_least")
-    )
-
-
-def _large_stars(edges: DataFrame) -> DataFrame:
-    ways = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    met = ways.join(_least(ways), F.col("u") == F.col("_u")).filter("v > u")
-    return met.select(F.col("v").alias("u"), F.col("_least").alias("v")).distinct()
-
-
-def _small_stars(edges: DataFrame) -> DataFrame:
-    least = _least(edges)
-    met = edges.join(least, F.col("u") == F.col("_u")).select(F.col("v").alias("u"), F.col("_least").alias("v"))
-    return met.unionAll(least.select(F.col("_u").alias("u"), F.col("_least").alias("v"))).filter("u != v").distinct()
-
-
 def groups(
     docs: DataFrame, id_col: str, text_col: str, words: int, width: int, radius: int
 ) -> tuple[DataFrame, DataFrame, int]:
@@ -348,18 +273,49 @@ def near_groups(
     )
 
 
+def set_print(found: np.ndarray) -> bytes:
+    """Fingerprint of 64 bits of a set, from the hashes of its shingles."""
+    if not len(found):
+        return bytes(8)
+    hashes = found.view(np.uint8).reshape(-1, 8)
+    ones = np.concatenate([np.bincount(hashes[:, k], minlength=256) @ _BITS for k in range(8)]) * 2 > len(found)
+    return np.packbits(ones, bitorder="little").tobytes()[::-1]
+
+
+def tree_leads(sets: DataFrame) -> DataFrame:
+    """a and b: each set (_doc, _print) that searches of the trees connect with a smaller one, the lead."""
+    prints, seen = materialize_observed(
+        sets.groupBy("_print").agg(F.count("*").alias("n"), F.min("_doc").alias("_first")), "set-prints", n=F.count("*")
+    )
+    roots = components(link(prints, seen["n"] or 0, 64, EXACT_RADIUS))
+    placed = prints.join(roots, F.col("_print") == F.col("node"), "left").withColumn("_root", F.coalesce("root", "_print"))
+    lead = placed.groupBy("_root").agg(F.min("_first").alias("_lead"))
+    placed = placed.select(F.col("_print").alias("_p"), "n", F.col("_root").alias("_r")).join(lead, F.col("_r") == F.col("_root"))
+    total = sets.count()
+    found = attach(sets, placed.select(F.col("_p").alias("_print"), "n", "_lead"), "_print", total, "_doc")
+    return found.filter("_doc != _lead").select(F.col("_doc").alias("a"), F.col("_lead").alias("b"))
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5) -> DataFrame:
     """One row of each group of near duplicates, with all its columns: the one with the smallest
     id, of several with this id the one with the smallest hash.
 
     Two texts are linked if the Jaccard similarity of their shingle sets is 0.8 or more, and all
-    that links lead to are one group. Fingerprints only estimate this, so sets are compared.
-    Texts without a word are never near duplicates of each other.
+    that links lead to are one group. BK-trees of fingerprints of the sets find a lead for most
+    near copies; as fingerprints only estimate similarity, sets are compared exactly, and pairs
+    that no tree brings together are found by the set join. Texts without a word are never near
+    duplicates of each other.
     """
-    found, again, total = similar_groups(docs, id_col, text_col, words, components)
+    sets, groups, total = set_groups(docs, id_col, text_col, words, KEPT_APART, set_print, tree_leads)
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
-    rows = docs.select(F.col(id_col).alias("_id"), text_key(F.col(text_col)).alias("_key"), whole)
-    stay = attach(rows, found, "_key", total, "_id").filter(
+    rows = docs.select(F.col(id_col).alias("_id"), text_key(text_col).alias("_key"), whole)
+    named = groups.select(F.col("_set").alias("_s"), "component", "component_id")
+    filled = sets.filter("_size > 0")
+    found = filled.groupBy("_key", "_set").agg(F.count("*").alias("n")).join(named, F.col("_set") == F.col("_s"))
+    stay = attach(rows, found.select("_key", "n", "component", "component_id"), "_key", total, "_id").filter(
         F.col("_id").eqNullSafe(F.col("component_id")) | F.col("n").isNull()
     )
+    ids = filled.groupBy("_set", "_id").agg(F.count("*").alias("_k"))
+    again = ids.join(named, (F.col("_set") == F.col("_s")) & F.col("_id").eqNullSafe(F.col("component_id")))
+    again = again.groupBy("component").agg(F.sum("_k").alias("_k")).filter("_k > 1").select("component")
     return one_each(stay.select("component", "_row"), "component", again).select("_row.*")
