@@ -4,15 +4,15 @@ A word's bytes are its first parts. One array holds where parts begin and one, b
 rank of each part joined with the next; the smallest rank names the boundary to delete, and the
 ranks next to it are looked up anew. Long words keep the same ranks in a heap instead, as
 scanning them again and again would take quadratic time. Words repeat, so each Python worker
-keeps the tokens of those it has met, up to CACHE of them.
+keeps the tokens of those it has met, in CACHE_BYTES at most.
 """
 
 from __future__ import annotations
 
-import functools
 import hashlib
 import heapq
 import json
+import sys
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -26,7 +26,8 @@ from tidecast.llm.words import in_pieces
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 SHORT = 64  # parts of a word that are scanned; beyond it a heap is used
-CACHE = 1_000_000
+CACHE_BYTES = 16 << 20  # of each of two caches
+ENTRY_BYTES = 250  # of a short word and its ids as Python keeps them
 MARKS = ".,;:!?%$#*&|"  # often end a word; each is neither letter, number nor space
 NEVER = 1 << 60
 
@@ -63,6 +64,7 @@ class Bpe:
         self.before_space = regex.compile(r"(?<=\S)(?= )")
         self.known: dict[str, str] = {}  # stretches between spaces
         self.words_known: dict[str, str] = {}
+        self.most_known = CACHE_BYTES // ENTRY_BYTES
 
     def parts(self, word: bytes) -> list[bytes]:
         """Tokens of one word."""
@@ -128,7 +130,7 @@ class Bpe:
     def _word(self, word: str) -> str:
         found = ",".join([self.shown[p] for p in self.parts(word.encode())])
         if len(word) <= SHORT:
-            if len(self.words_known) >= CACHE:
+            if len(self.words_known) >= self.most_known:
                 self.words_known.clear()
             self.words_known[word] = found
         return found
@@ -145,7 +147,7 @@ class Bpe:
         else:
             found = ",".join([known(w) or self._word(w) for w in self.words.findall(chunk)])
         if len(chunk) <= SHORT:
-            if len(self.known) >= CACHE:
+            if len(self.known) >= self.most_known:
                 self.known.clear()
             self.known[chunk] = found
         return found
@@ -190,10 +192,17 @@ class Bpe:
         return b"".join(map(self.bytes_shown.__getitem__, ids)).decode("utf-8", "replace")
 
 
-@functools.lru_cache(maxsize=2)
 def load(path: str) -> Bpe:
-    """One tokenizer per Python worker and file."""
-    return Bpe(path)
+    """One tokenizer per Python worker, that of the file last asked for.
+
+    It is kept beside the interpreter's modules: this function travels to workers that do not have
+    the package, and what travels is made anew for every task.
+    """
+    kept = sys.__dict__.setdefault("_tidecast_bpe", {})
+    if path not in kept:
+        kept.clear()
+        kept[path] = Bpe(path)
+    return kept[path]
 
 
 def _digests(path: str) -> Callable:
