@@ -14,7 +14,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,6 +26,7 @@ FEATURES = 1 << 12  # hashed n-grams of one to three bytes
 ALL_DICHOTOMIES = 6  # up to so many languages every split of them is a bit
 ROUNDS = 300
 AMBIGUOUS = 0.6  # a score below it
+GUESS = math.log(2)  # loss of a bit that is a mere guess
 UNKNOWN = "und"
 
 _KEPT = bytes(b | 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -72,12 +72,25 @@ class Model:
     bias: np.ndarray
     trust: np.ndarray
 
+    def losses(self, text: bytes) -> np.ndarray:
+        """Weighted loss of a text against the codeword of each language."""
+        margin = features(text) @ self.weights + self.bias
+        return (np.logaddexp(0, -self.code * margin) * self.trust).sum(axis=1)
+
+    def knows(self, text: bytes | None) -> bool:
+        """Whether a text has a letter and its nearest codeword is nearer than mere guesses of all bits.
+
+        Without two languages to tell apart every text with a letter is known.
+        """
+        if not text or not has_letter(text):
+            return False
+        return len(self.languages) < 2 or bool(self.losses(text).min() < GUESS * self.trust.sum())
+
     def predict(self, text: bytes | None) -> tuple[str, float, bool]:
         """Language, score from 0 to 1, and whether it is ambiguous."""
         if not text or not self.languages or not has_letter(text):
             return UNKNOWN, 0.0, True
-        margin = features(text) @ self.weights + self.bias
-        loss = (np.logaddexp(0, -self.code * margin) * self.trust).sum(axis=1)
+        loss = self.losses(text)
         share = np.exp(loss.min() - loss)
         best = int(loss.argmin())
         score = float(1 / share.sum())
@@ -179,10 +192,16 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
 
 def keep_known(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The rows whose language can be told, with all their columns."""
+    """The rows whose text ``Model.knows``, with all their columns: rejected are texts without a
+    letter (null and empty ones too) and those nearer to no language than a guess."""
+    at = docs.columns.index(text_col)
 
-    def known(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: model.predict(t)[0] != UNKNOWN).astype(bool)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_pieces(batches, "_text"):
+            texts = batch.column(batch.num_columns - 1).to_pylist()
+            yield batch.filter(pa.array([model.knows(t) for t in texts], pa.bool_()))
 
-    known.__annotations__ = {"texts": pd.Series, "return": pd.Series}
-    return docs.filter(F.pandas_udf(known, "boolean")(F.col(text_col).cast("string").cast("binary")))
+    # Names that clash travel as numbers.
+    rows = docs.toDF(*[f"_{k}" for k in range(len(docs.columns))])
+    rows = rows.withColumn("_text", F.col(f"_{at}").cast("string").cast("binary"))
+    return rows.mapInArrow(run, rows.schema).drop("_text").toDF(*docs.columns)
