@@ -5,7 +5,9 @@ and a fraction. Fractions are rounded in pairs: words move at random from one do
 other until one of the two fractions is 0 or 1, which keeps the words taken unchanged and each
 document's expectation as well. What is left of a leaf of documents, one fraction, is paired
 with those of other leaves, level by level, until one is left per source; a last draw rounds it.
-So a source misses its target by less than one document.
+So a source misses its target by less than one document. Of rows that repeat id, source and size
+all but one are rounded at once: their fractions add up to a whole number of further copies, and
+what is left is the fraction of one row.
 """
 
 from __future__ import annotations
@@ -104,8 +106,8 @@ def round_group(level: int, last: bool) -> Callable[[pa.Table], pa.Table]:
 
 
 def copies(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
-    """One row per distinct (_id, _source, size) of ``docs``: source_size, target, its rows _m and
-    the _copies to take of each."""
+    """One row per distinct (_id, _source, size) of ``docs``: source_size, target, its rows _m, the
+    _copies to take of each and _more, of how many of them one copy more."""
     sized = docs.select(F.col(id_col).alias("_id"), _source(source_col), word_count(text_col).alias("size"))
     items = materialize(sized.groupBy("_id", "_source", "size").agg(F.count("*").alias("_m")), "items")
     by_source = items.groupBy("_source").agg(
@@ -123,8 +125,10 @@ def copies(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> Data
     wanted = (
         attach(items, targets, "_source", seen["total"] or 0, "_id", "size")
         .withColumn("_whole", F.floor(ratio + EDGE).cast("int"))
-        .withColumn("_part", F.greatest(ratio - F.col("_whole"), F.lit(0.0)))
-        .withColumn("_weight", F.col("size") * F.col("_m"))
+        .withColumn("_parts", F.greatest(ratio - F.col("_whole"), F.lit(0.0)) * F.col("_m"))
+        .withColumn("_sure", F.least(F.floor(F.col("_parts") + EDGE), "_m"))
+        .withColumn("_part", F.greatest(F.col("_parts") - F.col("_sure"), F.lit(0.0)))
+        .withColumn("_weight", F.col("size"))
         .withColumn("_group", F.pmod(F.xxhash64("_id", "size"), F.ceil(F.col("n") / LEAF)))
         .withColumn("_copies", F.lit(None).cast("int"))
     )
@@ -144,8 +148,9 @@ def copies(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> Data
     for more in settled[1:]:
         out = out.unionAll(more)
     return out.select(
-        "_id", "_source", "size", "_m", "source_size", "target", (F.col("_whole") + F.col("_copies")).alias("_copies")
-    )
+        "_id", "_source", "size", "_m", "source_size", "target",
+        F.col("_whole").alias("_copies"), (F.col("_sure") + F.col("_copies")).alias("_more"),
+    )
 
 
 def _source(column: str) -> Column:
@@ -156,8 +161,8 @@ def _source(column: str) -> Column:
 def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """id_col, size, source_size, target and taken, the words that the mix takes, per row.
 
-    Rows that repeat id, source and size are taken alike. Texts without words take nothing; a null
-    source is one source; an empty table gives no rows.
+    Of rows that repeat id, source and size, some may be taken once more than others. Texts without
+    words take nothing; a null source is one source; an empty table gives no rows.
     """
     plan = copies(docs, id_col, text_col, source_col)
     return plan.select(
@@ -167,20 +172,48 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
         "size",
         "source_size",
         "target",
-        (F.col("_copies") * F.col("size")).alias("taken"),
+        (_taken(F.col("_i")) * F.col("size")).alias("taken"),
     )
 
 
+def _taken(place: Column) -> Column:
+    """Copies of the row at ``place``, from 1, among those that repeat its id, source and size."""
+    return F.col("_copies") + F.when(place <= F.col("_more"), 1).otherwise(0)
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """The mix itself: each row of ``docs`` as often as it is taken, with all its columns."""
+    """The mix itself: each row of ``docs`` as often as it is taken, with all its columns.
+
+    Of rows that repeat id, source and size, those with the smallest hashes are taken most often.
+    """
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
     rows = docs.select(
         F.col(id_col).alias("_i"), _source(source_col).alias("_s"), word_count(text_col).alias("_n"), whole
     )
-    plan = copies(docs, id_col, text_col, source_col).filter("_copies > 0")
-    same = F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_source") == F.col("_s")) & (F.col("size") == F.col("_n"))
-    return (
-        rows.join(plan.select("_id", "_source", "size", "_copies"), same)
-        .select("_row", F.explode(F.sequence(F.lit(1), "_copies")).alias("_k"))
-        .select("_row.*")
+    plan, seen = materialize_observed(
+        copies(docs, id_col, text_col, source_col), "plan", again=F.sum(F.when(F.col("_m") > 1, F.col("_m")))
     )
+    plan = plan.select("_id", "_source", "size", "_m", "_copies", "_more")
+    same = F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_source") == F.col("_s")) & (F.col("size") == F.col("_n"))
+    planned = rows.join(plan, same)
+    single = planned if not seen["again"] else planned.filter("_m = 1")
+    out = single.withColumn("_place", F.lit(1).cast("long"))
+    if seen["again"]:
+        out = out.unionByName(_numbered(planned.filter("_m > 1"), seen["again"]))
+    times = out.withColumn("_times", _taken(F.col("_place"))).filter("_times > 0")
+    return times.select("_row", F.explode(F.sequence(F.lit(1), F.col("_times").cast("int"))).alias("_k")).select("_row.*")
+
+
+def _numbered(rows: DataFrame, n: int) -> DataFrame:
+    """``rows`` with their _place, from 1, among those with equal id, source and size, in order of hash.
+
+    Positions among all rows are taken first, so no group is held in one task.
+    """
+    keys = ["_i", "_s", "_n"]
+    salted = materialize(rows.withColumn("_hash", F.xxhash64("_row")).withColumn("_salt", F.monotonically_increasing_id()), "repeats")
+    places = number_rows(salted.select(*keys, "_hash", "_salt"), n, *keys, "_hash", "_salt", name="_at")
+    starts = places.groupBy(*keys).agg(F.min("_at").alias("_from"))
+    starts = starts.select(*[F.col(k).alias(f"{k}_") for k in keys], "_from")
+    equal = F.col("_i").eqNullSafe(F.col("_i_")) & (F.col("_s") == F.col("_s_")) & (F.col("_n") == F.col("_n_"))
+    placed = places.join(starts, equal).select(F.col("_salt").alias("_p"), (F.col("_at") - F.col("_from") + 1).alias("_place"))
+    return salted.join(placed, F.col("_salt") == F.col("_p")).drop("_p", "_hash", "_salt")

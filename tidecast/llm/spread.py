@@ -61,9 +61,12 @@ def number_rows(df: DataFrame, rows: int, *order: Column | str, name: str = "row
     """``df`` with the position of each row in ``order``, from 0 and without gaps.
 
     Rows are range partitioned, so no task holds more than its share; only the row count of each
-    range, one number for ROWS_PER_TASK rows, is gathered.
+    range, one number for ROWS_PER_TASK rows, is gathered. Rows that are equal in ``order`` are
+    parted by where they were read.
     """
     spark = df.sparkSession
+    df_columns, df = df.columns, df.withColumn("_read_at", F.monotonically_increasing_id())
+    order = (*order, "_read_at")
     tasks = max(1, -(-rows // ROWS_PER_TASK), min(rows // 1000, spark.sparkContext.defaultParallelism))
     placed = materialize(
         df.repartitionByRange(tasks, *order)
@@ -79,5 +82,5 @@ def number_rows(df: DataFrame, rows: int, *order: Column | str, name: str = "row
         seen += r["n"]
     starts = spark.createDataFrame(offsets, "_range long, _start long")
     return placed.join(F.broadcast(starts), "_range").select(
-        *df.columns, (F.col("_start") + F.col("_local")).alias(name)
+        *df_columns, (F.col("_start") + F.col("_local")).alias(name)
     )
