@@ -73,12 +73,13 @@ def _messages(schemas: dict[str, dict]) -> Callable:
         value, bad = arguments, []
         try:
             value = json.loads(arguments if arguments is not None else "", parse_constant=_refuse)
+            canonical(value).encode()  # numbers beyond a double and lone surrogates have no canonical form
             if tool in schemas:
                 bad = problems(value, schemas[tool])
             else:
                 bad = ["unknown tool"]
         except (ValueError, RecursionError):
-            bad = ["arguments are no JSON"]
+            value, bad = arguments, ["arguments are no JSON"]
         made = {"arguments": value, "id": call, "name": tool, "type": "tool_call"}
         return not bad, "; ".join(bad) or None, canonical(made)
 
@@ -129,7 +130,9 @@ def link_calls(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
     'repeated' for a call or result whose id an earlier turn has; 'no id' without one; null for
     other messages. step: twice the number of calls that a call comes after, its result one more;
     with turn it orders a conversation so that nothing precedes what it needs. It is null for
-    unlinked results, in circles and for other messages. valid, problems: of a call's arguments.
+    unlinked results, in circles and for other messages. valid, problems: of a call's arguments; of
+    a repeated key the last value counts, numbers beyond a double and lone surrogates are no JSON,
+    and arguments that are none are kept as text.
     Messages that repeat both turn and id are alike. A null conv_id is one conversation; an empty
     table gives no rows; other columns are ignored.
     """
