@@ -308,7 +308,8 @@ def test_near_copies_against_brute_force(spark, monkeypatch):
     table = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string").repartition(5)
     want = sorted(set(up))
     assert sorted(r.doc_id for r in simhash.keep_one(table).collect()) == want and len(want) > 30
-    monkeypatch.setattr("tidecast.llm.set_join.COMMON", 0)
+    monkeypatch.setattr("tidecast.llm.jaccard_join.LIST_ROWS", 6)
+    monkeypatch.setattr("tidecast.llm.jaccard_join.BROADCAST_ROWS", 0)
     assert sorted(r.doc_id for r in simhash.keep_one(table).collect()) == want
 
 
