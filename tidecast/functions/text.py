@@ -45,6 +45,12 @@ def series_id(prefix: str, number: Column, digits: int = 4) -> Column:
     return F.format_string(f"{prefix}%0{digits}d", number)
 
 
+def path_name(name: Column) -> Column:
+    """A name as one part of a path: letters, digits, ``-``, ``_`` and inner dots stay, all else is percent-encoded."""
+    coded = F.regexp_replace(F.regexp_replace(F.url_encode(name.cast("string")), r"\+", "%20"), r"\*", "%2A")
+    return F.when(coded == "", "%").otherwise(F.regexp_replace(coded, r"^\.", "%2E"))
+
+
 def artifact_dir(path: Column) -> Column:
     """The path without its last part."""
     return F.regexp_replace(path, r"/[^/]*$", "")

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidecast.functions.text import artifact_dir, path_part
+from tidecast.functions.text import artifact_dir, path_name, path_part
 from tidecast.spec import PanelSpec
 
 
@@ -19,8 +19,15 @@ def newest(df: DataFrame) -> Column:
     return F.struct(F.col("TRAINED_AT").isNull(), "TRAINED_AT", *names)
 
 
-def entries(models: DataFrame, spec: PanelSpec, root: str, model_name: str | None = None) -> DataFrame:
-    """Catalog rows of the models of one run; ``model_name`` keeps the versions of several models apart."""
+def entries(
+    models: DataFrame, spec: PanelSpec, root: str, model_name: str | None = None, folder: str | None = None
+) -> DataFrame:
+    """Catalog rows of the models of one run; ``model_name`` keeps the versions of several models apart.
+
+    STAGE_PATH is the folder of a series' artifact: below ``folder`` if it is given, else below the
+    run's id in ``root``.
+    """
+    run = F.lit(folder) if folder else F.concat_ws("/", F.lit(root), "RUN_ID")
     return models.filter(F.col("MODEL_BINARY").isNotNull()).select(
         spec.grain,
         *([F.lit(model_name).alias("MODEL_NAME")] if model_name else []),
@@ -28,7 +35,7 @@ def entries(models: DataFrame, spec: PanelSpec, root: str, model_name: str | Non
         "METRICS",
         "MODEL_VERSION",
         "RUN_ID",
-        F.concat_ws("/", F.lit(root), "RUN_ID", spec.grain).alias("STAGE_PATH"),
+        F.concat_ws("/", run, path_name(F.col(spec.grain))).alias("STAGE_PATH"),
     )
 
 

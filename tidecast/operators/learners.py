@@ -2,7 +2,8 @@
 
 A learner is the user's replacement point. It needs a ``name`` and the three methods
 below, all on plain arrays. A learner may also offer ``fit_panel`` (all series as one
-Spark job) or ``fit_large`` (a Spark job for series too long for one task).
+Spark job) or ``fit_large`` (a Spark job for series too long for one task). Simplest for long
+series are the four methods of ``MergeableLearner``: many tasks then share one series.
 """
 
 from __future__ import annotations
@@ -27,6 +28,21 @@ class Learner(Protocol):
     def predict(self, model: Any, X: np.ndarray) -> np.ndarray: ...
 
 
+class MergeableLearner(Learner, Protocol):
+    """A learner that keeps a state instead of rows. A state is one array of doubles."""
+
+    def start(self, features: int) -> np.ndarray:
+        """The state of no rows."""
+
+    def add(self, state: np.ndarray, X: np.ndarray, y: np.ndarray) -> np.ndarray: ...
+
+    def merge(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The state of the rows of both."""
+
+    def finish(self, state: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """What ``fit`` gives for all the rows."""
+
+
 def share(values: np.ndarray) -> np.ndarray:
     """Scaled to sum 1; all zero stays all zero."""
     total = values.sum()
@@ -228,3 +244,60 @@ class Boosted:
         from tidecast.operators.boosting import fit_boosted
 
         return fit_boosted(df, spec, self, max_task_rows)
+
+
+@dataclass(frozen=True)
+class Ridge:
+    """Least squares with intercept and a penalty on slopes, from moments that can be merged.
+
+    The state is the number of complete rows, the means and the sums of products about the means
+    of features and target. Features count in units of their standard deviation.
+    """
+
+    penalty: float = 0.0
+    name: str = "ridge"
+
+    def fit(self, X, y):
+        return self.finish(self.add(self.start(X.shape[1]), X, y))
+
+    def start(self, features):
+        return np.zeros(1 + (features + 1) + (features + 1) ** 2)
+
+    def _parts(self, state):
+        width = int(round((np.sqrt(4 * len(state) - 3) - 1) / 2))
+        return state[0], state[1 : 1 + width], state[1 + width :].reshape(width, width)
+
+    def add(self, state, X, y):
+        rows = np.column_stack([X, y]).astype(float)
+        rows = rows[~np.isnan(rows).any(axis=1)]
+        if not len(rows):
+            return state
+        mean = rows.mean(axis=0)
+        about = rows - mean
+        return self.merge(state, np.concatenate([[len(rows)], mean, (about.T @ about).ravel()]))
+
+    def merge(self, a, b):
+        (n, mean_a, about_a), (m, mean_b, about_b) = self._parts(a), self._parts(b)
+        if not n or not m:
+            return b if not n else a
+        apart = mean_b - mean_a
+        about = about_a + about_b + np.outer(apart, apart) * (n * m / (n + m))
+        return np.concatenate([[n + m], mean_a + apart * (m / (n + m)), about.ravel()])
+
+    def finish(self, state):
+        n, mean, about = self._parts(state)
+        if not n:
+            raise ValueError("no complete row")
+        spread = np.sqrt(np.diag(about)[:-1] / n)
+        unit = np.where(spread > 0, spread, 1.0)
+        scaled = about[:-1, :-1] / np.outer(unit, unit) / n
+        wanted = about[:-1, -1] / unit / n
+        coef = np.linalg.pinv(scaled + self.penalty * np.eye(len(unit)), hermitian=True) @ wanted / unit
+        blob = np.concatenate([[mean[-1] - mean[:-1] @ coef], coef]).tobytes()
+        return blob, share(np.abs(coef) * spread)
+
+    def load(self, blob):
+        return np.frombuffer(blob)
+
+    def predict(self, model, X):
+        return model[0] + X.astype(float) @ model[1:]

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidecast.operators.learners import Boosted, Learner, Linear
+from tidecast.operators.ranking import rank_in_time
 from tidecast.operators.skew import in_parts
-from tidecast.session import MAX_TASK_ROWS, task_count
+from tidecast.session import MAX_TASK_ROWS, materialize, task_count
 from tidecast.spec import PanelSpec
 
 POLICIES = ("drop", "error")
@@ -114,11 +115,60 @@ def join_actuals(answers: DataFrame, rows: DataFrame, spec: PanelSpec) -> DataFr
     )
 
 
+def pair_actuals(answers: DataFrame, rows: DataFrame, spec: PanelSpec, max_task_rows: int = MAX_TASK_ROWS) -> DataFrame:
+    """``join_actuals`` one to one: of rows that share (grain, time) the k-th answer meets the k-th actual.
+
+    Answers count in order of their value and actuals in order of the target. Rows without a time
+    pair up as well; rows without a series and those that have no partner are left out. Positions
+    come from ``rank_in_time``, so neither a hot series nor a hot time is held in one task.
+    """
+    named = answers.select(
+        F.col(f"OUTPUT_{spec.grain}").alias(spec.grain),
+        F.col(f"OUTPUT_{spec.time}").alias(spec.time),
+        F.col(f"PRED_{spec.target}").alias("PREDICTION"),
+    )
+    by_answer = PanelSpec(spec.grain, spec.time, "PREDICTION", bucket=spec.bucket)
+    by_target = PanelSpec(spec.grain, spec.time, spec.target, bucket=spec.bucket)
+    left = _occurrences(named, by_answer, max_task_rows)
+    right = _occurrences(rows.select(*spec.roles), by_target, max_task_rows).select(
+        *[F.col(c).alias(f"_{c}") for c in (spec.grain, spec.time)], spec.target, F.col("_k").alias("_j")
+    )
+    same = (
+        (F.col(spec.grain) == F.col(f"_{spec.grain}"))
+        & F.col(spec.time).eqNullSafe(F.col(f"_{spec.time}"))
+        & (F.col("_k") == F.col("_j"))
+    )
+    return left.join(right, same).select(*spec.roles, "PREDICTION")
+
+
+def _occurrences(rows: DataFrame, spec: PanelSpec, max_task_rows: int) -> DataFrame:
+    """``rows`` with _k, the number of each among those of its (grain, time), from 0."""
+    ranked = materialize(rank_in_time(rows, spec, max_task_rows), "occurrences")
+    first = ranked.groupBy(F.col(spec.grain).alias("_g"), F.col(spec.time).alias("_t")).agg(F.min("ROW_NUM").alias("_first"))
+    same = (F.col(spec.grain) == F.col("_g")) & F.col(spec.time).eqNullSafe(F.col("_t"))
+    return ranked.join(first, same).withColumn("_k", F.col("ROW_NUM") - F.col("_first")).drop("_g", "_t", "_first", "ROW_NUM")
+
+
 def evaluate(predictions: DataFrame, spec: PanelSpec) -> DataFrame:
-    """Errors of each series over scored rows."""
+    """Errors of each series over scored rows.
+
+    ROWS counts those that have a prediction and a target, as MAE and RMSE do; see ``coverage``.
+    """
     miss = F.col(spec.target) - F.col("PREDICTION")
+    known = F.when(~F.isnan(miss), miss)
     return predictions.groupBy(spec.grain).agg(
-        F.avg(F.abs(miss)).alias("MAE"),
-        F.sqrt(F.avg(miss * miss)).alias("RMSE"),
-        F.count("*").alias("ROWS"),
+        F.avg(F.abs(known)).alias("MAE"),
+        F.sqrt(F.avg(known * known)).alias("RMSE"),
+        F.count(known).alias("ROWS"),
+    )
+
+
+def coverage(rows: DataFrame, predictions: DataFrame, spec: PanelSpec) -> DataFrame:
+    """Rows to score and rows scored of each series: TO_SCORE, ANSWERED and, with a number, SCORED."""
+    wanted = rows.groupBy(spec.grain).agg(F.count("*").alias("TO_SCORE"))
+    number = F.col("PREDICTION").isNotNull() & ~F.isnan("PREDICTION")
+    answered = predictions.groupBy(F.col(spec.grain).alias("_series")).agg(
+        F.count("*").alias("ANSWERED"), F.count_if(number).alias("SCORED")
     )
+    both = wanted.join(answered, F.col(spec.grain).eqNullSafe(F.col("_series")), "left")
+    return both.select(spec.grain, "TO_SCORE", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("ANSWERED", "SCORED")])

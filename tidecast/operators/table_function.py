@@ -3,6 +3,9 @@
 ``fit_by_table_function`` fits any learner on all features; given to ``fit_models`` it makes a
 table of models like any other. It holds one series of bounded size at a time.
 
+``panel_fit`` (``register_panel_fit``) types itself: called on any table, it derives the features,
+the partitioning, the order and its output columns from the table and the names of the roles.
+
 ``PanelMoments`` keeps running moments of one feature and the target, so its memory does not
 grow with its input. Its partial results are merged by an aggregation: a series beyond the
 task bound is passed to it in parts and thereby shared by many tasks.
@@ -10,11 +13,15 @@ task bound is passed to it in parts and thereby shared by many tasks.
 
 from __future__ import annotations
 
+from array import array
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.functions import arrow_udtf
+from pyspark.sql import types as T
+from pyspark.sql.functions import arrow_udtf, udtf
+from pyspark.sql.udtf import AnalyzeArgument, AnalyzeResult, OrderingColumn, PartitioningColumn, SelectedColumn
 
 from tidecast.operators.learners import Learner
 from tidecast.operators.skew import in_parts
@@ -167,3 +174,75 @@ def fit_by_table_function(df: DataFrame, spec: PanelSpec, learner: Learner) -> D
         "STATUS",
         "ERROR",
     )
+
+
+NUMBERS = (T.NumericType, T.BooleanType)
+
+
+def typed_trainer(learner: Learner):
+    """Table function of a table and the names of its series, time and target column.
+
+    ``analyze`` runs once per call of the function, on the table's schema alone: every other numeric
+    column is a feature, and the result has the series under its own name and type, the model, its
+    errors and one IMPORTANCE_ column per feature. A wrong name or a feature that is no number is
+    refused before anything runs. Rows of one series are held by one task as float32.
+    """
+
+    class PanelFit:
+        @staticmethod
+        def analyze(rows: AnalyzeArgument, series: AnalyzeArgument, time: AnalyzeArgument, target: AnalyzeArgument) -> AnalyzeResult:
+            if not rows.isTable:
+                raise ValueError("the first argument must be TABLE(...)")
+            fields = {f.name: f for f in rows.dataType.fields}
+            roles = [a.value for a in (series, time, target)]
+            for role in roles:
+                if role not in fields:
+                    raise ValueError(f"no column '{role}'; there are {', '.join(fields)}")
+            if len(set(roles)) < 3:
+                raise ValueError("series, time and target must be three columns")
+            features = [n for n in fields if n not in roles]
+            for name in [*features, roles[2]]:
+                if not isinstance(fields[name].dataType, NUMBERS):
+                    raise ValueError(f"column '{name}' is no number")
+            schema = T.StructType([fields[roles[0]]])
+            schema.add("TRAIN_ROWS", T.LongType()).add("TRAIN_MAE", T.DoubleType()).add("TRAIN_RMSE", T.DoubleType())
+            schema.add("MODEL_BINARY", T.BinaryType()).add("STATUS", T.StringType()).add("ERROR", T.StringType())
+            for name in features:
+                schema.add(f"IMPORTANCE_{name}", T.DoubleType())
+            return AnalyzeResult(
+                schema=schema,
+                partitionBy=[PartitioningColumn(roles[0])],
+                orderBy=[OrderingColumn(c, ascending=True, overrideNullsFirst=False) for c in (roles[1], *features, roles[2])],
+                select=[SelectedColumn(c) for c in (*roles, *features)],
+            )
+
+        def __init__(self):
+            self.series, self.columns = None, None
+
+        def eval(self, row, series, time, target):
+            values = tuple(row)
+            if self.columns is None:
+                self.series, self.features = values[0], list(row.__fields__[3:])
+                self.columns = [array("f") for _ in values[2:]]
+            for column, value in zip(self.columns, values[2:]):
+                column.append(float("nan") if value is None else value)
+
+        def terminate(self):
+            if self.columns is None or self.series is None:
+                return
+            y, *xs = (np.frombuffer(c, np.float32) for c in self.columns)
+            X = np.column_stack(xs) if xs else np.empty((len(y), 0), np.float32)
+            found = fit_one(X, y.copy(), learner, self.features)
+            metrics = found["METRICS"] or {}
+            shares = metrics.get("FEATURE_IMPORTANCES") or {}
+            yield (
+                self.series, *(metrics.get(k) for k in ("TRAIN_ROWS", "TRAIN_MAE", "TRAIN_RMSE")),
+                found["MODEL_BINARY"], found["STATUS"], found["ERROR"], *(shares.get(c) for c in self.features),
+            )
+
+    return udtf(PanelFit)
+
+
+def register_panel_fit(spark: SparkSession, learner: Learner, name: str = "panel_fit") -> None:
+    """``SELECT * FROM panel_fit(TABLE(t), 'series', 'time', 'target')`` from now on fits this learner."""
+    spark.udtf.register(name, typed_trainer(learner))

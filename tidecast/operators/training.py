@@ -9,9 +9,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidecast.operators.learners import Learner
+from tidecast.operators.partial import METRICS, fit_merged, fit_schema
 from tidecast.operators.skew import long_series
 from tidecast.session import MAX_TASK_CELLS, MAX_TASK_ROWS, task_count
 from tidecast.spec import PanelSpec
@@ -19,24 +19,6 @@ from tidecast.spec import PanelSpec
 # Fits series that fit a task: (rows, spec, learner) -> one row per series, as ``fit_schema`` has it.
 FitShort = Callable[[DataFrame, PanelSpec, Learner], DataFrame]
 
-METRICS = T.StructType([
-    T.StructField("TRAIN_MAE", T.DoubleType()),
-    T.StructField("TRAIN_RMSE", T.DoubleType()),
-    T.StructField("TRAIN_ROWS", T.LongType()),
-    T.StructField("FEATURE_IMPORTANCES", T.MapType(T.StringType(), T.DoubleType())),
-])
-
-
-def fit_schema(df: DataFrame, spec: PanelSpec) -> T.StructType:
-    return T.StructType([
-        df.schema[spec.grain],
-        T.StructField("MODEL_BINARY", T.BinaryType()),
-        T.StructField("METRICS", METRICS),
-        T.StructField("STATUS", T.StringType()),
-        T.StructField("ERROR", T.StringType()),
-    ])
-
-
 def summarize(y: np.ndarray, pred: np.ndarray, features: list[str], importances) -> dict:
     """In-sample errors, row count and importances of one fit."""
     miss = y.astype(float) - pred
@@ -89,8 +71,8 @@ def fit_models(
 
     ``trained_at`` is an argument so that a rerun gives the same table. A series of more than
     ``max_task_rows`` rows, by default as many as hold MAX_TASK_CELLS values of features, is fitted
-    by the ``fit_large`` of its learner. A learner without one gets the whole series in one task,
-    which WARNING tells. ``fit_short`` fits the other series; if it is given, a learner with
+    by the ``fit_large`` of its learner, or by many tasks if its learner's states can be merged. A
+    learner with neither gets the whole series in one task, which WARNING tells. ``fit_short`` fits the other series; if it is given, a learner with
     ``fit_panel`` uses that for long series only.
     """
     df = df.filter(F.col(spec.grain).isNotNull())
@@ -123,6 +105,10 @@ def _fit_by_size(df, spec, learner, max_task_rows, fit_short):
     large, most_parts = long_series(df, spec.grain, max_task_rows)
     if not most_parts:
         return fit_short(df, spec, learner)
+    if hasattr(learner, "merge"):
+        small = fit_short(df.join(large, spec.grain, "left_anti"), spec, learner)
+        rest = df.join(large.select(spec.grain), spec.grain, "left_semi")
+        return small.unionByName(fit_merged(rest, spec, learner, max_task_rows))
     if hasattr(learner, "fit_large") or hasattr(learner, "fit_panel"):
         small = fit_short(df.join(large, spec.grain, "left_anti"), spec, learner)
         rest = df.join(large.select(spec.grain), spec.grain, "left_semi")

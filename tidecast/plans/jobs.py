@@ -1,16 +1,22 @@
 """The two jobs, training and inference, over a folder of tables.
 
-Every output of a run lies in a folder named after the run, so a rerun replaces its own
-output and nothing else, and no job overwrites a table it reads.
+A run writes every table into a folder of its own and publishes them all by one entry of the
+workspace's commit log. Until then nobody sees any of them, so a run that dies between its tables
+leaves no trace in what readers get, and of concurrent runs none is lost. A run that is done again
+under the same id replaces its earlier output at once.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import functools
+import json
 import uuid
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidecast.functions.text import run_ids_of, version_of
 from tidecast.operators import catalog, registry, usage
@@ -19,6 +25,8 @@ from tidecast.operators.scoring import evaluate, score
 from tidecast.operators.split import time_split
 from tidecast.operators.training import fit_models
 from tidecast.session import materialize
+from tidecast.sources.artifacts import open_artifacts, write_artifacts
+from tidecast.sources.commits import CommitLog, Conflict
 from tidecast.spec import PanelSpec
 
 MODEL_NAME = "PANEL_MODEL"
@@ -38,33 +46,88 @@ def unique_end(at: dt.datetime | None) -> str:
     return "" if at else f"_{uuid.uuid4().hex[:8]}"
 
 
+def schema_from(text: str) -> T.StructType:
+    return T.StructType.fromJson(json.loads(text))
+
+
 class Workspace:
-    """Tables of a project: ``split``, ``models``, ``catalog``, ``registry``, ``predictions``, ``run_log``."""
+    """Tables of a project: ``split``, ``models``, ``catalog``, ``registry``, ``predictions``, ``run_log``.
+
+    Reads see the runs that are committed when the read begins.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root
+        self.spark, self.root = spark, root.rstrip("/")
+        self.log = CommitLog(spark, f"{self.root}/_commits")
 
-    def path(self, table: str, run_id: str | None = None) -> str:
-        return f"{self.root}/{table}" + (f"/RUN={run_id}" if run_id else "")
+    def run(self, run_id: str, job: str, model_name: str = "") -> Run:
+        return Run(self, run_id, job, model_name)
 
-    def save(self, df: DataFrame, table: str, run_id: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-        """Writes one run of a table; only the same run, begun at a given time, replaces it."""
-        path = self.path(table, run_id)
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+    def committed(self) -> dict[str, dict]:
+        """The last commit of every run, in the order of the runs' first commits."""
+        found: dict[str, dict] = {}
+        for entry in self.log.entries():
+            found[entry["run_id"]] = entry
+        return found
 
     def table(self, table: str, run_id: str | None = None) -> DataFrame:
-        """One run of a table, or all of them."""
-        found = self.spark.read.parquet(self.path(table, run_id))
-        return found.drop("RUN") if run_id is None else found
+        """One run of a table, or all of them; columns that some runs lack are null there."""
+        runs = self.committed()
+        wanted = runs.values() if run_id is None else [runs[run_id]] if run_id in runs else []
+        paths: dict[str, list[str]] = {}
+        for entry in wanted:
+            if table in entry["tables"]:
+                path, schema = entry["tables"][table]
+                paths.setdefault(schema, []).append(f"{self.root}/{path}")
+        if not paths:
+            raise ValueError(f"no committed run{'' if run_id is None else f' {run_id!r}'} has a table '{table}'")
+        parts = [self.spark.read.schema(schema_from(s)).parquet(*p) for s, p in paths.items()]
+        return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
     def catalog(self, spec: PanelSpec) -> DataFrame:
         return catalog.with_active(self.table("catalog"), spec)
 
 
-def log_run(ws: Workspace, run_id, job, route, family, nodes, started) -> None:
-    row = (run_id, job, route, family, nodes, started, utc_now())
-    ws.save(ws.spark.createDataFrame([row], RUN_LOG), "run_log", run_id)
+class Run:
+    """What one run writes, none of which counts before ``commit``."""
+
+    def __init__(self, ws: Workspace, run_id: str, job: str, model_name: str):
+        self.ws, self.run_id, self.job, self.model_name = ws, run_id, job, model_name
+        self.attempt = uuid.uuid4().hex
+        self.tables: dict[str, tuple[str, str]] = {}  # path and schema
+        self.refuse(ws.log.entries())
+
+    def refuse(self, earlier: list[dict]) -> None:
+        """Another job or model may have taken the id."""
+        for entry in earlier:
+            if entry["run_id"] == self.run_id and (entry["job"], entry["model_name"]) != (self.job, self.model_name):
+                raise Conflict(f"run '{self.run_id}' is one of {entry['job']} of model '{entry['model_name']}'")
+
+    def folder(self, table: str) -> str:
+        return f"{self.ws.root}/{table}/RUN={self.run_id}/{self.attempt}"
+
+    def save(self, df: DataFrame, table: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+        """Writes a table of the run and reads it back."""
+        df.write.partitionBy(*partition_by).parquet(self.folder(table))
+        self.tables[table] = (self.folder(table).removeprefix(f"{self.ws.root}/"), df.schema.json())
+        return self.ws.spark.read.schema(df.schema).parquet(self.folder(table))
+
+    def commit(self, route: str, family: str, nodes: int, started: dt.datetime) -> str:
+        """Logs the run and publishes all its tables."""
+        row = (self.run_id, self.job, route, family, nodes, started, utc_now())
+        self.save(self.ws.spark.createDataFrame([row], RUN_LOG), "run_log")
+        self.publish()
+        return self.run_id
+
+    def publish(self) -> None:
+        entry = {"run_id": self.run_id, "job": self.job, "model_name": self.model_name, "tables": self.tables}
+        self.ws.log.append(entry, self.refuse)
+
+
+def run_ids(at: dt.datetime, model_name: str) -> tuple[str, str]:
+    """Ids of a training and an inference run: of the default model by time alone, of others with their name."""
+    named = "" if model_name == MODEL_NAME else "_" + quote(model_name, safe="")
+    return tuple(run_id + named for run_id in run_ids_of(at))
 
 
 def run_training(
@@ -80,29 +143,31 @@ def run_training(
     nodes: int = 5,
     max_failed: float = 0.5,
 ) -> str:
-    """Split, fit, catalogue and register; returns the run id.
+    """Split, fit, store artifacts, catalogue and register; returns the run id.
 
-    Nothing is registered if more than the share ``max_failed`` of the series get no model, or if
+    Nothing is published if more than the share ``max_failed`` of the series get no model, or if
     the models do not score their own rows.
     """
     started = utc_now()
     end, at = unique_end(at), at or started
-    version, run_id = version_of(at), run_ids_of(at)[0] + end
+    version, run_id = version_of(at), run_ids(at, model_name)[0] + end
     spark = ws.spark
+    run = ws.run(run_id, "Training", model_name)
     spark.addTag(run_id)
     try:
-        labelled = ws.save(time_split(features, spec, test_pct), "split", run_id, ("IS_TRAIN",))
+        labelled = run.save(time_split(features, spec, test_pct), "split", ("IS_TRAIN",))
         train = labelled.filter(F.col("IS_TRAIN")).drop("IS_TRAIN")
         train.createOrReplaceTempView("TRAIN_DATA")
         labelled.filter(~F.col("IS_TRAIN")).drop("IS_TRAIN").createOrReplaceTempView("TEST_DATA")
-        models = ws.save(fit_models(train, spec, learner, run_id, version, at), "models", run_id)
+        models = run.save(fit_models(train, spec, learner, run_id, version, at), "models")
         check_models(train, models, spec, learner, max_failed)
-        ws.save(catalog.entries(models, spec, ws.path("models"), model_name), "catalog", run_id)
-        ws.save(registry.entry(train, spec, model_name, version, run_id, at), "registry", run_id)
+        stage = run.folder("artifacts")
+        entries = run.save(catalog.entries(models, spec, stage, model_name, stage), "catalog")
+        write_artifacts(models, entries, stage, spec.grain)
+        run.save(registry.entry(train, spec, model_name, version, run_id, at), "registry")
     finally:
         spark.removeTag(run_id)
-    log_run(ws, run_id, "Training", route, family, nodes, started)
-    return run_id
+    return run.commit(route, family, nodes, started)
 
 
 def check_models(train: DataFrame, models: DataFrame, spec: PanelSpec, learner: Learner, max_failed: float) -> None:
@@ -128,13 +193,15 @@ def set_default(ws: Workspace, model_name: str, version: str) -> None:
     newest = ws.table("registry").filter(F.col("MODEL_NAME") == model_name).agg(F.max("CREATED_AT")).first()[0]
     row = {**last.asDict(), "CREATED_AT": max(utc_now(), newest + dt.timedelta(microseconds=1))}
     again = ws.spark.createDataFrame([tuple(row[c] for c in entries.columns)], entries.schema)
-    ws.save(again, "registry", f"default_{uuid.uuid4().hex[:8]}")
+    run = ws.run(f"default_{uuid.uuid4().hex}", "Default", model_name)
+    run.save(again, "registry")
+    run.publish()
 
 
-def active_models(ws: Workspace, spec: PanelSpec, model_name: str = MODEL_NAME) -> DataFrame:
-    """The model each series currently uses, from whichever run it came."""
+def active_models(ws: Workspace, spec: PanelSpec, model_name: str = MODEL_NAME, on_missing: str = "error") -> DataFrame:
+    """The model each series currently uses, from whichever run it came, loaded from its STAGE_PATH."""
     active = ws.catalog(spec).filter(F.col("IS_ACTIVE") & (F.col("MODEL_NAME") == model_name))
-    return ws.table("models").join(active.select(spec.grain, "RUN_ID"), [spec.grain, "RUN_ID"])
+    return open_artifacts(active, spec.grain, on_missing, ("RUN_ID",))
 
 
 def run_inference(
@@ -150,40 +217,32 @@ def run_inference(
     family: str = "",
     nodes: int = 0,
 ) -> str:
-    """Score ``rows`` and replace the predictions; returns the run id.
+    """Score ``rows`` and publish the predictions; returns the run id.
 
     With ``source='registry'`` the rows must match the signature of the registered version
     and a series without a model is an error. With ``source='catalog'`` each series uses its
-    active model and a series without one is left out.
+    active model, loaded from its path, and a series without one is left out.
     """
     started = utc_now()
-    run_id = run_ids_of(at or started)[1] + unique_end(at)
+    run_id = run_ids(at or started, model_name)[1] + unique_end(at)
+    run = ws.run(run_id, "Inference", model_name)
     ws.spark.addTag(run_id)
     try:
         if source == "registry":
             chosen = registry.resolve(ws.table("registry"), model_name, version)
-            signature = signature_from(chosen["SIGNATURE"])
+            signature = schema_from(chosen["SIGNATURE"])
             rows = registry.conform(rows, signature, *[c for c in rows.columns if c == spec.target])
             models, policy = ws.table("models", chosen["RUN_ID"]), "error"
             models = models.withColumn(spec.grain, F.col(spec.grain).cast(rows.schema[spec.grain].dataType))
         elif source == "catalog":
-            models, policy = active_models(ws, spec, model_name), "drop"
+            models, policy = materialize(active_models(ws, spec, model_name), "active-models"), "drop"
         else:
             raise ValueError("source must be 'registry' or 'catalog'")
-        predictions = ws.save(score(rows, models, spec, policy, learners), "predictions", run_id)
+        predictions = run.save(score(rows, models, spec, policy, learners), "predictions")
         predictions.createOrReplaceTempView("PREDICTIONS")
     finally:
         ws.spark.removeTag(run_id)
-    log_run(ws, run_id, "Inference", route, family, nodes, started)
-    return run_id
-
-
-def signature_from(text: str):
-    import json
-
-    from pyspark.sql.types import StructType
-
-    return StructType.fromJson(json.loads(text))
+    return run.commit(route, family, nodes, started)
 
 
 def preview(predictions: DataFrame, spec: PanelSpec, n: int = 5) -> DataFrame:
@@ -197,7 +256,8 @@ def test_errors(ws: Workspace, run_id: str, spec: PanelSpec) -> DataFrame:
 
 def cost(ws: Workspace, query_log: DataFrame, run_ids: list[str] | None = None) -> DataFrame:
     """Cost estimate of the runs named, or of all logged ones. ``query_log`` holds QUERY_TAG, WAREHOUSE_SIZE and
-    EXECUTION_TIME in milliseconds; a query belongs to the run whose id is its tag."""
+    EXECUTION_TIME in milliseconds; a query belongs to the run whose id is its tag. Runs tag their own work, so
+    ``sources.event_log.query_log`` makes such a log from what Spark has recorded."""
     runs = ws.table("run_log")
     if run_ids is not None:
         runs = runs.filter(F.col("RUN_ID").isin(run_ids))

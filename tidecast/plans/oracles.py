@@ -388,6 +388,54 @@ ORACLES = {
     "sample_predictions": LINEAR + """
         SELECT PARTITION_ID, TS, TARGET, round(p, 5) AS PREDICTION FROM scored ORDER BY PARTITION_ID, TS LIMIT 5""",
     "export_reload": SHORT,
+    "load_ledger": SHORT,
+    "score_by_path": LINEAR + "SELECT PARTITION_ID, TS, TARGET, round(p, 5) AS PREDICTION FROM scored",
+    "job_predictions": LINEAR + "SELECT PARTITION_ID, TS, TARGET, round(p, 5) AS PREDICTION FROM scored",
+    "artifact_reload": LINEAR + """
+        SELECT PARTITION_ID AS SERIES, 'linear' AS ALGORITHM, 'K,HOUR' AS FEATURES, PARTITION_ID AS LAST, TRAIN_ROWS,
+               round(mae, 5) AS TRAIN_MAE FROM quality""",
+    "missing_artifacts": LINEAR + f"SELECT PARTITION_ID FROM quality WHERE PARTITION_ID NOT IN {READY}",
+    "job_catalog": LINEAR + """
+        SELECT name AS MODEL_NAME, 'v20240302_1230' AS MODEL_VERSION, 'training_v20240302_1230_' || name AS RUN_ID,
+               count(*) AS MODELS, 'Training' AS JOB
+        FROM quality, (SELECT unnest(['demand', 'price']) AS name) GROUP BY name""",
+    "scoring_coverage": LINEAR + f"""
+        SELECT PARTITION_ID, count(*) AS TO_SCORE, count(*) FILTER (PARTITION_ID IN {READY}) AS ANSWERED,
+               count(*) FILTER (PARTITION_ID IN {READY}) AS SCORED
+        FROM test GROUP BY PARTITION_ID""",
+    "predictions_paired": """
+        WITH l AS (SELECT l_suppkey, CASE WHEN l_orderkey % 9 <> 0 THEN l_shipdate END AS l_shipdate, l_quantity, l_extendedprice
+                   FROM lineitem),
+        a AS (SELECT *, row_number() OVER (PARTITION BY l_suppkey, l_shipdate ORDER BY l_quantity) AS k FROM l),
+        b AS (SELECT *, row_number() OVER (PARTITION BY l_suppkey, l_shipdate ORDER BY l_extendedprice) AS k FROM l)
+        SELECT a.l_suppkey, a.l_shipdate, b.l_extendedprice, a.l_quantity AS PREDICTION
+        FROM a JOIN b ON a.l_suppkey = b.l_suppkey AND a.l_shipdate IS NOT DISTINCT FROM b.l_shipdate AND a.k = b.k""",
+    "eval_merged": """
+        WITH r AS (SELECT l_returnflag AS PARTITION_ID, CAST(l_quantity AS FLOAT)::DOUBLE AS a, CAST(l_discount AS FLOAT)::DOUBLE AS b,
+                          CAST(l_extendedprice AS FLOAT)::DOUBLE AS y, l_extendedprice AS t FROM lineitem),
+        m AS (SELECT PARTITION_ID, avg(a) AS ma, avg(b) AS mb, avg(y) AS my, covar_pop(a, a) AS saa, covar_pop(a, b) AS sab,
+                     covar_pop(b, b) AS sbb, covar_pop(a, y) AS say, covar_pop(b, y) AS sby FROM r GROUP BY PARTITION_ID),
+        s AS (SELECT *, (say * sbb - sby * sab) / (saa * sbb - sab * sab) AS ca, (sby * saa - say * sab) / (saa * sbb - sab * sab) AS cb FROM m)
+        SELECT PARTITION_ID, round(avg(abs(t - (my + ca * (a - ma) + cb * (b - mb)))), 4) AS MAE,
+               round(sqrt(avg((t - (my + ca * (a - ma) + cb * (b - mb))) ** 2)), 4) AS RMSE, count(*) AS ROWS,
+               'ridge' AS ALGORITHM, 'ok' AS STATUS, count(*) AS TRAIN_ROWS
+        FROM r JOIN s USING (PARTITION_ID) GROUP BY PARTITION_ID""",
+    "udtf_typed": LINEAR + """,
+        one AS (SELECT PARTITION_ID, a, y, my + say / saa * (a - ma) AS p FROM train JOIN m USING (PARTITION_ID))
+        SELECT 1 AS WIDTH, PARTITION_ID, count(*) AS TRAIN_ROWS, round(avg(abs(y - p)), 5) AS TRAIN_MAE,
+               round(sqrt(avg((y - p) ** 2)), 5) AS TRAIN_RMSE, 'ok' AS STATUS, 1.0::DOUBLE AS IMPORTANCE_K, NULL::DOUBLE AS IMPORTANCE_HOUR
+        FROM one GROUP BY PARTITION_ID
+        UNION ALL
+        SELECT 2, PARTITION_ID, TRAIN_ROWS, round(mae, 5), round(rmse, 5), 'ok', round(wa / (wa + wb), 5), round(wb / (wa + wb), 5)
+        FROM quality JOIN share USING (PARTITION_ID)""",
+    "usage_of_event_log": """
+        WITH e AS (SELECT event_id, event_type, epoch_us(ts) // 1000 AS s, CAST(round(value * 1000) AS BIGINT) AS ms FROM events),
+        q AS (SELECT event_type, event_id // 2 AS q, count(*) AS n, greatest(max(s + ms) - min(s), 0) AS wall,
+                     sum(ms + 3) AS run, sum(ms * 500000 + 1500000) // 1000000 AS cpu
+              FROM e GROUP BY ALL)
+        SELECT event_type AS QUERY_TAG, count(*) AS QUERIES, sum(n)::BIGINT AS JOBS, sum(wall)::BIGINT AS EXECUTION_TIME,
+               sum(run)::BIGINT AS TASK_TIME, sum(cpu)::BIGINT AS CPU_TIME, 0::BIGINT AS FAILED
+        FROM q GROUP BY event_type""",
     "load_by_name": f"""
         SELECT TARGET AS target, CAST(NULL AS VARCHAR) AS absent, PARTITION_ID AS partition_id, TS AS ts FROM ({EVENTS})""",
     "staged_series": f"SELECT DISTINCT PARTITION_ID FROM ({EVENTS})",

@@ -10,24 +10,27 @@ from pyspark.sql import types as T
 
 from tidecast.functions import calendar, text
 from tidecast.operators import catalog, generate, registry, usage
-from tidecast.operators.learners import Boosted, Linear
+from tidecast.operators.learners import Boosted, Linear, Ridge
 from tidecast.operators.linear import coefficients, predict_linear
 from tidecast.operators.ranking import rank_in_time
 from tidecast.operators.scoring import (
+    coverage,
     evaluate,
     join_actuals,
     missing_model_rows,
+    pair_actuals,
     registry_output,
     score,
 )
 from tidecast.operators.split import label_rows, partition_counts, split_points, time_split, train_test
-from tidecast.operators.table_function import fit_by_table_function, train_by_table_function
+from tidecast.operators.table_function import fit_by_table_function, register_panel_fit, train_by_table_function
 from tidecast.operators.training import fit_models, metrics_long
 from tidecast.plans import panels
-from tidecast.plans.jobs import preview
+from tidecast.plans.jobs import Workspace, preview, run_inference, run_training
 from tidecast.plans.panels import DAILY, EVENTS, TIED
 from tidecast.session import materialize, scratch_path
-from tidecast.sources import staging
+from tidecast.sources import artifacts, event_log, staging
+from tidecast.sources.loads import LoadedTable
 from tidecast.sources.tables import parquet_table
 from tidecast.spec import PanelSpec
 
@@ -284,6 +287,36 @@ def udtf_score(spark, sf):
     return rounded(scored, 4, "PREDICTION")
 
 
+def eval_merged(spark, sf):
+    """Long series of a learner whose states are merged, fitted by all tasks and scored in parts."""
+    df = panels.tied_lines(spark, sf).select(
+        F.col("l_returnflag").alias("PARTITION_ID"),
+        F.col("l_shipdate").alias("TS"),
+        F.col("l_quantity").alias("QUANTITY"),
+        F.col("l_discount").alias("DISCOUNT"),
+        F.col("l_extendedprice").alias("TARGET"),
+    )
+    models = materialize(fit_models(df, BY_FLAG, Ridge(), RUN_ID, VERSION, RUN_AT, max_task_rows=500), "models")
+    errors = rounded(evaluate(score(df, models, BY_FLAG, "error", (Ridge(),), 500), BY_FLAG), 4, "MAE", "RMSE")
+    return errors.join(flat_metrics(models).select("PARTITION_ID", "ALGORITHM", "STATUS", "TRAIN_ROWS"), "PARTITION_ID")
+
+
+def udtf_typed(spark, sf):
+    """One registered table function, called on two panels of different width, types itself."""
+    register_panel_fit(spark, Linear())
+    train = materialize(split_train(spark, sf), "train")
+    out = None
+    for width, rows in ((1, train.drop("HOUR")), (2, train)):
+        found = spark.sql("SELECT * FROM panel_fit(TABLE({rows}), 'PARTITION_ID', 'TS', 'TARGET')", rows=rows)
+        hour = F.col("IMPORTANCE_HOUR") if width == 2 else F.lit(None).cast("double")
+        part = found.select(
+            F.lit(width).alias("WIDTH"), "PARTITION_ID", "TRAIN_ROWS", "TRAIN_MAE", "TRAIN_RMSE", "STATUS", "IMPORTANCE_K",
+            hour.alias("IMPORTANCE_HOUR"),
+        )
+        out = part if out is None else out.unionByName(part)
+    return rounded(out, 5, "TRAIN_MAE", "TRAIN_RMSE", "IMPORTANCE_K", "IMPORTANCE_HOUR")
+
+
 # Catalog and registry
 
 
@@ -402,6 +435,71 @@ def registry_conform(spark, sf):
     return typed.withColumns({c: F.round(F.col(c).cast("double"), 4) for c in numbers})
 
 
+# Artifacts and jobs
+
+
+def stage_models(models: DataFrame) -> tuple[DataFrame, str]:
+    """Catalog rows of the models, and the folder in which their artifacts lie."""
+    models = materialize(models, "models")
+    folder = scratch_path(models.sparkSession, "artifacts")
+    rows = materialize(catalog.with_active(catalog.entries(models, EVENTS, ROOT, None, folder), EVENTS), "catalog")
+    artifacts.write_artifacts(models, rows, folder, "PARTITION_ID")
+    return rows, folder
+
+
+def score_by_path(spark, sf):
+    """Trained, stored as artifacts, catalogued, loaded from the paths in the catalog and scored."""
+    train, test = event_sides(spark, sf)
+    rows, _ = stage_models(linear_models(train))
+    loaded = artifacts.open_artifacts(rows.filter("IS_ACTIVE"), "PARTITION_ID")
+    return rounded(score(test, materialize(loaded, "loaded"), EVENTS, "error"), 5, "PREDICTION")
+
+
+def artifact_reload(spark, sf):
+    """All artifacts of a run, read back by the data source."""
+    _, folder = stage_models(linear_models(split_train(spark, sf)))
+    metrics = F.from_json("METRICS", "TRAIN_ROWS long, TRAIN_MAE double")
+    found = artifacts.read_artifacts(spark, folder).select(
+        "SERIES", "ALGORITHM", F.concat_ws(",", "FEATURE_COLS").alias("FEATURES"),
+        text.path_part(F.col("STAGE_PATH"), 1).alias("LAST"), metrics.alias("m"),
+    )
+    return found.select("SERIES", "ALGORITHM", "FEATURES", "LAST", "m.TRAIN_ROWS", F.round("m.TRAIN_MAE", 5).alias("TRAIN_MAE"))
+
+
+def missing_artifacts(spark, sf):
+    """Catalogued series whose path has no artifact: those with too few rows to be stored."""
+    models = materialize(linear_models(split_train(spark, sf)), "models")
+    _, folder = stage_models(models.filter(F.col("METRICS.TRAIN_ROWS") >= MIN_TRAIN_ROWS))
+    every = catalog.entries(models, EVENTS, ROOT, None, folder)
+    opened = artifacts.open_artifacts(every, "PARTITION_ID", "drop")
+    return opened.filter("MODEL_BINARY IS NULL").select("PARTITION_ID")
+
+
+def job_predictions(spark, sf):
+    """The two jobs, end to end; models by the registered version."""
+    ws = Workspace(spark, scratch_path(spark, "workspace"))
+    panel = materialize(panels.short_panel(spark, sf), "features")
+    run_training(ws, panel, EVENTS, Linear(), TEST_PCT, at=RUN_AT)
+    test = train_test(ws.table("split", RUN_ID))[1]
+    run_id = run_inference(ws, test, EVENTS, at=RUN_AT)
+    return rounded(ws.table("predictions", run_id), 5, "PREDICTION")
+
+
+def job_catalog(spark, sf):
+    """What a workspace shows after two models were trained at the same time and a third run died."""
+    ws = Workspace(spark, scratch_path(spark, "workspace"))
+    panel = materialize(panels.short_panel(spark, sf), "features")
+    for name in ("demand", "price"):
+        run_training(ws, panel, EVENTS, Linear(), TEST_PCT, at=RUN_AT, model_name=name)
+    try:
+        run_training(ws, panel, EVENTS, Linear(), TEST_PCT, at=RUN_AT, model_name="lost", max_failed=-1.0)
+    except RuntimeError:
+        pass
+    runs = ws.table("run_log").select("RUN_ID", "JOB")
+    entries = ws.table("catalog").groupBy("MODEL_NAME", "MODEL_VERSION", "RUN_ID").agg(F.count("*").alias("MODELS"))
+    return entries.join(runs, "RUN_ID")
+
+
 # Scoring
 
 
@@ -434,6 +532,24 @@ def predictions_join_actuals(spark, sf):
     return joined.withColumn("PREDICTION", F.round(F.col("PREDICTION").cast("double"), 3))
 
 
+def predictions_paired(spark, sf):
+    """Lines of a supplier and day, each answer with one actual although many share the day; every
+    ninth has no day."""
+    day = F.when(F.col("l_orderkey") % 9 != 0, F.col("l_shipdate"))
+    lines = panels.tied_lines(spark, sf).select("l_suppkey", day.alias("l_shipdate"), "l_quantity", "l_extendedprice")
+    answers = lines.select(
+        F.col("l_suppkey").alias("OUTPUT_l_suppkey"),
+        F.col("l_shipdate").alias("OUTPUT_l_shipdate"),
+        F.col("l_quantity").alias("PRED_l_extendedprice"),
+    )
+    return pair_actuals(answers, lines, TIED)
+
+
+def scoring_coverage(spark, sf):
+    train, test = event_sides(spark, sf)
+    return coverage(test, score(test, ready_models(train), EVENTS), EVENTS)
+
+
 def missing_models(spark, sf):
     train, test = event_sides(spark, sf)
     return missing_model_rows(test, ready_models(train), EVENTS)
@@ -467,6 +583,19 @@ def load_by_name(spark, sf):
     return staging.load_by_name(spark, path, schema)
 
 
+def load_ledger(spark, sf):
+    """Staged files loaded, loaded again, and once more with new ones among them: every row once."""
+    panel = panels.short_panel(spark, sf)
+    path, late = scratch_path(spark, "export"), F.hour("TS") >= 18
+    table = LoadedTable(spark, scratch_path(spark, "loaded"), panel.schema)
+    staging.export_by_series(panel.filter(~late), f"{path}/first", "PARTITION_ID")
+    table.load(path)
+    table.load(path)
+    staging.export_by_series(panel.filter(late), f"{path}/second", "PARTITION_ID")
+    table.load(path)
+    return table.rows()
+
+
 def staged_series(spark, sf):
     """Series found by listing the exported folders."""
     path = scratch_path(spark, "export")
@@ -591,6 +720,51 @@ def usage_overview(spark, sf):
     return usage.overview(panels.run_log(spark, sf), panels.query_log(spark, sf))
 
 
+def logged_jobs(spark, sf):
+    """Events written as lines of an event log: a job each, with two tasks; two events a query.
+
+    A job also lists a stage of the job before it, as jobs do that skip what has run.
+    """
+    job = F.col("event_id")
+    start = F.unix_millis(F.col("ts").cast("timestamp"))
+    ms = F.round(F.col("value") * 1000).cast("long")
+    prefix = "spark-session-01234567-89ab-cdef-0123-456789abcdef"
+    tags = F.concat(
+        F.lit(f"{prefix}-execution-root-id-7,{prefix}-thread-01234567-89ab-cdef-0123-456789abcdef-"), "event_type", F.lit(f",{prefix}")
+    )
+    properties = F.map_from_arrays(
+        F.array(F.lit("spark.job.tags"), F.lit("spark.sql.execution.root.id")), F.array(tags, F.floor(job / 2).cast("string"))
+    )
+
+    def line(kind: str, **fields):
+        named = [v.alias(k.replace("_", " ")) for k, v in fields.items()]
+        return F.to_json(F.struct(F.lit(f"SparkListener{kind}").alias("Event"), *named))
+
+    def task(stage, run):
+        return line("TaskEnd", Stage_ID=stage, Task_Metrics=F.struct(run.alias("Executor Run Time"), (run * 500_000).alias("Executor CPU Time")))
+
+    lines = [
+        line("JobStart", Job_ID=job, Submission_Time=start, Stage_IDs=F.array(2 * job - 1, 2 * job, 2 * job + 1), Properties=properties),
+        task(2 * job, ms),
+        task(2 * job + 1, F.lit(3)),
+        line("JobEnd", Job_ID=job, Completion_Time=start + ms, Job_Result=F.struct(F.lit("JobSucceeded").alias("Result"))),
+        line("ExecutorAdded", Timestamp=start),
+    ]
+    return parquet_table(spark, sf, "events").select(F.explode(F.array(*lines)).alias("value"))
+
+
+def usage_of_event_log(spark, sf):
+    """Use of each tag, from Spark's own records."""
+    path = scratch_path(spark, "events")
+    logged_jobs(spark, sf).repartition(4).write.text(path)
+    # The lines lie in several files here; one application wrote them.
+    events = event_log.read_events(spark, path).withColumn("APP", F.lit("app"))
+    return event_log.queries(events).groupBy("QUERY_TAG").agg(
+        F.count("*").alias("QUERIES"), F.sum("JOBS").alias("JOBS"), F.sum("EXECUTION_TIME").alias("EXECUTION_TIME"),
+        F.sum("TASK_TIME").alias("TASK_TIME"), F.sum("CPU_TIME").alias("CPU_TIME"), F.count_if("FAILED").alias("FAILED"),
+    )
+
+
 def run_id_from_log(spark, sf):
     """Run ids printed into the logs of assistant turns; other turns have none."""
     line = F.concat(F.col("text"), F.lit("\nRUN_ID=training_"), F.col("conv_id").cast("string"), F.lit(" \ndone"))
@@ -631,6 +805,8 @@ QUERIES = [
     train_long_series,
     udtf_train,
     udtf_score,
+    udtf_typed,
+    eval_merged,
     catalog_build,
     catalog_active_per_grain,
     catalog_latest_version,
@@ -644,15 +820,23 @@ QUERIES = [
     rows_to_score,
     registry_default_version,
     registry_conform,
+    score_by_path,
+    artifact_reload,
+    missing_artifacts,
+    job_predictions,
+    job_catalog,
     score_drop_missing,
     score_strict,
     score_registry,
     predictions_join_actuals,
+    predictions_paired,
+    scoring_coverage,
     missing_models,
     eval_linear,
     sample_predictions,
     export_reload,
     load_by_name,
+    load_ledger,
     staged_series,
     spine_daily,
     spine_monthly,
@@ -669,6 +853,7 @@ QUERIES = [
     run_durations,
     usage_summary,
     usage_overview,
+    usage_of_event_log,
     run_id_from_log,
 ]
 
