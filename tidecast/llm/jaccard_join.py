@@ -5,14 +5,20 @@ sets share one at least. How rare a shingle is tells a table of SKETCH counters
 documents; any order would be right, this one keeps the lists short. Relations between sets then
 save most of the work:
 
-* Lists first name a lead, their first set. Every set is compared with the lead that it meets most
-  often; if it is nearly the same set, it becomes a follower and is no longer searched for itself.
-* What is left are pairs of classes (a lead and its followers) that lists have in common. A list is
-  cut into blocks of equal size and position, and a pair of blocks is skipped as a whole if their
-  sizes or positions allow no similar pair. Shared shingles are counted per pair of classes, and
-  the leads are compared only if there are enough of them.
-* The answers of followers derive from those of their leads: two followers share at most what the
-  leads share plus what each has beyond its lead. Only where that suffices are they compared.
+* A list names a lead, the set in which its shingle comes first: that set has the fewest shingles
+  of its own. Every set is compared with the lead that it meets most often and joins its cluster;
+  if it is nearly the same set, it becomes a follower and is no longer searched for itself. Sets
+  that are not similar to their lead name leads among themselves once more.
+* Answers within a cluster derive from the comparisons with the lead. Two members share what they
+  kept of the lead, at most the lesser of both, and what they have in common beyond it. So two
+  members can only be similar if both kept enough, which their sizes and what they kept tell, or
+  if lists of the shingles beyond the lead say that they have enough of these in common.
+* What is left are pairs of classes (a lead and its followers) of different clusters that lists
+  have in common. A list is cut into blocks of equal size and position, and a pair of blocks is
+  skipped as a whole if their sizes or positions allow no similar pair. Shared shingles are counted
+  per pair of classes, and the leads are compared only if there are enough of them. Two followers
+  share at most what the leads share plus what each has beyond its lead; only where that suffices
+  are they compared.
 
 Each comparison of two sets is exact. Sets that links connect are one component, so a list whose
 sets are connected already needs no further look. Shingles are told apart by hashes of 64 bits,
@@ -249,7 +255,10 @@ def _ends(*columns: np.ndarray) -> np.ndarray:
 
 
 def _leads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The postings of lists that have several, with the first set of the list and its size."""
+    """The postings of lists that have several, with the first set of the list and its size.
+
+    Lists come in order of position.
+    """
     for table in _whole_lists(batches, ["_h", "_part"]):
         lists, parts = table["_h"].to_numpy(), table["_part"].to_numpy()
         at = _ends(lists, parts)
@@ -280,10 +289,20 @@ def shared_postings(sets: DataFrame, ranks: np.ndarray) -> DataFrame:
     """The postings of shingles that several prefixes hold, each with a lead of its list."""
     source = sets.select("_doc", "_size", "_prefix")
     common = source.mapInArrow(_postings(ranks, True), POSTING).groupBy("_h").agg(F.count("*").alias("n"))
-    rows = _in_parts(source.mapInArrow(_postings(ranks, False), POSTING), common)
-    rows = rows.withColumn("_part", F.pmod(F.xxhash64("_doc"), F.col("_parts")))
-    lists = rows.repartition("_h", "_part").sortWithinPartitions("_h", "_part", "_doc")
-    return materialize(lists.mapInArrow(_leads, f"{POSTING}, _lead long, _lead_size long"), "shared-shingles")
+    rows = source.mapInArrow(_postings(ranks, False), POSTING)
+    return materialize(with_leads(in_parts(rows, common)), "shared-shingles")
+
+
+def in_parts(postings: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
+    """Postings with the _part of their list and its number of _parts."""
+    rows = _in_parts(postings, postings.groupBy("_h").agg(F.count("*").alias("n")) if sizes is None else sizes)
+    return rows.withColumn("_part", F.pmod(F.xxhash64("_doc"), F.col("_parts")))
+
+
+def with_leads(rows: DataFrame) -> DataFrame:
+    """Postings (with _part and _parts) of lists that have several, each with the lead of its list."""
+    lists = rows.repartition("_h", "_part").sortWithinPartitions("_h", "_part", "_pos", "_doc")
+    return lists.mapInArrow(_leads, f"{POSTING}, _lead long, _lead_size long")
 
 
 # Exact comparison
@@ -318,21 +337,34 @@ def _bring(pairs: DataFrame, total: int, held: DataFrame, end: str, other: str,
     return joined.select(*pairs.columns, name)
 
 
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in in_pieces(batches, "_right"):
-        found = []
-        for p, q in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-            p, q = np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)
-            found.append((len(np.intersect1d(p, q, assume_unique=True)), len(p), len(q)))
-        made = [pa.array(c, pa.int64()) for c in zip(*found)] if found else [pa.array([], pa.int64())] * 3
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *made], names=["a", "b", "shared", "size_a", "size_b"])
+def _shared(with_beyond: bool) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_pieces(batches, "_right"):
+            found, beyond = [], []
+            for p, q in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                p, q = np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)
+                both = np.intersect1d(p, q, assume_unique=True)
+                found.append((len(both), len(p), len(q)))
+                beyond.append(np.setdiff1d(p, both, assume_unique=True).tobytes() if with_beyond else b"")
+            made = [pa.array(c, pa.int64()) for c in zip(*found)] if found else [pa.array([], pa.int64())] * 3
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), *made, pa.array(beyond, pa.binary())],
+                names=["a", "b", "shared", "size_a", "size_b", "beyond"],
+            )
+
+    return run
+
 
+COMPARED = "a long, b long, shared long, size_a long, size_b long, beyond binary"
 
-COMPARED = "a long, b long, shared long, size_a long, size_b long"
 
+def compare(
+    pairs: DataFrame, sets: DataFrame, texts: DataFrame, words: int, with_beyond: bool = False
+) -> tuple[DataFrame, int]:
+    """The pairs a, b with the sizes of both sets and of what they share, and their number.
 
-def compare(pairs: DataFrame, sets: DataFrame, texts: DataFrame, words: int) -> tuple[DataFrame, int]:
-    """The pairs a, b with the sizes of both sets and of what they share, and their number."""
+    ``with_beyond`` adds the shingles of a that b lacks.
+    """
     pairs, seen = materialize_observed(pairs.select("a", "b"), "set-pairs", n=F.count("*"))
     n = seen["n"] or 0
     if not n:
@@ -340,20 +372,21 @@ def compare(pairs: DataFrame, sets: DataFrame, texts: DataFrame, words: int) ->
     ends = pairs.select(F.col("a").alias("_d")).unionAll(pairs.select(F.col("b").alias("_d")))
     held = hold(ends, sets, texts, words)
     both = _bring(_bring(pairs, n, held, "a", "b", "_left"), n, held, "b", "a", "_right")
-    return materialize(both.mapInArrow(_shared, COMPARED), "compared"), n
+    return materialize(both.mapInArrow(_shared(with_beyond), COMPARED), "compared"), n
 
 
 def best_leads(shared: DataFrame, similar: tuple[int, int]) -> DataFrame:
-    """a and b: of each set the lead it meets in most lists, if sizes and lists leave hope."""
+    """a and b: of each set the lead it meets in most lists, if that is at least half as often as a
+    similar pair must meet."""
     met = shared.filter("_doc != _lead").groupBy("_doc", "_lead").agg(
         F.count("*").alias("n"), F.first("_size").alias("_size"), F.first("_lead_size").alias("_other")
     )
     least, of = similar
     fit = F.least("_size", "_other") * of >= F.greatest("_size", "_other") * least
-    hope = F.col("n") + F.greatest(*[F.ceil(F.col(c) * least / of) - 1 for c in ("_size", "_other")]) >= F.ceil(
-        (F.col("_size") + F.col("_other")) * least / (least + of)
+    need = F.ceil((F.col("_size") + F.col("_other")) * least / (least + of)) - F.greatest(
+        *[F.ceil(F.col(c) * least / of) - 1 for c in ("_size", "_other")]
     )
-    best = met.filter(fit & hope).groupBy("_doc").agg(F.max(F.struct("n", (-F.col("_lead")).alias("_l"))).alias("_best"))
+    best = met.filter(fit & (2 * F.col("n") >= need)).groupBy("_doc").agg(F.max(F.struct("n", (-F.col("_lead")).alias("_l"))).alias("_best"))
     return best.select(F.col("_doc").alias("a"), (-F.col("_best._l")).alias("b"))
 
 
@@ -385,7 +418,7 @@ ENTRY = ["_least", "_most", "_from", "_to"]  # sizes and positions that a class
 
 
 def class_pairs(table: pa.Table, similar: tuple[int, int]) -> Iterator[pa.RecordBatch]:
-    """Pairs of classes of different components in lists of ``table``, sorted by list, role and ENTRY.
+    """Pairs of classes of different components and clusters in lists of ``table``, sorted by list, role and ENTRY.
 
     How many lists, and how many shared shingles their sizes ask for at least. A block is a run of
     entries with equal sizes and positions. In a list cut in two, only pairs across the cut count.
@@ -393,7 +426,7 @@ def class_pairs(table: pa.Table, similar: tuple[int, int]) -> Iterator[pa.Record
     least, of = similar
     lists = [table[c].to_numpy() for c in ("_h", "_task", "_role")]
     low, high, begin, last = (table[c].to_numpy() for c in ENTRY)
-    cls, root = table["_cls"].to_numpy(), table["_root"].to_numpy()
+    cls, root, cluster = (table[c].to_numpy() for c in ("_cls", "_root", "_cluster"))
     at = _ends(*lists, low, high, begin, last)
     size, at = np.diff(at), at[:-1]  # blocks
     ends = _ends(lists[0][at], lists[1][at])
@@ -416,7 +449,7 @@ def class_pairs(table: pa.Table, similar: tuple[int, int]) -> Iterator[pa.Record
             start = np.where(same, left + 1, at[j[k]])
             for m, right in cut_pairs(start, at[j[k]] + size[j[k]] - start):
                 one, two = left[m], right
-                new = root[one] != root[two]
+                new = (root[one] != root[two]) & (cluster[one] != cluster[two])
                 ends_ = np.sort(np.stack([cls[one][new], cls[two][new]], 1), axis=1)
                 if len(ends_):
                     yield pa.RecordBatch.from_arrays(
@@ -436,15 +469,20 @@ def _class_pairs(similar: tuple[int, int]) -> Callable:
 
 
 def candidates(shared: DataFrame, info: DataFrame, similar: tuple[int, int]) -> DataFrame:
-    """a and b: classes of different components that may have a similar pair of members."""
+    """a and b: classes of different components and clusters that may have a similar pair of members.
+
+    ``info`` has _group (component), _class and _in (cluster) of documents _d, as far as they are
+    others than the document itself.
+    """
     placed = shared.select("_h", "_doc", "_size", "_pos").join(info, F.col("_doc") == F.col("_d"), "left")
     entries = placed.groupBy("_h", F.coalesce("_class", "_doc").alias("_cls")).agg(
-        F.first(F.coalesce("_group", "_doc")).alias("_root"),
+        F.first(F.coalesce("_group", "_doc")).alias("_root"), F.first(F.coalesce("_in", "_doc")).alias("_cluster"),
         F.min("_size").alias("_least"), F.max("_size").alias("_most"), F.min("_pos").alias("_from"), F.max("_pos").alias("_to"),
     )
     entries = materialize(entries, "list-entries")
-    lists = entries.groupBy("_h").agg(F.count("*").alias("n"), F.min("_root").alias("_a"), F.max("_root").alias("_b"))
-    lists = lists.filter("_a != _b").select("_h", "n")
+    several = [F.min(c) != F.max(c) for c in ("_root", "_cluster")]
+    lists = entries.groupBy("_h").agg(F.count("*").alias("n"), (several[0] & several[1]).alias("_apart"))
+    lists = lists.filter("_apart").select("_h", "n")
     rows = _in_parts(entries.join(lists.select(F.col("_h").alias("_o")), F.col("_h") == F.col("_o"), "left_semi"), lists)
     own = F.pmod(F.xxhash64("_cls"), F.col("_parts"))
     rows = rows.withColumn("_own", own).withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1)))
@@ -456,6 +494,59 @@ def candidates(shared: DataFrame, info: DataFrame, similar: tuple[int, int]) ->
     return counted.filter("n >= _need").select("a", "b")
 
 
+def size_step(size: Column) -> Column:
+    """Sizes in steps of about one in a hundred."""
+    return F.floor(F.log(size.cast("double")) * 100).cast("long")
+
+
+def member_pairs(members: DataFrame, similar: tuple[int, int]) -> DataFrame:
+    """a and b: members of one cluster and of different components that may be similar.
+
+    ``members`` has _d, _in (the lead), _size, _kept (what it shares with the lead), _beyond (its
+    other shingles), _root and _linked, whether it is in the lead's component.
+    """
+    least, of = similar
+    rows = members.select("_d", "_in", "_size", "_kept", "_root", "_linked", size_step(F.col("_size")).alias("_step"))
+    # Pairs that need nothing beyond the lead: the other is so small that what this one kept suffices.
+    enough = F.floor(F.col("_kept") * (least + of) / least) - F.col("_size")
+    low, high = F.ceil(F.col("_size") * least / of), F.least(enough, F.floor(F.col("_size") * of / least))
+    asks = rows.filter(~F.col("_linked") & (low <= high)).select(
+        F.col("_d").alias("_a"), F.col("_in").alias("_in_a"), F.col("_size").alias("_size_a"), F.col("_kept").alias("_kept_a"),
+        F.col("_root").alias("_root_a"), F.explode(F.sequence(size_step(low), size_step(high))).alias("_step_a"),
+    )
+    both = (F.col("_size") + F.col("_size_a")) * least
+    small = both <= F.least("_kept", "_kept_a") * (least + of)
+    by_size = asks.join(rows, (F.col("_in_a") == F.col("_in")) & (F.col("_step_a") == F.col("_step")) & small & (F.col("_root") != F.col("_root_a")))
+    by_size = by_size.select(F.least("_a", "_d").alias("a"), F.greatest("_a", "_d").alias("b"))
+
+    # Pairs that have shingles beyond the lead in common, all of which are listed here.
+    posted = members.select("_in", "_d", "_root", "_beyond").mapInArrow(_beyond_postings, "_in long, _h long, _d long, _root long")
+    lists = posted.groupBy("_in", "_h").agg(F.min("_root").alias("_x"), F.max("_root").alias("_y")).filter("_x != _y").select("_in", "_h")
+    posted = materialize(posted.join(lists, ["_in", "_h"], "left_semi"), "beyond-leads")
+    other = posted.select(F.col("_in").alias("_i"), F.col("_h").alias("_g"), F.col("_d").alias("_e"), F.col("_root").alias("_r"))
+    meet = (F.col("_in") == F.col("_i")) & (F.col("_h") == F.col("_g")) & (F.col("_d") < F.col("_e")) & (F.col("_root") != F.col("_r"))
+    counted = posted.join(other, meet).groupBy(F.col("_d").alias("a"), F.col("_e").alias("b")).agg(F.count("*").alias("n"))
+    for end in ("a", "b"):
+        sizes = rows.select(F.col("_d").alias("_x"), F.col("_size").alias(f"_size_{end}"), F.col("_kept").alias(f"_kept_{end}"))
+        counted = counted.join(sizes, F.col(end) == F.col("_x")).drop("_x")
+    most = F.least("_kept_a", "_kept_b") + F.col("n")
+    by_list = counted.filter(most * (least + of) >= (F.col("_size_a") + F.col("_size_b")) * least).select("a", "b")
+    return by_size.unionAll(by_list).distinct()
+
+
+def _beyond_postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for whole in batches:
+        for start in range(0, whole.num_rows, 1024):
+            batch = whole.slice(start, 1024)
+            own = [np.frombuffer(b, np.int64) for b in batch.column(3).to_pylist()]
+            row = pa.array(np.repeat(np.arange(len(own)), [len(x) for x in own]))
+            values = np.concatenate(own) if own else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(row), pa.array(values), batch.column(1).take(row), batch.column(2).take(row)],
+                names=["_in", "_h", "_d", "_root"],
+            )
+
+
 def follower_pairs(compared: DataFrame, roots: DataFrame, followers: DataFrame, similar: tuple[int, int]) -> DataFrame:
     """a and b: members of two classes whose leads are not similar, if what the leads share and
     what the members have beyond them may be enough."""
@@ -527,25 +618,47 @@ def set_groups(
     if find_leads:
         given = materialize(find_leads(sets.select("_doc", "_print")), "given-leads")
         hopes = given.unionAll(hopes.join(given.select("a"), "a", "left_anti"))
-    leads, _ = compare(hopes, sets, texts, words)
+    leads, _ = compare(hopes, sets, texts, words, True)
     fits = is_similar(F.col("shared"), F.col("size_a"), F.col("size_b"), similar)
-    links = leads.filter(fits)
-    same = leads.filter(is_similar(F.col("shared"), F.col("size_a"), F.col("size_b"), max(similar, SAME, key=lambda s: s[0] / s[1])))
-    followers = same.join(same.select(F.col("a").alias("_f")), F.col("b") == F.col("_f"), "left_anti").select(
-        F.col("a").alias("_d"), F.col("b").alias("_class"), F.col("size_a").alias("_size"), (F.col("size_a") - F.col("shared")).alias("_beyond")
-    )
-    followers = materialize(followers, "followers")
+    links = leads.filter(fits).select("a", "b")
+    lost = leads.filter(~fits).select(F.col("a").alias("_l"))
+    again = shared.join(lost, F.col("_doc") == F.col("_l"), "left_semi").select("_h", "_doc", "_size", "_pos")
+    tried = leads.select("a", "b")
+    found, n = compare(best_leads(with_leads(in_parts(again)), similar).join(tried, ["a", "b"], "left_anti"), sets, texts, words)
+    if n:
+        links = links.unionAll(found.filter(fits).select("a", "b"))
+        tried = tried.unionAll(found.select("a", "b"))
     roots = connected(links)
-    info = roots.select(F.col("_n").alias("_d"), F.col("_root").alias("_group")).join(followers.select("_d", "_class"), "_d", "left")
+
+    rooted = leads.join(leads.select(F.col("a").alias("_f")), F.col("b") == F.col("_f"), "left_anti")
+    near = is_similar(F.col("shared"), F.col("size_a"), F.col("size_b"), max(similar, SAME, key=lambda s: s[0] / s[1]))
+    members = rooted.select(
+        F.col("a").alias("_d"), F.col("b").alias("_in"), F.when(near, F.col("b")).alias("_class"), F.col("size_a").alias("_size"),
+        F.col("shared").alias("_kept"), F.col("beyond").alias("_beyond"), fits.alias("_similar"),
+    )
+    for end in ("_d", "_in"):
+        at = roots.select(F.col("_n").alias("_x"), F.col("_root").alias(f"_root{end}"))
+        members = members.join(at, F.col(end) == F.col("_x"), "left").drop("_x").withColumn(f"_root{end}", F.coalesce(f"_root{end}", end))
+    linked = F.col("_root_d") == F.col("_root_in")
+    members = materialize(members.withColumn("_root", F.col("_root_d")).withColumn("_linked", linked).drop("_root_d", "_root_in"), "members")
+    followers = members.filter("_class IS NOT NULL").select("_d", "_class", "_size", (F.col("_size") - F.col("_kept")).alias("_beyond"))
+
+    info = roots.select(F.col("_n").alias("_d"), F.col("_root").alias("_group")).join(members.select("_d", "_class", "_in"), "_d", "full")
     pairs = candidates(shared, info, similar)
-    known = leads.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    inside = member_pairs(members, similar).join(known, ["a", "b"], "left_anti")
+    inside, n = compare(inside, sets, texts, words)
+    if n:
+        links = links.unionAll(inside.filter(fits).select("a", "b"))
     more, found = compare(pairs.join(known, ["a", "b"], "left_anti"), sets, texts, words)
     if found:
-        links = links.unionAll(more.filter(fits))
+        links = links.unionAll(more.filter(fits).select("a", "b"))
+    if n or found:
         roots = connected(links)
-    last, found = compare(follower_pairs(leads.unionAll(more), roots, followers, similar), sets, texts, words)
     if found:
-        roots = connected(links.unionAll(last.filter(fits)))
+        last, found = compare(follower_pairs(more, roots, followers, similar), sets, texts, words)
+    if found:
+        roots = connected(links.unionAll(last.filter(fits).select("a", "b")))
 
     placed = sets.select("_set", "n", "_first", "_doc").join(roots, F.col("_doc") == F.col("_n"), "left").select(
         "_set", "n", "_first", F.coalesce("_root", "_doc").alias("component")
