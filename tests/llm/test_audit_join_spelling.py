@@ -164,6 +164,30 @@ def test_set_join_at_another_threshold(spark):
     assert collections.Counter(map(tuple, got.collect())) == joined_by_hand(rows, 2, 3, 5)
 
 
+def copies_of_one_text(n, words=150, most=12):
+    """Copies with one to many changed, deleted or swapped places; few are similar to each other."""
+    rng = random.Random(17)
+    base = [f"b{rng.randrange(900)}" for _ in range(words)]
+    made = [" ".join(base)]
+    for _ in range(n):
+        copy = list(base)
+        for _ in range(rng.randrange(1, most)):
+            at = rng.randrange(len(copy))
+            copy[at : at + 1] = rng.choice([[], [f"x{rng.randrange(10**6)}"], [f"x{rng.randrange(10**6)}"], [copy[at], f"y{rng.randrange(3)}"]])
+        made.append(" ".join(copy))
+    return [(k, t, "s") for k, t in enumerate(made)]
+
+
+def test_a_large_group_of_near_copies_needs_few_comparisons(spark, monkeypatch):
+    rows, compared, compare = copies_of_one_text(500), [], jaccard_join.compare
+    monkeypatch.setattr(jaccard_join, "compare", lambda *a: compared.append(compare(*a)) or compared[-1])
+    got = jaccard_join.similar_documents(table(spark, rows))
+    want = joined_by_hand(rows, 4, 85, 100)
+    assert collections.Counter(map(tuple, got.collect())) == want
+    assert 50 < sum(i != c for i, _, c in want) < 450
+    assert sum(n for _, n in compared) < 20 * len(rows)  # there are 125 000 pairs
+
+
 def test_templates_make_few_candidates(spark):
     """Texts with 85 % of their words in common but a similarity below the threshold."""
     rng = random.Random(1)
@@ -175,7 +199,7 @@ def test_templates_make_few_candidates(spark):
     sets = texts.select("_id", "_key", "_text").mapInArrow(run, "_id long, _key binary, _set binary, _size long, _prefix binary, _print binary")
     sets = spread.materialize(sets.withColumn("_doc", F.col("_id")), "sets")
     shared = jaccard_join.shared_postings(sets, ranks)
-    info = spark.createDataFrame([], "_d long, _group long, _class long")
+    info = spark.createDataFrame([], "_d long, _group long, _class long, _in long")
     assert jaccard_join.candidates(shared, info, (4, 5)).count() < 2_000
     table_ = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")
     assert simhash.keep_one(table_).count() == 2_000
