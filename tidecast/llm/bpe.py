@@ -4,7 +4,8 @@ A word's bytes are its first parts. One array holds where parts begin and one, b
 rank of each part joined with the next; the smallest rank names the boundary to delete, and the
 ranks next to it are looked up anew. Long words keep the same ranks in a heap instead, as
 scanning them again and again would take quadratic time. Words repeat, so each Python worker
-keeps the tokens of those it has met, in CACHE_BYTES at most.
+keeps the tokens of those it has met, in CACHE_BYTES at most: when the young half is full, the old
+half is forgotten, and what is met again returns to the young one.
 """
 
 from __future__ import annotations
@@ -26,8 +27,8 @@ from tidecast.llm.words import in_pieces
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 SHORT = 64  # parts of a word that are scanned; beyond it a heap is used
-CACHE_BYTES = 16 << 20  # of each of two caches
-ENTRY_BYTES = 250  # of a short word and its ids as Python keeps them
+CACHE_BYTES = 64 << 20
+ENTRY_BYTES = 200  # of a short word and its ids as Python keeps them
 MARKS = ".,;:!?%$#*&|"  # often end a word; each is neither letter, number nor space
 NEVER = 1 << 60
 
@@ -62,9 +63,9 @@ class Bpe:
         self.marks = regex.compile(f"({marks})") if marks else None
         self.spread_space = regex.compile(r"\s ")
         self.before_space = regex.compile(r"(?<=\S)(?= )")
-        self.known: dict[str, str] = {}  # stretches between spaces
-        self.words_known: dict[str, str] = {}
-        self.most_known = CACHE_BYTES // ENTRY_BYTES
+        self.known: dict[str, str] = {}  # words, and stretches between spaces; the young half
+        self.old: dict[str, str] = {}
+        self.most_known = CACHE_BYTES // ENTRY_BYTES // 2
 
     def parts(self, word: bytes) -> list[bytes]:
         """Tokens of one word."""
@@ -127,30 +128,37 @@ class Bpe:
             a = end[a]
         return out
 
-    def _word(self, word: str) -> str:
-        found = ",".join([self.shown[p] for p in self.parts(word.encode())])
-        if len(word) <= SHORT:
-            if len(self.words_known) >= self.most_known:
-                self.words_known.clear()
-            self.words_known[word] = found
+    def _keep(self, stretch: str, found: str) -> str:
+        if len(stretch) <= SHORT:
+            if len(self.known) >= self.most_known:
+                self.old, self.known = self.known, {}
+            self.known[stretch] = found
+        return found
+
+    def _met(self, stretch: str) -> str | None:
+        """What is known of a stretch, from either half."""
+        found = self.known.get(stretch)
+        if found is None and (found := self.old.get(stretch)) is not None:
+            self._keep(stretch, found)
         return found
 
+    def _word(self, word: str) -> str:
+        """Ids of one word; alone it is the same word as among others."""
+        return self._met(word) or self._keep(word, ",".join([self.shown[p] for p in self.parts(word.encode())]))
+
     def _chunk(self, chunk: str) -> str:
         """Ids of a stretch that holds whole words, joined by commas."""
-        known = self.words_known.get
+        if found := self._met(chunk):
+            return found
         letters = chunk.rstrip(MARKS)
         if letters[1:].isalpha() and (letters[0] == " " or letters[0].isalpha()):  # at most a space, letters and marks: one word or two
-            found = known(letters) or self._word(letters)
-            if len(letters) < len(chunk):
-                marks = chunk[len(letters) :]
-                found += "," + (known(marks) or self._word(marks))
+            found = self._word(letters)
+            if len(letters) == len(chunk):
+                return found
+            found += "," + self._word(chunk[len(letters) :])
         else:
-            found = ",".join([known(w) or self._word(w) for w in self.words.findall(chunk)])
-        if len(chunk) <= SHORT:
-            if len(self.known) >= self.most_known:
-                self.known.clear()
-            self.known[chunk] = found
-        return found
+            found = ",".join([self._word(w) for w in self.words.findall(chunk)])
+        return self._keep(chunk, found)
 
     def encode_joined(self, text: str) -> str:
         """Token ids of a text, joined by commas.
@@ -171,11 +179,8 @@ class Bpe:
                     chunks = [" " + c for c in rest]
                     if first:
                         chunks.insert(0, first)
-                known = self.known
-                try:
-                    out.extend([known[c] for c in chunks])
-                except KeyError:
-                    out.extend([known.get(c) or self._chunk(c) for c in chunks])
+                known = self.known.get
+                out.extend([known(c) or self._chunk(c) for c in chunks])
         return ",".join(out)
 
     def encode(self, text: str) -> list[int]:
