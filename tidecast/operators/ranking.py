@@ -26,17 +26,19 @@ def with_bucket(df: DataFrame, spec: PanelSpec) -> DataFrame:
     )
 
 
-def bucket_counts(df: DataFrame, spec: PanelSpec) -> DataFrame:
+def bucket_counts(df: DataFrame, spec: PanelSpec, counts: DataFrame | None = None) -> DataFrame:
     """Rows per (grain, bucket) with the running and the total count of the grain.
 
-    The windows see one row per bucket, a number set by the calendar, not the data.
+    The windows see one row per bucket, a number set by the calendar, not the data. ``counts``
+    (grain, _bucket, _n) are taken as they are, if given, and ``df`` is not read.
     """
     by_time = Window.partitionBy(spec.grain).orderBy("_bucket")
-    counts = (
-        with_bucket(df.select(spec.grain, spec.time), spec)
-        .groupBy(spec.grain, "_bucket")
-        .agg(F.count("*").alias("_n"))
-    )
+    if counts is None:
+        counts = (
+            with_bucket(df.select(spec.grain, spec.time), spec)
+            .groupBy(spec.grain, "_bucket")
+            .agg(F.count("*").alias("_n"))
+        )
     return counts.select(
         spec.grain,
         "_bucket",

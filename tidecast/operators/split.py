@@ -40,16 +40,16 @@ class SplitPoints:
 
 
 def split_points(
-    df: DataFrame, spec: PanelSpec, test_pct: float, max_task_rows: int = MAX_TASK_ROWS
+    df: DataFrame, spec: PanelSpec, test_pct: float, max_task_rows: int = MAX_TASK_ROWS, counts: DataFrame | None = None
 ) -> SplitPoints:
-    """Where to split each series.
+    """Where to split each series; ``counts`` are known rows per (grain, bucket), see ``bucket_counts``.
 
     ``_full`` is the last bucket that trains as a whole. ``_mixed`` is the bucket cut
     in two, with ``_key`` its last training row, ``_copies`` the number of exact copies
     of that row and ``_taken`` how many of them train.
     """
     cutoff = F.floor(F.col("PARTITION_COUNT") * F.lit(1.0 - test_pct)).cast("long")
-    cells = bucket_counts(df, spec).withColumn("TRAIN_CUTOFF", cutoff)
+    cells = bucket_counts(df, spec, counts).withColumn("TRAIN_CUTOFF", cutoff)
     before = F.col("_through") - F.col("_n")
     is_mixed = (before < F.col("TRAIN_CUTOFF")) & (F.col("_through") > F.col("TRAIN_CUTOFF"))
     points, seen = materialize_observed(

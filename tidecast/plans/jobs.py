@@ -81,7 +81,9 @@ class Workspace:
                 paths.setdefault(schema, []).append(f"{self.root}/{path}")
         if not paths:
             raise ValueError(f"no committed run{'' if run_id is None else f' {run_id!r}'} has a table '{table}'")
-        parts = [self.spark.read.schema(schema_from(s)).parquet(*p) for s, p in paths.items()]
+        folders = [T.StructField(c, T.StringType()) for c in ("RUN", "ATTEMPT")]
+        read = self.spark.read.option("basePath", f"{self.root}/{table}")
+        parts = [read.schema(T.StructType([*schema_from(s), *folders])).parquet(*p).drop("RUN", "ATTEMPT") for s, p in paths.items()]
         return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
     def catalog(self, spec: PanelSpec) -> DataFrame:
@@ -104,7 +106,7 @@ class Run:
                 raise Conflict(f"run '{self.run_id}' is one of {entry['job']} of model '{entry['model_name']}'")
 
     def folder(self, table: str) -> str:
-        return f"{self.ws.root}/{table}/RUN={self.run_id}/{self.attempt}"
+        return f"{self.ws.root}/{table}/RUN={self.run_id}/ATTEMPT={self.attempt}"
 
     def save(self, df: DataFrame, table: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
         """Writes a table of the run and reads it back."""

@@ -387,6 +387,16 @@ ORACLES = {
     "missing_models": LINEAR + f"SELECT * FROM test WHERE PARTITION_ID NOT IN {READY}",
     "sample_predictions": LINEAR + """
         SELECT PARTITION_ID, TS, TARGET, round(p, 5) AS PREDICTION FROM scored ORDER BY PARTITION_ID, TS LIMIT 5""",
+    "summary_appended": f"""
+        SELECT count(*) AS TOTAL_ROWS, count(DISTINCT PARTITION_ID) AS PARTITIONS, min(TS) AS MIN_DATE, max(TS) AS MAX_DATE
+        FROM ({SHORT})""",
+    "split_appended": split(SHORT),
+    "eval_colocated": LINEAR + EVALUATED,
+    "gbt_sanity": f"""
+        WITH l AS ({split(DAILY)})
+        SELECT PARTITION_ID, 'ok' AS STATUS, count(*) FILTER (IS_TRAIN) AS TRAIN_ROWS, 1.0::DOUBLE AS SHARES,
+               count(*) FILTER (NOT IS_TRAIN) AS ANSWERED, true AS BEATS_MEAN
+        FROM l GROUP BY PARTITION_ID""",
     "export_reload": SHORT,
     "load_ledger": SHORT,
     "score_by_path": LINEAR + "SELECT PARTITION_ID, TS, TARGET, round(p, 5) AS PREDICTION FROM scored",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ from tidecast.operators.scoring import (
     registry_output,
     score,
 )
+from tidecast.operators.summaries import PanelStore
 from tidecast.operators.split import label_rows, partition_counts, split_points, time_split, train_test
 from tidecast.operators.table_function import fit_by_table_function, register_panel_fit, train_by_table_function
 from tidecast.operators.training import fit_models, metrics_long
@@ -29,7 +31,7 @@ from tidecast.plans import panels
 from tidecast.plans.jobs import Workspace, preview, run_inference, run_training
 from tidecast.plans.panels import DAILY, EVENTS, TIED
 from tidecast.session import materialize, scratch_path
-from tidecast.sources import artifacts, event_log, staging
+from tidecast.sources import artifacts, colocated, event_log, staging
 from tidecast.sources.loads import LoadedTable
 from tidecast.sources.tables import parquet_table
 from tidecast.spec import PanelSpec
@@ -143,6 +145,26 @@ def split_roundtrip(spark, sf):
     )
 
 
+def growing_panel(spark, sf):
+    """The events panel, stored in three appends, the first two of them compacted."""
+    panel = panels.short_panel(spark, sf)
+    store = PanelStore(spark, scratch_path(spark, "panel"), EVENTS, panel.schema)
+    hour = F.hour("TS")
+    store.append(panel.filter(hour < 8))
+    store.append(panel.filter((hour >= 8) & (hour < 20)))
+    store.compact()
+    store.append(panel.filter(hour >= 20))
+    return store
+
+
+def summary_appended(spark, sf):
+    return growing_panel(spark, sf).summary()
+
+
+def split_appended(spark, sf):
+    return growing_panel(spark, sf).split(TEST_PCT)
+
+
 # Linear models as relations
 
 
@@ -241,6 +263,37 @@ def eval_gbt(spark, sf):
     return evaluate(score_gbt(spark, sf), DAILY)
 
 
+def gbt_sanity(spark, sf):
+    """What must hold of default-size forests whatever their cuts: every series gets one, its rows
+    are all counted, it beats the mean in sample, importances are shares, held-out rows are answered."""
+    train, test = daily_sides(spark, sf)
+    models = materialize(gbt_models(train), "models")
+    spread = train.groupBy("PARTITION_ID").agg(F.stddev_pop("TARGET").alias("_spread"))
+    answered = score(test, models, DAILY, "error").groupBy("PARTITION_ID").agg(F.count_if(~F.isnan("PREDICTION")).alias("ANSWERED"))
+    shares = F.aggregate(F.map_values("METRICS.FEATURE_IMPORTANCES"), F.lit(0.0), lambda a, b: a + b)
+    found = models.select(
+        "PARTITION_ID", "STATUS", F.col("METRICS.TRAIN_ROWS").alias("TRAIN_ROWS"), F.col("METRICS.TRAIN_RMSE").alias("_rmse"),
+        F.round(shares, 6).alias("SHARES"),
+    )
+    both = found.join(spread, "PARTITION_ID").join(answered, "PARTITION_ID", "left")
+    return both.select("PARTITION_ID", "STATUS", "TRAIN_ROWS", "SHARES", "ANSWERED", (F.col("_rmse") < F.col("_spread") / 2).alias("BEATS_MEAN"))
+
+
+def eval_colocated(spark, sf):
+    """Fitted, scored and evaluated on tables that lie by series, with no shuffle of rows."""
+    train, test = event_sides(spark, sf)
+    mark, buckets = uuid.uuid4().hex, 4
+    for name, side in (("train", train), ("test", test)):
+        colocated.save_by_series(side, f"{name}_{mark}", "PARTITION_ID", buckets, scratch_path(spark, name))
+    fitted = colocated.fit_here(f"train_{mark}", spark, EVENTS, Linear())
+    models = fitted.withColumns({
+        "ALGORITHM": F.lit("linear"), "FEATURE_COLS": F.array(F.lit("K"), F.lit("HOUR"))
+    })
+    colocated.save_by_series(models, f"models_{mark}", "PARTITION_ID", buckets, scratch_path(spark, "models"))
+    found = colocated.evaluate_here(f"test_{mark}", f"models_{mark}", spark, EVENTS)
+    return rounded(found.select("PARTITION_ID", "MAE", "RMSE", "ROWS"), 5, "MAE", "RMSE")
+
+
 def score_gbt_stump(spark, sf):
     """One tree with one split per series: small enough to be checked in SQL."""
     train, test = event_sides(spark, sf)
@@ -790,6 +843,8 @@ QUERIES = [
     split_counts,
     split_boundaries,
     split_roundtrip,
+    summary_appended,
+    split_appended,
     linreg_fit,
     linreg_predict,
     linreg_eval,
@@ -800,6 +855,8 @@ QUERIES = [
     metrics_by_feature_gbt,
     score_gbt,
     eval_gbt,
+    gbt_sanity,
+    eval_colocated,
     score_gbt_stump,
     score_gbt_small,
     train_long_series,

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import functools
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,9 +16,35 @@ MAX_FILE_BYTES = 15_728_640
 PARQUET_PATTERN = r".*[.]parquet"
 
 
-def row_bytes(schema: T.StructType) -> int:
-    """Rough width of a row, for turning a file size into a row count."""
-    return sum(8 if isinstance(f.dataType, (T.NumericType, T.DatetimeType, T.BooleanType)) else 32 for f in schema)
+WIDTHS = 4  # rows of one write differ in width by this factor at most
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row before encoding: eight for a number or time, as they are for text and bytes,
+    those of its JSON for anything nested."""
+
+    def width(f: T.StructField) -> Column:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            return F.coalesce(F.octet_length(c), F.lit(0)) + 4
+        if isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType, T.VariantType)):
+            return F.coalesce(F.octet_length(F.to_json(c)), F.lit(0)) + 4
+        return F.lit(8)
+
+    return functools.reduce(lambda a, b: a + b, [width(f) for f in df.schema], F.lit(0))
+
+
+def width_classes(df: DataFrame) -> list[tuple[int, int]]:
+    """Classes of row widths with the largest width of each: a power of WIDTHS, in rising order."""
+    if all(isinstance(f.dataType, (T.NumericType, T.DatetimeType, T.BooleanType)) for f in df.schema):
+        return [(0, 8 * len(df.schema))]
+    sized = df.select(row_bytes(df).alias("_w"))
+    found = sized.groupBy(_class(F.col("_w")).alias("_c")).agg(F.max("_w").alias("_most")).collect()
+    return sorted((r["_c"], r["_most"]) for r in found)
+
+
+def _class(width: Column) -> Column:
+    return F.floor(F.log(float(WIDTHS), width.cast("double"))).cast("int")
 
 
 def export_by_series(
@@ -29,21 +57,26 @@ def export_by_series(
     """Replace ``path`` by Snappy Parquet files, one folder per value of ``key``.
 
     Files keep the key column, so each is complete by itself. A series is written by one
-    task, a long one by several.
+    task, a long one by several. No file has more rows than fit ``max_file_bytes`` at the width of
+    its widest: rows of very different widths are written one class of widths after the other, so a
+    few wide ones do not cut the others into small files. Only a row wider than that is alone.
     """
     tasks = task_count(df.sparkSession)
     short, spread, _ = in_parts(df, key, max_task_rows)
     gathered = short.repartition(tasks, key)
     if spread is not None:
         gathered = gathered.unionByName(spread.repartition(tasks, key, "_part").drop("_part"))
-    (
-        gathered.withColumn("SERIES", F.col(key))
-        .write.mode("overwrite")
-        .partitionBy("SERIES")
-        .option("compression", "snappy")
-        .option("maxRecordsPerFile", max(1, max_file_bytes // row_bytes(df.schema)))
-        .parquet(path)
-    )
+    classes = width_classes(df) or [(0, 1)]
+    for k, (number, most) in enumerate(classes):
+        rows = gathered if len(classes) == 1 else gathered.filter(_class(row_bytes(df)) == number)
+        (
+            rows.withColumn("SERIES", F.col(key))
+            .write.mode("append" if k else "overwrite")
+            .partitionBy("SERIES")
+            .option("compression", "snappy")
+            .option("maxRecordsPerFile", max(1, max_file_bytes // most))
+            .parquet(path)
+        )
 
 
 def load_by_name(
