@@ -186,6 +186,7 @@ def test_models_of_one_time_keep_apart_and_dead_runs_are_invisible(spark, monkey
     monkeypatch.undo()
     assert jobs.run_training(ws, table.filter("PARTITION_ID = 'P0000'"), SPEC, Linear(), at=AT, model_name="price") == second
     assert ws.table("models", second).count() == 1 and ws.table("run_log").count() == 2
+    assert ws.table("split").groupBy("IS_TRAIN").count().count() == 2 and ws.table("split").columns == [*table.columns, "IS_TRAIN"]
     with pytest.raises(ValueError, match="no committed run"):
         ws.table("predictions")
 
