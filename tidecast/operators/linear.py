@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidecast.operators.learners import share
+from tidecast.operators.skew import join_series
 from tidecast.session import materialize
 from tidecast.spec import PanelSpec
 
@@ -92,7 +93,7 @@ def coefficients(df: DataFrame, spec: PanelSpec) -> DataFrame:
 def predict_linear(rows: DataFrame, coef: DataFrame, spec: PanelSpec) -> DataFrame:
     """Predictions as a join and an expression, without Python."""
     features = spec.features(rows)
-    return rows.join(coef, spec.grain).select(*spec.roles, fitted_value(features).alias("PREDICTION"))
+    return join_series(rows, coef, spec.grain).select(*spec.roles, fitted_value(features).alias("PREDICTION"))
 
 
 def fit_linear(df: DataFrame, spec: PanelSpec) -> DataFrame:
@@ -100,7 +101,7 @@ def fit_linear(df: DataFrame, spec: PanelSpec) -> DataFrame:
     features = spec.features(df)
     coef = materialize(solve(moments(df, spec, features), spec, len(features)), "coefficients")
     error = F.col(spec.target).cast("float").cast("double") - fitted_value(features)
-    scored = df.join(coef.drop("MODEL_BINARY", "_importance"), spec.grain)
+    scored = join_series(df, coef.drop("MODEL_BINARY", "_importance"), spec.grain)
     quality = scored.groupBy(spec.grain).agg(
         F.avg(F.abs(error)).alias("TRAIN_MAE"),
         F.sqrt(F.avg(error * error)).alias("TRAIN_RMSE"),

@@ -48,14 +48,14 @@ def bucket_counts(df: DataFrame, spec: PanelSpec, counts: DataFrame | None = Non
     )
 
 
-def range_ends(runs: DataFrame, grain: str, key: str, copies: str) -> DataFrame:
-    """Running sum of ``copies`` per grain in ``key`` order, by range partitioning.
+def range_ends(runs: DataFrame, grain: str, key: str, copies: str, rows: int = 0) -> DataFrame:
+    """Running sum of ``copies`` per grain in ``key`` order, by range partitioning of at most ``rows`` rows.
 
     ``runs`` holds one row per distinct key, so the ranges can always be cut small.
     """
     spark = runs.sparkSession
     placed = materialize(
-        runs.repartitionByRange(task_count(spark), F.col(grain), F.col(key)).withColumn(
+        runs.repartitionByRange(task_count(spark, rows), F.col(grain), F.col(key)).withColumn(
             "_range", F.spark_partition_id()
         ),
         "ranges",
@@ -77,14 +77,14 @@ def range_ends(runs: DataFrame, grain: str, key: str, copies: str) -> DataFrame:
     )
 
 
-def repeat_rows(df: DataFrame, copies: str, index: str) -> DataFrame:
-    """Each row ``copies`` times, numbered from 1, with long runs spread over tasks."""
+def repeat_rows(df: DataFrame, copies: str, index: str, rows: int = 0) -> DataFrame:
+    """Each row ``copies`` times, about ``rows`` in all, numbered from 1, with long runs spread over tasks."""
     last_chunk = ((F.col(copies) - 1) / F.lit(COPY_CHUNK)).cast("long")
     chunks = df.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), last_chunk)))
     first = F.col("_chunk") * COPY_CHUNK + 1
     last = F.least(F.col(copies), (F.col("_chunk") + 1) * COPY_CHUNK)
     return (
-        chunks.repartition(task_count(df.sparkSession))
+        chunks.repartition(task_count(df.sparkSession, rows))
         .withColumn(index, F.explode(F.sequence(first, last)))
         .drop("_chunk")
     )
@@ -95,7 +95,8 @@ def rank_in_time(
 ) -> DataFrame:
     """``df`` plus ROW_NUM, the position of the row in its series, from 1."""
     columns = df.columns
-    cells, seen = materialize_observed(bucket_counts(df, spec), "bucket-counts", largest=F.max("_n"))
+    cells, seen = materialize_observed(bucket_counts(df, spec), "bucket-counts", largest=F.max("_n"), total=F.sum("_n"))
+    total = seen["total"] or 0
     if (seen["largest"] or 0) <= max_task_rows:
         inside = Window.partitionBy(spec.grain, "_bucket").orderBy(spec.order_key(df))
         before = cells.select(spec.grain, "_bucket", (F.col("_through") - F.col("_n")).alias("_before"))
@@ -108,9 +109,9 @@ def rank_in_time(
     whole_key = PanelSpec(spec.grain, spec.time, spec.target, spec.tiebreak).order_key(df)
     named = with_signs(df.filter(F.col(spec.grain).isNotNull()))
     runs = collapse_copies(named, spec.grain, whole_key, "_minus")
-    ends = range_ends(runs, spec.grain, "_key", "_copies")
+    ends = range_ends(runs, spec.grain, "_key", "_copies", total)
     return (
-        repeat_rows(ends, "_copies", "_i")
+        repeat_rows(ends, "_copies", "_i", total)
         .select(spec.grain, "_minus", "_key.*", (F.col("_end") - F.col("_copies") + F.col("_i")).alias("ROW_NUM"))
         .select(*original(df), "ROW_NUM")
     )

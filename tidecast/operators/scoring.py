@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from tidecast.operators.learners import Boosted, Learner, Linear
 from tidecast.operators.ranking import rank_in_time
 from tidecast.operators.skew import in_parts
-from tidecast.session import MAX_TASK_ROWS, materialize, task_count
+from tidecast.session import MAX_TASK_ROWS, materialize
 from tidecast.spec import PanelSpec
 
 POLICIES = ("drop", "error")
@@ -48,17 +48,17 @@ def score(
         rows = rows.withColumn(spec.target, F.lit(None).cast("double"))
     rows = rows.filter(F.col(spec.grain).isNotNull())
     blobs = usable_models(models).select(spec.grain, "ALGORITHM", "FEATURE_COLS", "MODEL_BINARY")
-    short, spread, large = in_parts(rows, spec.grain, max_task_rows)
-    scored = _score_groups(short, blobs, [spec.grain], spec, on_missing_model, learners)
+    short, spread, large, tasks = in_parts(rows, spec.grain, max_task_rows)
+    scored = _score_groups(short, blobs, [spec.grain], spec, on_missing_model, learners, tasks)
     if spread is not None:
         part_numbers = F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("_part")
         copies = blobs.join(large.select(spec.grain, part_numbers), spec.grain)
         keys = [spec.grain, "_part"]
-        scored = scored.unionByName(_score_groups(spread, copies, keys, spec, on_missing_model, learners))
+        scored = scored.unionByName(_score_groups(spread, copies, keys, spec, on_missing_model, learners, tasks))
     return scored if has_target else scored.drop(spec.target)
 
 
-def _score_groups(rows, blobs, keys, spec, on_missing_model, learners):
+def _score_groups(rows, blobs, keys, spec, on_missing_model, learners, tasks):
     schema = T.StructType([
         rows.schema[spec.grain],
         rows.schema[spec.time],
@@ -84,10 +84,9 @@ def _score_groups(rows, blobs, keys, spec, on_missing_model, learners):
         X = np.column_stack([part[c].to_numpy() for c in stored["FEATURE_COLS"]])
         return answer(part, learner.predict(learner.load(stored["MODEL_BINARY"]), X))
 
-    n = task_count(rows.sparkSession)
     floats = [F.col(c).cast("float").alias(c) for c in spec.features(rows) if c != "_part"]
-    left = rows.select(*dict.fromkeys([*keys, *outputs]), *floats).repartition(n, *keys)
-    right = blobs.repartition(n, *keys)
+    left = rows.select(*dict.fromkeys([*keys, *outputs]), *floats).repartition(tasks, *keys)
+    right = blobs.repartition(tasks, *keys)
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(predict, schema)
 
 

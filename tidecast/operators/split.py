@@ -23,6 +23,7 @@ from tidecast.operators.ranking import (
     with_signs,
     with_bucket,
 )
+from tidecast.operators.skew import join_series
 from tidecast.session import MAX_TASK_ROWS, materialize, materialize_observed
 from tidecast.spec import PanelSpec
 
@@ -63,6 +64,7 @@ def split_points(
         ),
         "split-cells",
         largest=F.max("_mixed_rows"),
+        total=F.sum("_mixed_rows"),
     )
 
     wanted = points.filter(F.col("_mixed").isNotNull()).select(
@@ -75,7 +77,7 @@ def split_points(
         upto = Window.partitionBy(spec.grain).orderBy("_key").rowsBetween(Window.unboundedPreceding, 0)
         ends = runs.withColumn("_end", F.sum("_copies").over(upto))
     else:
-        ends = range_ends(runs, spec.grain, "_key", "_copies")
+        ends = range_ends(runs, spec.grain, "_key", "_copies", seen["total"])
     taken = F.col("_need") - F.col("_end") + F.col("_copies")
     at_cutoff = ends.filter((taken > 0) & (taken <= F.col("_copies"))).select(
         spec.grain, "_key", "_copies", taken.alias("_taken")
@@ -95,7 +97,7 @@ def label_rows(df: DataFrame, points: SplitPoints, spec: PanelSpec) -> DataFrame
     columns = df.columns
     key = spec.order_key(df)
     cut = points.table.select(spec.grain, "_full", "_mixed", "_key", "_copies", "_taken")
-    side = with_bucket(df, spec).join(cut, spec.grain)
+    side = join_series(with_bucket(df, spec), cut, spec.grain)
     is_train = F.coalesce(
         F.when(F.col("_bucket") == F.col("_mixed"), key <= F.col("_key")).otherwise(
             F.col("_bucket") <= F.col("_full")

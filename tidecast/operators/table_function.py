@@ -80,7 +80,7 @@ def train_by_table_function(
     spark = df.sparkSession
     register(spark)
     columns = [F.col(c).cast("float").cast("double").alias(n) for c, n in ((feature, "x"), (spec.target, "y"))]
-    short, spread, _ = in_parts(df.filter(F.col(spec.grain).isNotNull()), spec.grain, max_task_rows)
+    short, spread, _, _ = in_parts(df.filter(F.col(spec.grain).isNotNull()), spec.grain, max_task_rows)
     rows = short.withColumn("_part", F.lit(0))
     if spread is not None:
         rows = rows.unionByName(spread)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
 from collections.abc import Callable
 
 import numpy as np
@@ -42,8 +43,9 @@ def fit_one(X: np.ndarray, y: np.ndarray, learner: Learner, features: list[str])
         return {"MODEL_BINARY": None, "METRICS": None, "STATUS": "error", "ERROR": error}
 
 
-def fit_groups(df: DataFrame, spec: PanelSpec, learner: Learner) -> DataFrame:
-    """Fit series that fit a task. A failing series becomes an error row, not a failed job."""
+def fit_groups(df: DataFrame, spec: PanelSpec, learner: Learner, rows: int = 0) -> DataFrame:
+    """Fit series that fit a task, of a table of so many ``rows``. A failing series becomes an
+    error row, not a failed job."""
     features = spec.features(df)
     ordering = [spec.time, *features, spec.target]
 
@@ -53,8 +55,8 @@ def fit_groups(df: DataFrame, spec: PanelSpec, learner: Learner) -> DataFrame:
         y = pdf[spec.target].to_numpy(np.float32)
         return pd.DataFrame([{spec.grain: pdf[spec.grain].iloc[0]} | fit_one(X, y, learner, features)])
 
-    rows = spec.model_input(df).repartition(task_count(df.sparkSession), spec.grain)
-    return rows.groupBy(spec.grain).applyInPandas(fit, fit_schema(df, spec))
+    dealt = spec.model_input(df).repartition(task_count(df.sparkSession, rows), spec.grain)
+    return dealt.groupBy(spec.grain).applyInPandas(fit, fit_schema(df, spec))
 
 
 def fit_models(
@@ -102,7 +104,9 @@ def fit_models(
 
 def _fit_by_size(df, spec, learner, max_task_rows, fit_short):
     """Short series inside tasks; series beyond ``max_task_rows`` as Spark aggregations."""
-    large, most_parts = long_series(df, spec.grain, max_task_rows)
+    large, most_parts, total = long_series(df, spec.grain, max_task_rows)
+    if fit_short is fit_groups:
+        fit_short = functools.partial(fit_groups, rows=total)
     if not most_parts:
         return fit_short(df, spec, learner)
     if hasattr(learner, "merge"):

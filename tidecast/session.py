@@ -81,13 +81,14 @@ def materialize_observed(df: DataFrame, label: str, **metrics: Column) -> tuple[
     return kept, watch.get
 
 
-def task_count(spark: SparkSession) -> int:
-    """Partitions for stages that spend their time in Python.
+def task_count(spark: SparkSession, rows: int = 0) -> int:
+    """Partitions for stages that spend their time in Python, of a table of so many ``rows``.
 
     An explicit number keeps adaptive execution from merging them: their input is
-    small in bytes but expensive in CPU.
+    small in bytes but expensive in CPU. No task gets more than MAX_TASK_ROWS on average.
     """
     return max(
         int(spark.conf.get("spark.sql.shuffle.partitions")),
         4 * spark.sparkContext.defaultParallelism,
+        -(-rows // MAX_TASK_ROWS),
     )

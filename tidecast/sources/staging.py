@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidecast.operators.skew import in_parts
-from tidecast.session import MAX_TASK_ROWS, task_count
+from tidecast.session import MAX_TASK_ROWS
 
 # The size limit of a staged file and the default name pattern of a load.
 MAX_FILE_BYTES = 15_728_640
@@ -61,8 +61,7 @@ def export_by_series(
     its widest: rows of very different widths are written one class of widths after the other, so a
     few wide ones do not cut the others into small files. Only a row wider than that is alone.
     """
-    tasks = task_count(df.sparkSession)
-    short, spread, _ = in_parts(df, key, max_task_rows)
+    short, spread, _, tasks = in_parts(df, key, max_task_rows)
     gathered = short.repartition(tasks, key)
     if spread is not None:
         gathered = gathered.unionByName(spread.repartition(tasks, key, "_part").drop("_part"))
