@@ -84,8 +84,8 @@ def by_length(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 
 def letter_mask(codes: np.ndarray) -> np.ndarray:
-    """32 bits that tell which letters a word has."""
-    bits = np.uint32(1) << (codes * np.uint32(0x9E3779B1) >> np.uint32(27))
+    """31 bits that tell which letters a word has; the sign is left alone, as Spark counts it as many bits."""
+    bits = np.uint32(1) << ((codes * np.uint32(0x9E3779B1) >> np.uint32(16)) % np.uint32(31))
     return np.bitwise_or.reduce(bits, axis=1).view(np.int32)
 
 
