@@ -27,7 +27,7 @@ from tidecast.llm.words import in_pieces
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 SHORT = 64  # parts of a word that are scanned; beyond it a heap is used
-CACHE_BYTES = 64 << 20
+CACHE_BYTES = 96 << 20
 ENTRY_BYTES = 200  # of a short word and its ids as Python keeps them
 MARKS = ".,;:!?%$#*&|"  # often end a word; each is neither letter, number nor space
 NEVER = 1 << 60
@@ -53,6 +53,7 @@ class Bpe:
         pairs = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
         self.ranks = {raw[a] + raw[b]: rank for rank, (a, b) in enumerate(pairs)}
         self.cuts = [len(raw[a]) for a, _ in pairs]
+        self.two = [self.ranks.get(bytes((k >> 8, k & 255)), NEVER) for k in range(1 << 16)]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.shown = {token: str(i) for token, i in self.ids.items()}
         self.bytes_of = {i: token for token, i in self.ids.items()}
@@ -79,7 +80,8 @@ class Bpe:
     def _scan(self, word: bytes) -> list[bytes]:
         get, cuts = self.ranks.get, self.cuts
         begins = list(range(len(word) + 1))
-        ranks = [get(word[i : i + 2], NEVER) for i in range(len(word) - 1)]
+        two = self.two
+        ranks = [two[a << 8 | b] for a, b in zip(word, word[1:])]
         while ranks:
             least = min(ranks)
             if least == NEVER:
