@@ -43,6 +43,7 @@ from tidecast.session import materialize, materialize_observed
 
 SIMILAR = (85, 100)  # least intersection and union
 SAME = (95, 100)  # of a follower and its lead
+MET = 0.7
 SKETCH_BITS = 22
 CHUNKS = 64  # parts of the table of counters
 FAN_IN = 64  # tables summed up in one group
@@ -114,7 +115,7 @@ def _bucket(hashes: np.ndarray) -> np.ndarray:
 
 
 def _packed(group: int, counts: np.ndarray) -> pa.RecordBatch:
-    parts = [pa.compress(c.tobytes(), "zstd", asbytes=True) for c in np.split(counts, CHUNKS)]
+    parts = [pa.compress(c.astype(np.uint64).tobytes(), "zstd", asbytes=True) for c in np.split(counts, CHUNKS)]
     columns = [pa.array([group] * CHUNKS, pa.int64()), pa.array(range(CHUNKS), pa.int32()), pa.array(parts, pa.binary())]
     return pa.RecordBatch.from_arrays(columns, names=["_group", "_chunk", "_counts"])
 
@@ -126,10 +127,10 @@ def _unpacked(counts: bytes) -> np.ndarray:
 
 def _count(words: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << SKETCH_BITS, np.uint64)
+        counts = np.zeros(1 << SKETCH_BITS, np.uint32)
         for batch in in_pieces(batches, "_text", PIECE_BYTES):
             for found in shingle_sets(batch.column(0), words):
-                np.add.at(counts, _bucket(found), np.uint64(1))
+                np.add.at(counts, _bucket(found), np.uint32(1))
         yield _packed(TaskContext.get().partitionId() // FAN_IN, counts)
 
     return run
@@ -376,8 +377,10 @@ def compare(
 
 
 def best_leads(shared: DataFrame, similar: tuple[int, int]) -> DataFrame:
-    """a and b: of each set the lead it meets in most lists, if that is at least half as often as a
-    similar pair must meet."""
+    """a and b: of each set one lead that it meets at least MET times as often as a similar pair must.
+
+    It is the one that most sets would choose for themselves, so that near copies share a lead.
+    """
     met = shared.filter("_doc != _lead").groupBy("_doc", "_lead").agg(
         F.count("*").alias("n"), F.first("_size").alias("_size"), F.first("_lead_size").alias("_other")
     )
@@ -386,7 +389,12 @@ def best_leads(shared: DataFrame, similar: tuple[int, int]) -> DataFrame:
     need = F.ceil((F.col("_size") + F.col("_other")) * least / (least + of)) - F.greatest(
         *[F.ceil(F.col(c) * least / of) - 1 for c in ("_size", "_other")]
     )
-    best = met.filter(fit & (2 * F.col("n") >= need)).groupBy("_doc").agg(F.max(F.struct("n", (-F.col("_lead")).alias("_l"))).alias("_best"))
+    met = materialize(met.filter(fit & (F.col("n") >= MET * need)).select("_doc", "_lead", "n"), "met-leads")
+    first = met.groupBy("_doc").agg(F.max(F.struct("n", (-F.col("_lead")).alias("_l"))).alias("_best"))
+    chosen = first.groupBy((-F.col("_best._l")).alias("_c")).agg(F.count("*").alias("_times"))
+    weighed = met.join(chosen, F.col("_lead") == F.col("_c"), "left")
+    order = F.struct(F.coalesce("_times", F.lit(0)).alias("t"), "n", (-F.col("_lead")).alias("_l"))
+    best = weighed.groupBy("_doc").agg(F.max(order).alias("_best"))
     return best.select(F.col("_doc").alias("a"), (-F.col("_best._l")).alias("b"))
 
 
@@ -460,10 +468,25 @@ def class_pairs(table: pa.Table, similar: tuple[int, int]) -> Iterator[pa.Record
 WHOLE, LEFT, RIGHT = 0, 1, 2  # roles of entries
 
 
+def _counted(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each pair once with the lists that it was met in and the least that was asked for."""
+    found = pa.Table.from_batches(batches).group_by(["a", "b"]).aggregate([("a", "count"), ("_need", "min")])
+    columns = [found.column(c).combine_chunks() for c in ("a", "b", "a_count", "_need_min")]
+    yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "n", "_need"])
+
+
 def _class_pairs(similar: tuple[int, int]) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _whole_lists(batches, ["_h", "_task"]):
-            yield from class_pairs(table, similar)
+            held, rows = [], 0
+            for found in class_pairs(table, similar):
+                held.append(found)
+                rows += found.num_rows
+                if rows >= 1 << 20:
+                    yield from _counted(held)
+                    held, rows = [], 0
+            if held:
+                yield from _counted(held)
 
     return run
 
@@ -489,8 +512,8 @@ def candidates(shared: DataFrame, info: DataFrame, similar: tuple[int, int]) ->
     role = F.when(F.col("_own") == F.col("_other"), WHOLE).when(F.col("_own") < F.col("_other"), LEFT).otherwise(RIGHT)
     task = F.least("_own", "_other") * F.col("_parts") + F.greatest("_own", "_other")
     dealt = rows.withColumn("_role", role).withColumn("_task", task).repartition("_h", "_task")
-    found = dealt.sortWithinPartitions("_h", "_task", "_role", *ENTRY).mapInArrow(_class_pairs(similar), "a long, b long, _need long")
-    counted = found.groupBy("a", "b").agg(F.count("*").alias("n"), F.min("_need").alias("_need"))
+    found = dealt.sortWithinPartitions("_h", "_task", "_role", *ENTRY).mapInArrow(_class_pairs(similar), "a long, b long, n long, _need long")
+    counted = found.groupBy("a", "b").agg(F.sum("n").alias("n"), F.min("_need").alias("_need"))
     return counted.filter("n >= _need").select("a", "b")
 
 
