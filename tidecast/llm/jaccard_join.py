@@ -83,6 +83,11 @@ def shingle_sets(texts: pa.Array, words: int) -> list[np.ndarray]:
     return out
 
 
+def small(stored: DataFrame) -> DataFrame:
+    """A stored table, marked to be sent to all tasks if it has no more than BROADCAST_ROWS narrow rows."""
+    return F.broadcast(stored) if stored.count() <= BROADCAST_ROWS else stored
+
+
 def text_key(column: str) -> Column:
     return F.unhex(F.md5(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")))
 
@@ -497,7 +502,7 @@ def candidates(shared: DataFrame, info: DataFrame, similar: tuple[int, int]) ->
     ``info`` has _group (component), _class and _in (cluster) of documents _d, as far as they are
     others than the document itself.
     """
-    placed = shared.select("_h", "_doc", "_size", "_pos").join(info, F.col("_doc") == F.col("_d"), "left")
+    placed = shared.select("_h", "_doc", "_size", "_pos").join(small(info), F.col("_doc") == F.col("_d"), "left")
     entries = placed.groupBy("_h", F.coalesce("_class", "_doc").alias("_cls")).agg(
         F.first(F.coalesce("_group", "_doc")).alias("_root"), F.first(F.coalesce("_in", "_doc")).alias("_cluster"),
         F.min("_size").alias("_least"), F.max("_size").alias("_most"), F.min("_pos").alias("_from"), F.max("_pos").alias("_to"),
@@ -644,8 +649,8 @@ def set_groups(
     leads, _ = compare(hopes, sets, texts, words, True)
     fits = is_similar(F.col("shared"), F.col("size_a"), F.col("size_b"), similar)
     links = leads.filter(fits).select("a", "b")
-    lost = leads.filter(~fits).select(F.col("a").alias("_l"))
-    again = shared.join(lost, F.col("_doc") == F.col("_l"), "left_semi").select("_h", "_doc", "_size", "_pos")
+    lost = materialize(leads.filter(~fits).select(F.col("a").alias("_l")), "without-lead")
+    again = shared.join(small(lost), F.col("_doc") == F.col("_l"), "left_semi").select("_h", "_doc", "_size", "_pos")
     tried = leads.select("a", "b")
     found, n = compare(best_leads(with_leads(in_parts(again)), similar).join(tried, ["a", "b"], "left_anti"), sets, texts, words)
     if n:
@@ -667,6 +672,7 @@ def set_groups(
     followers = members.filter("_class IS NOT NULL").select("_d", "_class", "_size", (F.col("_size") - F.col("_kept")).alias("_beyond"))
 
     info = roots.select(F.col("_n").alias("_d"), F.col("_root").alias("_group")).join(members.select("_d", "_class", "_in"), "_d", "full")
+    info = materialize(info, "places")
     pairs = candidates(shared, info, similar)
     known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     inside = member_pairs(members, similar).join(known, ["a", "b"], "left_anti")
