@@ -658,10 +658,11 @@ def set_groups(
         tried = tried.unionAll(found.select("a", "b"))
     roots = connected(links)
 
-    rooted = leads.join(leads.select(F.col("a").alias("_f")), F.col("b") == F.col("_f"), "left_anti")
+    # A lead may have a lead itself; followers are only those whose lead has none.
+    led = leads.join(leads.select(F.col("a").alias("_f")), F.col("b") == F.col("_f"), "left")
     near = is_similar(F.col("shared"), F.col("size_a"), F.col("size_b"), max(similar, SAME, key=lambda s: s[0] / s[1]))
-    members = rooted.select(
-        F.col("a").alias("_d"), F.col("b").alias("_in"), F.when(near, F.col("b")).alias("_class"), F.col("size_a").alias("_size"),
+    members = led.select(
+        F.col("a").alias("_d"), F.col("b").alias("_in"), F.when(near & F.col("_f").isNull(), F.col("b")).alias("_class"), F.col("size_a").alias("_size"),
         F.col("shared").alias("_kept"), F.col("beyond").alias("_beyond"), fits.alias("_similar"),
     )
     for end in ("_d", "_in"):
