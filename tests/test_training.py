@@ -1,5 +1,6 @@
 import datetime as dt
 import sys
+from dataclasses import dataclass
 
 import numpy as np
 import pytest
@@ -53,6 +54,53 @@ def test_boosted_recovers_a_step_and_its_importances():
     assert importances.tolist() == [1.0, 0.0]
 
 
+def series_of_all_kinds():
+    rng = np.random.default_rng(7)
+    for n in (1, 2, 3, 40, 41, 300, 39, 3, 120):
+        X = rng.integers(0, 30, (n, 3)).astype(np.float32)
+        X[rng.random(X.shape) < 0.1 * (n % 2)] = np.nan
+        y = X[:, 0] * 2 + rng.normal(size=n)
+        y[1:2] = np.nan
+        yield X, y.astype(np.float32)
+
+
+def test_series_fitted_together_get_the_trees_they_get_alone():
+    learner, series = Boosted(rounds=7), list(series_of_all_kinds())
+    together = learner.fit_many(series)
+    for (blob, importances), (X, y) in zip(together, series):
+        alone, shares = learner.fit(X, y)
+        assert importances.tolist() == shares.tolist()
+        got, want = learner.load(blob), learner.load(alone)
+        assert all(np.array_equal(got[k], want[k]) for k in want)
+
+
+@dataclass(frozen=True)
+class OnlyTogether(Boosted):
+    """Cannot fit a series alone, and none of one row."""
+
+    rounds: int = 2
+    name: str = "gbt"
+
+    def fit(self, X, y):
+        raise ValueError("alone")
+
+    def fit_many(self, series):
+        if any(len(y) == 1 for _, y in series):
+            raise ValueError("one row")
+        return super().fit_many(series)
+
+
+def test_short_series_reach_the_learner_together_and_failures_stay_apart(spark):
+    name = F.concat(F.lit("p"), F.col("id") % 400)
+    day = F.timestamp_seconds(F.col("id") * 86_400).cast("timestamp_ntz")
+    df = spark.range(8000).select(name.alias("PARTITION_ID"), day.alias("TS"), (F.col("id") % 7).cast("double").alias("A"), F.rand(1).alias("TARGET"))
+    fitted = fit_models(df, SPEC, OnlyTogether(), *RUN)
+    assert {(r.STATUS, r.METRICS.TRAIN_ROWS) for r in fitted.collect()} == {("ok", 20)} and fitted.count() == 400
+    bad = df.withColumn("TARGET", F.when(F.col("PARTITION_ID") != "p1", F.col("TARGET")))
+    found = {r.PARTITION_ID: r.STATUS for r in fit_models(bad, SPEC, Boosted(rounds=2), *RUN).collect()}
+    assert len(found) == 400 and [k for k, v in found.items() if v == "error"] == ["p1"]
+
+
 def test_boosted_error_falls_with_rounds_and_handles_edge_targets():
     rng = np.random.default_rng(0)
     X = rng.normal(size=(300, 4)).astype(np.float32)

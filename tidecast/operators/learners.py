@@ -2,8 +2,9 @@
 
 A learner is the user's replacement point. It needs a ``name`` and the three methods
 below, all on plain arrays. A learner may also offer ``fit_panel`` (all series as one
-Spark job) or ``fit_large`` (a Spark job for series too long for one task). Simplest for long
-series are the four methods of ``MergeableLearner``: many tasks then share one series.
+Spark job), ``fit_many`` (a list of short series at once, where that is faster) or ``fit_large``
+(a Spark job for series too long for one task). Simplest for long series are the four methods of
+``MergeableLearner``: many tasks then share one series.
 """
 
 from __future__ import annotations
@@ -16,6 +17,11 @@ import numpy as np
 
 from tidecast.session import MAX_TASK_ROWS
 
+# Bins of missing values and of rows that fill up a series, above all others.
+MISSING, FILL = 32_001, 32_002
+# Values of features that short series fill when they are fitted together: what a core's cache holds.
+CELLS_TOGETHER = 32_768
+
 
 class Learner(Protocol):
     name: str
@@ -111,95 +117,162 @@ class Boosted:
         values = np.unique(x[at])
         return values[values > x[0]]
 
-    def best_splits(self, g, bins, missing, counts, totals):
-        """Best split of every node that has rows.
+    def best_splits(self, g, bins, counts, totals, missing):
+        """Best split of every node of several series: feature (-1 for none), bin, where missing values go, gain.
 
-        ``g`` and ``bins`` are (feature, row), ordered by node, then by bin. ``counts`` and
-        ``totals`` are the rows and the gradient sum of each node, ``missing`` the bins of
-        missing values, if there are any.
+        ``g`` and ``bins`` are (feature, series, row), each series ordered by node, then by bin. ``counts``
+        and ``totals`` are the rows and the gradient sum of each node, (series, node). ``missing`` tells
+        whether any value is MISSING. Gains are taken only where a bin ends, as no cut lies elsewhere.
         """
-        start, at = counts.cumsum() - counts, np.arange(len(counts)).repeat(counts)
-        left_g = g.cumsum(axis=1) - (totals.cumsum() - totals).take(at)
-        row = np.arange(len(at))
-        left_h = row + 1.0 - start.take(at)
-        total_g, total_h = totals.take(at), counts.take(at).astype(float)
-        may_cut = np.ones(bins.shape, dtype=bool)
+        width, every = len(g), counts.size
+        span = g[0].size
+        at = np.arange(every).repeat(counts.ravel())
+        left_g = g.cumsum(axis=2).reshape(width, span)
+        left_g -= (totals.cumsum(axis=1) - totals).ravel().take(at)
+        counts, totals = counts.ravel(), totals.ravel()
+        left_h = np.arange(1.0, span + 1) - (counts.cumsum() - counts).take(at)
+        right_h = counts.take(at) - left_h
+        least = max(self.min_child - 0.5, 0.5)
+        g, bins = g.reshape(width, span), bins.reshape(width, span)
+        may_cut = np.empty(bins.shape, dtype=bool)
         np.not_equal(bins[:, 1:], bins[:, :-1], out=may_cut[:, :-1])
+        may_cut[:, -1] = False
+        if missing:
+            is_missing = bins == MISSING
+            may_cut &= ~is_missing & (right_h > 0.5)
+        else:
+            may_cut &= np.minimum(left_h, right_h) > least
+        place = may_cut.ravel().nonzero()[0]
+        feature = place // span
+        row = place - feature * span
+        node = at.take(row)
+        group = feature * every + node
+        left_g, left_h = left_g.ravel().take(place), left_h.take(row)
+        total_g, total_h = totals.take(node), counts.take(node).astype(float)
 
         def gain(lg, lh):
             rg, rh = total_g - lg, total_h - lh
-            fits = may_cut & (np.minimum(lh, rh) > self.min_child - 0.5)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                return np.where(fits, lg * lg / (lh + self.l2) + rg * rg / (rh + self.l2), -np.inf)
+            value = lg * lg / (lh + self.l2) + rg * rg / (rh + self.l2)
+            return np.where(np.minimum(lh, rh) > least, value, -np.inf) if missing else value
 
         score, miss_left = gain(left_g, left_h), None
-        if missing is not None:
-            is_missing = bins == missing[:, None]
-            may_cut &= ~is_missing
-            lost_g = np.add.reduceat(np.where(is_missing, g, 0.0), start, axis=1)[:, at]
-            lost_h = np.add.reduceat(is_missing.astype(float), start, axis=1)[:, at]
-            score, other = gain(left_g, left_h), gain(left_g + lost_g, left_h + lost_h)
+        if missing:
+            there = counts.nonzero()[0]
+            start = (counts.cumsum() - counts)[there]
+            lost_g, lost_h = np.zeros((2, width, every))
+            lost_g[:, there] = np.add.reduceat(np.where(is_missing, g, 0.0), start, axis=1)
+            lost_h[:, there] = np.add.reduceat(is_missing.astype(float), start, axis=1)
+            other = gain(left_g + lost_g.ravel().take(group), left_h + lost_h.ravel().take(group))
             miss_left = other > score
             score = np.maximum(score, other)
-        score = (score - total_g * total_g / (total_h + self.l2)).astype(np.float32)
-        by_feature = np.maximum.reduceat(score, start, axis=1)
-        feature, top = by_feature.argmax(axis=0), by_feature.max(axis=0)
-        is_top = score.take(feature.take(at) * len(at) + row) == top.take(at)
-        place = np.minimum.reduceat(np.where(is_top, row, len(at)), start)
-        left = np.zeros(len(top), bool) if miss_left is None else miss_left[feature, place]
+        score = (score - (totals * totals / (counts + self.l2)).take(node)).astype(np.float32)
+        top, best = np.full(width * every, -np.inf, dtype=np.float32), np.zeros(every, dtype=np.intp)
+        if len(place):
+            starts = np.append(0, (group[1:] != group[:-1]).nonzero()[0] + 1)
+            top[group.take(starts)] = np.maximum.reduceat(score, starts)
+        top = top.reshape(width, every).max(axis=0)
+        # Of equal ones the first feature and its first bin: assigned last.
+        hits = (score == top.take(node)).nonzero()[0][::-1]
+        best[node.take(hits)] = hits
         ok = top > self.min_gain
-        return np.where(ok, feature, -1), bins[feature, place], left & ok, np.where(ok, top, 0.0)
+        best = best * ok
+        if not len(place):
+            none = np.zeros(every, dtype=np.intp)
+            return none - 1, none, none > 0, none * 0.0
+        left = ok & miss_left.take(best) if missing else np.zeros(every, dtype=bool)
+        return np.where(ok, feature.take(best), -1), bins.ravel().take(place.take(best)), left, np.where(ok, top, 0.0)
 
     def fit(self, X, y):
-        keep = ~np.isnan(y)
-        X, y = X[keep], y[keep].astype(float)
-        if not len(y):
+        return self.fit_many([(X, y)])[0]
+
+    def fit_many(self, series):
+        """What ``fit`` gives for each (X, y), bit by bit. Short series of like length share the array work."""
+        known = [(X[keep], y[keep].astype(float)) for X, y, keep in ((X, y, ~np.isnan(y)) for X, y in series)]
+        if not all(len(y) for _, y in known):
             raise ValueError("no row with a target")
-        n, width = X.shape
-        cuts = [self.cuts(X[:, f].copy()) for f in range(width)]
-        missing = np.array([len(c) + 1 for c in cuts], dtype=np.int16)
-        bins = np.stack([
-            np.where(np.isnan(X[:, f]), missing[f], np.searchsorted(cuts[f], X[:, f], side="right"))
-            for f in range(width)
-        ]).astype(np.int16)
-        some_missing = missing if (bins == missing[:, None]).any() else None
-        by_bin = bins.argsort(axis=1, kind="stable")
-        lane = np.arange(width)[:, None] * n
+        fitted = [None] * len(known)
+        width = known[0][0].shape[1] if known else 0
+        waiting = sorted(range(len(known)), key=lambda i: -len(known[i][1]))
+        while waiting:
+            longest = len(known[waiting[0]][1])
+            most = max(1, CELLS_TOGETHER // (longest * max(1, width)))
+            together = [i for i in waiting[:most] if 2 * len(known[i][1]) >= longest]
+            waiting = waiting[len(together) :]
+            with np.errstate(divide="ignore", invalid="ignore"):
+                for i, found in zip(together, self._fit_together([known[i] for i in together])):
+                    fitted[i] = found
+        return fitted
+
+    def _fit_together(self, series):
+        """Trees of several series, level by level for all at once. Rows that fill up a shorter series
+        lie in a last node of their own, which is left out of all results."""
+        count, width = len(series), series[0][0].shape[1]
+        rows = np.array([len(y) for _, y in series])
+        longest = rows.max()
+        span = count * longest
+        cuts = [[self.cuts(X[:, f].copy()) for f in range(width)] for X, _ in series]
+        bins = np.full((width, count, longest), FILL, dtype=np.int16)
+        target, pred = np.zeros((2, count, longest))
+        for s, (X, y) in enumerate(series):
+            target[s, : len(y)], pred[s, : len(y)] = y, y.mean()
+            for f in range(width):
+                found = np.searchsorted(cuts[s][f], X[:, f], side="right")
+                bins[f, s, : len(y)] = np.where(np.isnan(X[:, f]), MISSING, found)
+        missing = bool((bins == MISSING).any())
+        lane = np.arange(width)[:, None, None] * span + np.arange(count)[:, None] * longest
+        by_bin = bins.argsort(axis=2, kind="stable") + lane
+        flat, bins_by_bin = bins.ravel(), bins.ravel().take(by_bin)
+        by_bin %= span
+        target, pred = target.ravel(), pred.ravel()
+        row, owner = np.arange(span), np.arange(count).repeat(longest)
+        filling = (np.arange(longest) >= rows[:, None]).ravel().astype(np.uint16)
         inner, leaves = 2**self.depth - 1, 2**self.depth
-        feat = np.full((self.rounds, inner), -1, dtype=np.int16)
-        cut = np.zeros((self.rounds, inner), dtype=np.int32)
-        miss = np.zeros((self.rounds, inner), dtype=bool)
-        value = np.zeros((self.rounds, leaves), dtype=np.float32)
-        gains = np.zeros((self.rounds, inner))
-        pred, rows = np.full(n, y.mean()), np.arange(n)
+        small = np.uint8 if leaves < 512 else np.uint16
+        feat = np.full((count, self.rounds, inner), -1, dtype=np.int16)
+        cut = np.zeros((count, self.rounds, inner), dtype=np.int32)
+        miss = np.zeros((count, self.rounds, inner), dtype=bool)
+        value = np.zeros((count, self.rounds, leaves), dtype=np.float32)
+        gains = np.zeros((count, self.rounds, inner))
+
+        def sums(at, nodes, weights=None):
+            return np.bincount(at, weights, minlength=count * nodes).reshape(count, nodes)
+
         for t in range(self.rounds):
-            g, order = pred - y, by_bin
-            node = np.zeros(n, dtype=np.uint16)
+            g = pred - target
+            order, in_order, node, grows = by_bin, bins_by_bin, filling, np.ones(count, dtype=bool)
             for d in range(self.depth):
-                counts, totals = np.bincount(node), np.bincount(node, g)
-                there = counts.nonzero()[0]
-                best = self.best_splits(
-                    g.take(order), bins.take(order + lane), some_missing, counts[there], totals[there]
-                )
-                level = there + 2**d - 1
-                feat[t, level], cut[t, level], miss[t, level], gains[t, level] = best
-                f, k = (np.empty(2**d, dtype=np.intp) for _ in range(2))
-                f[there], k[there] = best[:2]
-                own_f = f.take(node)
-                own = bins.take(own_f * n + rows, mode="wrap")
-                right = own > k.take(node)
-                if some_missing is not None:
-                    right = np.where(own == missing[own_f], ~miss[t, node + np.intp(2**d - 1)], right)
+                nodes = 2**d + 1
+                at = node + owner * nodes
+                best = self.best_splits(g.take(order), in_order, sums(at, nodes), sums(at, nodes, g), missing)
+                if not grows.all():  # a series without a split has ended its tree
+                    ended = ~grows.repeat(nodes)
+                    best[0][ended], best[2][ended], best[3][ended] = -1, False, 0.0
+                level = slice(2**d - 1, 2 ** (d + 1) - 1)
+                for held, new in zip((feat, cut, miss, gains), best):
+                    held[:, t, level] = new.reshape(count, nodes)[:, :-1]
+                own_f = best[0].take(at)
+                own = flat.take(own_f * span + row, mode="wrap")
+                right = own > best[1].take(at)
+                if missing:
+                    right = np.where(own == MISSING, ~best[2].take(at), right)
                 node = 2 * node + (right & (own_f >= 0))
-                if (best[0] < 0).all():
+                grows = (best[0].reshape(count, nodes) >= 0).any(axis=1)
+                if not grows.any():
                     node = node * 2 ** (self.depth - d - 1)
                     break
                 if d < self.depth - 1:
-                    order = order.take(node.take(order).argsort(axis=1, kind="stable") + lane)
-            weight = np.bincount(node, minlength=leaves)
-            value[t] = -self.eta * np.bincount(node, g, minlength=leaves) / (weight + self.l2)
-            pred = pred + value[t][node]
-        return self.pack(y.mean(), feat, cut, miss, value, cuts), self.importances(feat, gains, width)
+                    by_node = node.astype(small).take(order).argsort(axis=2, kind="stable")
+                    by_node += lane
+                    order, in_order = order.take(by_node), in_order.take(by_node)
+            at = node + owner * (leaves + 1)
+            leaf = (-self.eta * sums(at, leaves + 1, g) / (sums(at, leaves + 1) + self.l2)).astype(np.float32)
+            leaf[:, -1] = 0
+            value[:, t] = leaf[:, :-1]
+            pred = pred + leaf.take(at)
+        return [
+            (self.pack(y.mean(), feat[s], cut[s], miss[s], value[s], cuts[s]), self.importances(feat[s], gains[s], width))
+            for s, (_, y) in enumerate(series)
+        ]
 
     def importances(self, feat, gains, width):
         """Mean gain per split of each feature, as a share."""
@@ -224,20 +297,26 @@ class Boosted:
 
     def predict(self, model, X):
         feat, threshold, miss, value = (model[k] for k in ("feat", "threshold", "miss", "value"))
-        trees = np.arange(len(feat))[:, None]
+        trees, inner = feat.shape
+        feat, threshold, miss = feat.ravel(), threshold.ravel(), miss.ravel()
+        first_node = np.arange(trees)[:, None] * inner
         depth = int(np.log2(value.shape[1]))
         out = np.empty(len(X))
-        for first in range(0, len(X), 4096):
-            part = X[first : first + 4096].astype(np.float32)
-            rows = np.arange(len(part))[None, :]
-            node = np.zeros((len(feat), len(part)), dtype=np.int64)
+        for first in range(0, len(X), 512):
+            part = X[first : first + 512].astype(np.float32)
+            first_value = np.arange(len(part)) * part.shape[1]
+            unknown = np.isnan(part).any()
+            node = np.zeros((trees, len(part)), dtype=np.int64)
             for _ in range(depth):
-                f = feat[trees, node]
-                x = part[rows, f]
-                right = np.where(np.isnan(x), ~miss[trees, node], x >= threshold[trees, node])
+                at = node + first_node
+                f = feat.take(at)
+                x = part.take(f + first_value, mode="wrap")
+                right = x >= threshold.take(at)
+                if unknown:
+                    right = np.where(np.isnan(x), ~miss.take(at), right)
                 node = 2 * node + 1 + (right & (f >= 0))
-            leaf = node - (value.shape[1] - 1)
-            out[first : first + len(part)] = model["base"] + value[trees, leaf].sum(axis=0, dtype=float)
+            leaf = node - inner + np.arange(trees)[:, None] * (inner + 1)
+            out[first : first + len(part)] = model["base"] + value.take(leaf).sum(axis=0, dtype=float)
         return out
 
     def fit_large(self, df, spec, max_task_rows=MAX_TASK_ROWS):

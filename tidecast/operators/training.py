@@ -19,6 +19,9 @@ from tidecast.spec import PanelSpec
 
 # Fits series that fit a task: (rows, spec, learner) -> one row per series, as ``fit_schema`` has it.
 FitShort = Callable[[DataFrame, PanelSpec, Learner], DataFrame]
+# Rows of short series that a learner with ``fit_many`` gets at a time, on average.
+ROWS_TOGETHER = 16_384
+
 
 def summarize(y: np.ndarray, pred: np.ndarray, features: list[str], importances) -> dict:
     """In-sample errors, row count and importances of one fit."""
@@ -31,10 +34,11 @@ def summarize(y: np.ndarray, pred: np.ndarray, features: list[str], importances)
     }
 
 
-def fit_one(X: np.ndarray, y: np.ndarray, learner: Learner, features: list[str]) -> dict:
-    """Model, metrics and status of one series in order; a failure becomes an error."""
+def fit_one(X: np.ndarray, y: np.ndarray, learner: Learner, features: list[str], fitted=None) -> dict:
+    """Model, metrics and status of one series in order; a failure becomes an error. ``fitted`` is
+    what the learner's ``fit`` gave, if it has been called."""
     try:
-        blob, importances = learner.fit(X, y)
+        blob, importances = fitted or learner.fit(X, y)
         pred = learner.predict(learner.load(blob), X)
         metrics = summarize(y, pred, features, importances)
         return {"MODEL_BINARY": blob, "METRICS": metrics, "STATUS": "ok", "ERROR": None}
@@ -45,18 +49,32 @@ def fit_one(X: np.ndarray, y: np.ndarray, learner: Learner, features: list[str])
 
 def fit_groups(df: DataFrame, spec: PanelSpec, learner: Learner, rows: int = 0) -> DataFrame:
     """Fit series that fit a task, of a table of so many ``rows``. A failing series becomes an
-    error row, not a failed job."""
+    error row, not a failed job. A learner with ``fit_many`` gets several short series at a time."""
     features = spec.features(df)
-    ordering = [spec.time, *features, spec.target]
+    ordering = [spec.grain, spec.time, *features, spec.target]
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(ordering, kind="stable")
-        X = pdf[features].to_numpy(np.float32)
+        grain, X = pdf[spec.grain].to_numpy(), pdf[features].to_numpy(np.float32)
         y = pdf[spec.target].to_numpy(np.float32)
-        return pd.DataFrame([{spec.grain: pdf[spec.grain].iloc[0]} | fit_one(X, y, learner, features)])
-
-    dealt = spec.model_input(df).repartition(task_count(df.sparkSession, rows), spec.grain)
-    return dealt.groupBy(spec.grain).applyInPandas(fit, fit_schema(df, spec))
+        ends = np.append((grain[1:] != grain[:-1]).nonzero()[0] + 1, len(grain))
+        series = [(X[i:j], y[i:j]) for i, j in zip(np.append(0, ends[:-1]), ends)]
+        fitted = [None] * len(series)
+        if len(series) > 1:
+            try:
+                fitted = learner.fit_many(series)
+            except Exception:  # one by one then, so that only the failing ones fail
+                pass
+        found = [fit_one(*one, learner, features, known) for one, known in zip(series, fitted)]
+        return pd.DataFrame([{spec.grain: grain[j - 1]} | one for j, one in zip(ends, found)])
+
+    tasks = task_count(df.sparkSession, rows)
+    dealt, key = spec.model_input(df), spec.grain
+    if rows and hasattr(learner, "fit_many"):
+        key = "_together"
+        number = F.pmod(F.xxhash64(spec.grain), F.lit(max(tasks, rows // ROWS_TOGETHER)))
+        dealt = dealt.withColumn(key, number)
+    return dealt.repartition(tasks, key).groupBy(key).applyInPandas(fit, fit_schema(df, spec))
 
 
 def fit_models(
