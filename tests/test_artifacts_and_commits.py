@@ -23,7 +23,7 @@ from tidecast.operators.learners import Linear, Ridge
 from tidecast.operators.scoring import coverage, evaluate, pair_actuals, score
 from tidecast.operators.table_function import register_panel_fit
 from tidecast.operators.training import fit_models
-from tidecast.plans import jobs
+from tidecast.plans import jobs, queries
 from tidecast.session import materialize, scratch_path
 from tidecast.sources import artifacts, event_log
 from tidecast.sources.commits import CommitLog, Conflict
@@ -292,6 +292,13 @@ def test_event_log_attributes_tasks_to_the_job_that_ran_them(spark):
     assert got["app-2", "job-5", "two"].TASK_TIME == 4
 
 
+def test_event_log_sends_no_list_of_jobs_through_the_driver(spark, sf_small):
+    used = queries.usage_of_event_log(spark, sf_small)
+    assert len(used.collect()) == 5
+    plan = used._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_cost_of_a_real_run_needs_no_log_by_hand(tmp_path):
     code = f"""
 import sys; sys.path.insert(0, {ROOT!r})
@@ -299,7 +306,7 @@ import datetime as dt
 from pyspark.sql import SparkSession
 from tests.test_artifacts_and_commits import SPEC, generated
 from tidecast.operators.learners import Linear
-from tidecast.plans import jobs
+from tidecast.plans import jobs, queries
 from tidecast.sources.event_log import query_log
 spark = (SparkSession.builder.master("local[4]").config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", "file://{tmp_path}")
          .config("spark.sql.shuffle.partitions", "4").config("spark.eventLog.buffer.kb", "1k").getOrCreate())

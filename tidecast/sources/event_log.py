@@ -94,11 +94,13 @@ def queries(events: DataFrame) -> DataFrame:
     tasks = events.filter(F.col("Event") == KINDS[2]).groupBy("APP", "Stage ID").agg(
         F.sum("Task Metrics.Executor Run Time").alias("_ms"), F.sum("Task Metrics.Executor CPU Time").alias("_ns")
     )
-    work = tasks.join(stages, ["APP", "Stage ID"]).groupBy("APP", "Job ID").agg(F.sum("_ms").alias("_ms"), F.sum("_ns").alias("_ns"))
+    # Each side has a row per job or stage: left to itself, Spark sends millions of these through the driver,
+    # as it takes their size from the bytes of a compressed shuffle.
+    work = tasks.join(stages.hint("merge"), ["APP", "Stage ID"]).groupBy("APP", "Job ID").agg(F.sum("_ms").alias("_ms"), F.sum("_ns").alias("_ns"))
     p = F.col("Properties")
     own = F.coalesce(p["spark.sql.execution.root.id"], p["spark.sql.execution.id"], F.concat(F.lit("job-"), F.col("Job ID")))
     jobs = starts.select("APP", "Job ID", F.col("Submission Time").alias("_start"), own.alias("QUERY_ID"), F.explode(tags_of(p)).alias("QUERY_TAG"))
-    joined = jobs.join(ends, ["APP", "Job ID"], "left").join(work, ["APP", "Job ID"], "left")
+    joined = jobs.join(ends.hint("merge"), ["APP", "Job ID"], "left").join(work.hint("merge"), ["APP", "Job ID"], "left")
     start, end = F.min("_start"), F.max("_end")
     return joined.groupBy("APP", "QUERY_ID", "QUERY_TAG").agg(
         F.timestamp_millis(start).alias("STARTED"),
