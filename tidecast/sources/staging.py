@@ -3,19 +3,34 @@
 from __future__ import annotations
 
 import functools
-
+import re
+import uuid
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidecast.operators.skew import in_parts
-from tidecast.session import MAX_TASK_ROWS
+from tidecast.session import MAX_TASK_ROWS, materialize
+from tidecast.sources.artifacts import store_of
 
 # The size limit of a staged file and the default name pattern of a load.
 MAX_FILE_BYTES = 15_728_640
 PARQUET_PATTERN = r".*[.]parquet"
 
 
+# What Spark's writer percent-encodes in the name of a partition's folder, and its name for none.
+ESCAPED = re.compile(r"""[\x01-\x1f"#%'*/:=?\\\x7f{\[\]^]""")
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+# Types that Arrow writes as Spark does.
+PLAIN = (T.NumericType, T.StringType, T.BinaryType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+VALUE_BYTES = 20  # a value counts this much at least, for its levels, pages, dictionary and statistics
+
 WIDTHS = 4  # rows of one write differ in width by this factor at most
 
 
@@ -47,6 +62,58 @@ def _class(width: Column) -> Column:
     return F.floor(F.log(float(WIDTHS), width.cast("double"))).cast("int")
 
 
+def folder_of(value: str) -> str:
+    """The folder of a series, named as Spark names that of a partition: NULL and "" share one."""
+    name = ESCAPED.sub(lambda m: f"%{ord(m[0]):02X}", value) if value else NO_VALUE
+    return f"SERIES={name}"
+
+
+def _write_files(batches: Iterator[pa.RecordBatch], path: str, mark: str, most_rows: int) -> Iterator[pa.RecordBatch]:
+    """Writes rows that come series by series, named in their last column, and lists the hidden files."""
+    store, root = store_of(path)
+    task = TaskContext.get()
+    name = f"part-{task.partitionId():05d}-{mark}"
+    hidden = f".{name}.{task.taskAttemptId()}"
+    held: list[pa.RecordBatch] = []
+    series, rows, number = None, 0, 0
+
+    def flush() -> pa.RecordBatch:
+        nonlocal held, rows, number
+        folder, end = f"{root}/{folder_of(series)}", f".c{number:03d}.snappy.parquet"
+        store.create_dir(folder, recursive=True)
+        pq.write_table(pa.Table.from_batches(held), f"{folder}/{hidden}{end}", filesystem=store, compression="snappy", store_schema=False)
+        held, rows, number = [], 0, number + 1
+        return pa.RecordBatch.from_pydict({"_from": [f"{folder}/{hidden}{end}"], "_to": [f"{folder}/{name}{end}"]})
+
+    for batch in batches:
+        names = batch.column(batch.num_columns - 1).to_pylist()
+        values = batch.select(range(batch.num_columns - 1))
+        at = 0
+        while at < len(names):
+            if names[at] != series or rows == most_rows:
+                if rows:
+                    yield flush()
+                number = number if names[at] == series else 0
+                series = names[at]
+            end = at + 1
+            while end < len(names) and names[end] == series and rows + end - at < most_rows:
+                end += 1
+            held.append(values.slice(at, end - at))
+            rows, at = rows + end - at, end
+    if rows:
+        yield flush()
+
+
+def _publish(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+    """Gives files their names. What an earlier attempt of the task has renamed stays."""
+    store, _ = store_of(path)
+    for batch in batches:
+        for old, new in zip(*(c.to_pylist() for c in batch.columns)):
+            if store.get_file_info(new).type != fs.FileType.File:
+                store.move(old, new)
+        yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
+
+
 def export_by_series(
     df: DataFrame,
     path: str,
@@ -60,22 +127,42 @@ def export_by_series(
     task, a long one by several. No file has more rows than fit ``max_file_bytes`` at the width of
     its widest: rows of very different widths are written one class of widths after the other, so a
     few wide ones do not cut the others into small files. Only a row wider than that is alone.
+
+    Tasks write columns of plain types by Arrow under hidden names, which are replaced once all tasks
+    have ended; readers skip what a failed attempt leaves. Spark's own writer takes other types: on a
+    local disk it starts a few processes per file to set permissions, too many for a file per series.
     """
+    spark = df.sparkSession
     short, spread, _, tasks = in_parts(df, key, max_task_rows)
     gathered = short.repartition(tasks, key)
     if spread is not None:
         gathered = gathered.unionByName(spread.repartition(tasks, key, "_part").drop("_part"))
     classes = width_classes(df) or [(0, 1)]
+    plain = all(isinstance(f.dataType, PLAIN) for f in df.schema) and not isinstance(df.schema[key].dataType, T.BinaryType)
+    if plain:
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        store = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        store.delete(target, True)
+        store.mkdirs(target)
     for k, (number, most) in enumerate(classes):
         rows = gathered if len(classes) == 1 else gathered.filter(_class(row_bytes(df)) == number)
+        most_rows = max(1, max_file_bytes // max(most, VALUE_BYTES * len(df.columns)))
+        if plain:
+            named = rows.withColumn("_series", F.coalesce(F.col(key).cast("string"), F.lit(""))).sortWithinPartitions("_series")
+            write = functools.partial(_write_files, path=path, mark=uuid.uuid4().hex, most_rows=most_rows)
+            made = materialize(named.mapInArrow(write, "_from string, _to string"), "exported")
+            made.mapInArrow(functools.partial(_publish, path=path), "n long").agg(F.sum("n")).collect()
+            continue
         (
             rows.withColumn("SERIES", F.col(key))
             .write.mode("append" if k else "overwrite")
             .partitionBy("SERIES")
             .option("compression", "snappy")
-            .option("maxRecordsPerFile", max(1, max_file_bytes // most))
+            .option("maxRecordsPerFile", most_rows)
             .parquet(path)
         )
+    if plain:
+        store.create(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS"), True).close()
 
 
 def load_by_name(
