@@ -188,6 +188,35 @@ def test_a_large_group_of_near_copies_needs_few_comparisons(spark, monkeypatch):
     assert sum(n for _, n in compared) < 20 * len(rows)  # there are 125 000 pairs
 
 
+def test_near_copies_in_lists_without_partners_make_no_pairs(spark, monkeypatch):
+    """Most copies are similar to no other: fewer pairs leave the lists, with the same links."""
+    made, with_partners = [], jaccard_join.with_partners
+
+    def emitted(entries, lists):
+        found = entries.join(lists.select("_h"), "_h", "left_semi").withColumns({"_task": F.lit(0), "_role": F.lit(jaccard_join.WHOLE)})
+        rows = found.orderBy("_h", "_task", "_role", *jaccard_join.ENTRY).toArrow()
+        return sum(b.num_rows for b in jaccard_join.class_pairs(rows, (85, 100)))
+
+    def watched(entries, similar):
+        found = with_partners(entries, similar)
+        before = entries.withColumn("_lists", F.lit(1 << 62)), jaccard_join._lists_apart(entries)[0]
+        made.append((emitted(*before), emitted(*found)))
+        return found
+
+    monkeypatch.setattr(jaccard_join, "with_partners", watched)
+    monkeypatch.setattr(jaccard_join, "PAIRS_PER_ENTRY", 2)
+    rng, rows = random.Random(5), []
+    for k in range(600):  # words are replaced, so sizes are alike
+        copy = [f"b{j}" for j in range(150)]
+        for j in rng.sample(range(150), rng.randrange(1, 16)):
+            copy[j] = f"x{rng.randrange(10**6)}"
+        rows.append((k, " ".join(copy), "s"))
+    got = jaccard_join.similar_documents(table(spark, rows))
+    assert collections.Counter(map(tuple, got.collect())) == joined_by_hand(rows, 4, 85, 100)
+    (before, after), = made
+    assert before > 50 * len(rows) and 2 * after < before, (before, after)
+
+
 def test_templates_make_few_candidates(spark):
     """Texts with 85 % of their words in common but a similarity below the threshold."""
     rng = random.Random(1)

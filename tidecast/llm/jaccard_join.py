@@ -16,9 +16,10 @@ save most of the work:
 * What is left are pairs of classes (a lead and its followers) of different clusters that lists
   have in common. A list is cut into blocks of equal size and position, and a pair of blocks is
   skipped as a whole if their sizes or positions allow no similar pair. Shared shingles are counted
-  per pair of classes, and the leads are compared only if there are enough of them. Two followers
-  share at most what the leads share plus what each has beyond its lead; only where that suffices
-  are they compared.
+  per pair of classes, and the leads are compared only if there are enough of them. Where lists are
+  long, a class that is in fewer lists than any partner asks for leaves all of them, which shortens
+  the lists for the others, and so on. Two followers share at most what the leads share plus what
+  each has beyond its lead; only where that suffices are they compared.
 
 Each comparison of two sets is exact. Sets that links connect are one component, so a list whose
 sets are connected already needs no further look. Shingles are told apart by hashes of 64 bits,
@@ -51,6 +52,8 @@ STEPS_PER_DOUBLING = 8  # of a counter, until it has the next rank
 LIST_ROWS = 5_000  # beyond it a list is cut
 PAIRS_PER_COPY = 500  # comparisons that share one copy of a set
 BROADCAST_ROWS = 500_000
+PAIRS_PER_ENTRY = 20  # in lists; beyond it, entries that can have no similar partner are looked for
+ROUNDS = 12  # of that search
 PIECE_BYTES = 1 << 20
 STEP = 1 << 18  # pairs looked at together
 
@@ -427,7 +430,7 @@ def cut_pairs(at: np.ndarray, more: np.ndarray) -> Iterator[tuple[np.ndarray, np
         start = stop
 
 
-ENTRY = ["_least", "_most", "_from", "_to"]  # sizes and positions that a class has in a list
+ENTRY = ["_least", "_most", "_from", "_to", "_lists"]  # sizes and positions that a class has in a list, and in how many it is
 
 
 def class_pairs(table: pa.Table, similar: tuple[int, int]) -> Iterator[pa.RecordBatch]:
@@ -438,9 +441,9 @@ def class_pairs(table: pa.Table, similar: tuple[int, int]) -> Iterator[pa.Record
     """
     least, of = similar
     lists = [table[c].to_numpy() for c in ("_h", "_task", "_role")]
-    low, high, begin, last = (table[c].to_numpy() for c in ENTRY)
+    low, high, begin, last, met = (table[c].to_numpy() for c in ENTRY)
     cls, root, cluster = (table[c].to_numpy() for c in ("_cls", "_root", "_cluster"))
-    at = _ends(*lists, low, high, begin, last)
+    at = _ends(*lists, low, high, begin, last, met)
     size, at = np.diff(at), at[:-1]  # blocks
     ends = _ends(lists[0][at], lists[1][at])
     end = np.repeat(ends[1:], np.diff(ends))
@@ -455,7 +458,9 @@ def class_pairs(table: pa.Table, similar: tuple[int, int]) -> Iterator[pa.Record
         need = least_shared(low[a], low[b], similar)
         rest = np.minimum(high[a] - begin[a], high[b] - begin[b])
         fit &= np.minimum(last[a], last[b]) + rest >= need
-        i, j, need = i[fit], j[fit], need[fit] - np.maximum(beyond_prefix(high[a], similar), beyond_prefix(high[b], similar))[fit]
+        need -= np.maximum(beyond_prefix(high[a], similar), beyond_prefix(high[b], similar))
+        fit &= np.minimum(met[a], met[b]) >= need
+        i, j, need = i[fit], j[fit], need[fit]
         # Members of the blocks that are left: first each left member, then its partners.
         for k, left in cut_pairs(at[i], size[i]):
             same = i[k] == j[k]
@@ -496,6 +501,49 @@ def _class_pairs(similar: tuple[int, int]) -> Callable:
     return run
 
 
+def _lists_apart(entries: DataFrame) -> tuple[DataFrame, dict]:
+    """Lists _h whose n entries are of several components and clusters, with their sizes; totals of entries and pairs."""
+    several = [F.min(c) != F.max(c) for c in ("_root", "_cluster")]
+    lists = entries.groupBy("_h").agg(
+        F.count("*").alias("n"), (several[0] & several[1]).alias("_apart"), F.min("_least").alias("_low"), F.max("_most").alias("_high")
+    )
+    pairs = F.sum(F.col("n").cast("double") * (F.col("n") - 1) / 2)
+    return materialize_observed(lists.filter("_apart").drop("_apart"), "lists-apart", entries=F.sum("n"), pairs=pairs)
+
+
+def with_partners(entries: DataFrame, similar: tuple[int, int]) -> tuple[DataFrame, DataFrame]:
+    """Entries of classes that may have a similar partner, with _lists, and the lists they are in.
+
+    A pair of classes counts only if it meets in as many lists as their sizes ask for, so a class
+    that is in fewer than the sizes in its lists ask for at least has no partner. Without it other
+    lists may have one cluster only, or other classes too few lists: that is repeated while it
+    pays. No entry of a pair that counts is lost. Sizes become those that a class has anywhere.
+    """
+    least, of = similar
+    lists, seen = _lists_apart(entries)
+    entries = entries.withColumn("_lists", F.lit(1 << 62))
+    for _ in range(ROUNDS):
+        pairs = seen["pairs"] or 0
+        if pairs <= PAIRS_PER_ENTRY * (seen["entries"] or 0):
+            break
+        at = lists.select(F.col("_h").alias("_o"), "_low", "_high")
+        live = entries.join(at, F.col("_h") == F.col("_o")).drop("_o")
+        shared = F.ceil((F.col("_least") + F.col("_low")) * least / (least + of))
+        need = shared - (F.ceil(F.greatest("_most", "_high") * least / of) - 1)
+        classes = live.groupBy(F.col("_cls").alias("_c")).agg(
+            F.count("*").alias("_met"), F.min(need).alias("_need"), F.min("_least").alias("_l"), F.max("_most").alias("_m")
+        )
+        stay = classes.filter("_met >= _need").drop("_need")
+        kept = live.join(stay, F.col("_cls") == F.col("_c")).select(
+            "_h", "_cls", "_root", "_cluster", F.col("_l").alias("_least"), F.col("_m").alias("_most"), "_from", "_to", F.col("_met").alias("_lists")
+        )
+        entries = materialize(kept, "entries-with-partners")
+        lists, seen = _lists_apart(entries)
+        if (seen["pairs"] or 0) > 0.9 * pairs:
+            break
+    return entries, lists
+
+
 def candidates(shared: DataFrame, info: DataFrame, similar: tuple[int, int]) -> DataFrame:
     """a and b: classes of different components and clusters that may have a similar pair of members.
 
@@ -507,10 +555,7 @@ def candidates(shared: DataFrame, info: DataFrame, similar: tuple[int, int]) ->
         F.first(F.coalesce("_group", "_doc")).alias("_root"), F.first(F.coalesce("_in", "_doc")).alias("_cluster"),
         F.min("_size").alias("_least"), F.max("_size").alias("_most"), F.min("_pos").alias("_from"), F.max("_pos").alias("_to"),
     )
-    entries = materialize(entries, "list-entries")
-    several = [F.min(c) != F.max(c) for c in ("_root", "_cluster")]
-    lists = entries.groupBy("_h").agg(F.count("*").alias("n"), (several[0] & several[1]).alias("_apart"))
-    lists = lists.filter("_apart").select("_h", "n")
+    entries, lists = with_partners(materialize(entries, "list-entries"), similar)
     rows = _in_parts(entries.join(lists.select(F.col("_h").alias("_o")), F.col("_h") == F.col("_o"), "left_semi"), lists)
     own = F.pmod(F.xxhash64("_cls"), F.col("_parts"))
     rows = rows.withColumn("_own", own).withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1)))
