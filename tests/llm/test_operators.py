@@ -5,8 +5,10 @@ import collections
 import hashlib
 import os
 import random
+import sys
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark import cloudpickle
@@ -132,6 +134,18 @@ def test_bpe_against_the_library(docs, empty):
         assert model.encode(t) == library.encode(t, add_special_tokens=False).ids
 
 
+def test_workers_free_the_tokenizer_for_other_operators():
+    """A worker keeps tokenizer and cache from task to task, until another operator reads texts in it."""
+    path, batch = queries.tokenizer(), pa.RecordBatch.from_pydict({"_id": [1], "_text": ["a text of words"]})
+    for _ in range(2):
+        assert list(bpe._digests(path)(iter([batch])))[0].num_rows == 1
+        kept = [x for x in vars(sys).values() if isinstance(x, dict) and path in x]
+        assert len(kept) == 1
+    fields = ["_id", "_print"]
+    assert list(simhash._fingerprints("_text", 3, 64, fields)(iter([batch])))[0].schema.names == fields
+    assert not [x for x in vars(sys).values() if isinstance(x, dict) and path in x]
+
+
 def test_sharding(docs, empty):
     got = sharding.shard(docs, 4).collect()
     assert len(got) == docs.count() and {r.law for r in got} == {"bytes"}

@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidecast.llm.words import in_pieces
+from tidecast.llm.words import KEPT, in_pieces
 
 # The word pattern of byte-level tokenizers of this kind.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -203,9 +203,10 @@ def load(path: str) -> Bpe:
     """One tokenizer per Python worker, that of the file last asked for.
 
     It is kept beside the interpreter's modules: this function travels to workers that do not have
-    the package, and what travels is made anew for every task.
+    the package, and what travels is made anew for every task. The next task of another operator
+    on texts frees it, so that stages after this one have the memory.
     """
-    kept = sys.__dict__.setdefault("_tidecast_bpe", {})
+    kept = sys.__dict__.setdefault(KEPT, {})
     if path not in kept:
         kept.clear()
         kept[path] = Bpe(path)
@@ -216,7 +217,7 @@ def _digests(path: str) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
         sha = hashlib.sha256
-        for batch in in_pieces(batches, "_text"):
+        for batch in in_pieces(batches, "_text", keep=True):
             counts, ids_sha, text_sha = [], [], []
             for text in batch.column(1).to_pylist():
                 joined = bpe.encode_joined(text or "")
@@ -255,7 +256,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
-        for batch in in_pieces(batches, "_text", 1 << 20):
+        for batch in in_pieces(batches, "_text", 1 << 20, keep=True):
             ids = [bpe.encode(t or "") for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["_id", "ids"]

@@ -6,12 +6,14 @@ Words are runs of bytes other than the six ASCII white-space characters, as the
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+KEPT = "_tidecast_kept"  # what a Python worker keeps between tasks, beside the interpreter's modules
 SPACES = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 IS_SPACE = np.zeros(256, bool)
@@ -32,8 +34,15 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0] : at[-1]], at - at[0]
 
 
-def in_pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batches, cut where the texts in ``column`` would exceed ``limit`` bytes."""
+def in_pieces(
+    batches: Iterator[pa.RecordBatch], column: str, limit: int = PIECE_BYTES, keep: bool = False
+) -> Iterator[pa.RecordBatch]:
+    """The batches, cut where the texts in ``column`` would exceed ``limit`` bytes.
+
+    A task without use for what earlier ones have kept in its worker (``keep``) frees it.
+    """
+    if not keep:
+        sys.__dict__.pop(KEPT, None)
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         through = np.cumsum(sizes)
