@@ -7,6 +7,7 @@ import os
 import subprocess
 import sys
 import threading
+from urllib.parse import unquote, urlparse
 
 import numpy as np
 import pyarrow as pa
@@ -249,6 +250,31 @@ def test_overtaken_load_starts_again(spark, monkeypatch):
     assert mine.log.entries()[0]["loads"] and len(mine.log.entries()) == 1
 
 
+def test_load_lists_files_in_tasks_and_reads_them_in_portions(spark, monkeypatch):
+    path = scratch_path(spark, "staged")
+    spark.range(60).withColumn("k", F.col("id") % 12).repartition("k").write.partitionBy("k").parquet(f"{path}/a")
+    for name in ("a/_skip/x.parquet", "a/.hidden.parquet", "a/k=1/_no.parquet", "a/k=1/_k=2", "a/k=2/x._COPYING_", "a b/c%2Fd é.txt", "zero"):
+        os.makedirs(os.path.dirname(f"{path}/{name}"), exist_ok=True)
+        with open(f"{path}/{name}", "w") as out:
+            out.write(name if name != "zero" else "")
+    seen = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    want = sorted(map(tuple, seen.select("path", "length", "modificationTime").collect()))
+    table = LoadedTable(spark, scratch_path(spark, "table"), spark.range(1).schema)
+    listed = table.staged(path, ".*")
+    assert sorted(map(tuple, listed.collect())) == want and len(want) == 14
+    # The driver's plan holds no file of the stage.
+    assert not {unquote(urlparse(f).path) for f in listed.inputFiles()} & {w[0].removeprefix("file:") for w in want}
+    monkeypatch.setattr("tidecast.sources.loads.FILES_PER_READ", 5)
+    read, portions = LoadedTable._read_in, []
+    confs = ("spark.sql.sources.parallelPartitionDiscovery.parallelism", "spark.sql.hive.manageFilesourcePartitions")
+    monkeypatch.setattr(LoadedTable, "_read_in", lambda self, names, load: portions.append(len(names)) or read(self, names, load))
+    before = [spark.conf.get(c) for c in confs]
+    assert table.load(path) == 12 and table.load(path) == 0 and [spark.conf.get(c) for c in confs] == before
+    assert max(portions) <= 5 and sum(portions) == 12
+    assert table.rows().count() == 60 and table.rows().distinct().count() == 60 and table.ledger().count() == 12
+    assert len(table.loads()) == 1
+
+
 # Event logs
 
 

@@ -16,10 +16,11 @@ from pyspark.sql import types as T
 
 from tidecast.session import materialize_observed
 from tidecast.sources.commits import CommitLog, Conflict
-from tidecast.sources.staging import PARQUET_PATTERN
+from tidecast.sources.staging import PARQUET_PATTERN, brief_listing, files_below
 
 LEDGER = "NAME string, SIZE long, CHANGED timestamp, LOAD string"
 FILES_PER_READ = 10_000
+BYTES_PER_TASK = 128 << 20
 ATTEMPTS = 5
 
 
@@ -53,10 +54,7 @@ class LoadedTable:
 
     def staged(self, path: str, pattern: str = PARQUET_PATTERN) -> DataFrame:
         """Files below ``path`` whose path matches; contents are not read."""
-        found = self.spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-        return found.select(
-            F.col("path").alias("NAME"), F.col("length").alias("SIZE"), F.col("modificationTime").alias("CHANGED")
-        ).filter(F.col("NAME").rlike(f"^{pattern}$"))
+        return files_below(self.spark, path).filter(F.col("NAME").rlike(f"^{pattern}$"))
 
     def load(self, path: str, pattern: str = PARQUET_PATTERN, truncate_first: bool = False) -> int:
         """Adds the rows of files not loaded yet, or with ``truncate_first`` replaces all by those of
@@ -73,27 +71,25 @@ class LoadedTable:
         files = self.staged(path, pattern)
         if not truncate_first:
             known = self._read("files", T.StructType.fromDDL(LEDGER), self._counting(before))
-            files = files.join(known, ["NAME", "SIZE", "CHANGED"], "left_anti")
+            # A ledger small enough for a broadcast would come to the driver first.
+            files = files.join(known.hint("merge"), ["NAME", "SIZE", "CHANGED"], "left_anti")
         load = uuid.uuid4().hex
         new, seen = materialize_observed(files, "files-to-load", n=F.count("*"))
         n = seen["n"] or 0
         if not n and not truncate_first:
             return 0
-        made = []
+        made = [load] if n else []
         # Names come to the driver a portion at a time, as a reader must be given them.
         portion: list[str] = []
-        for row in new.select("NAME").toLocalIterator():
+        for row in new.select("NAME").repartition(max(1, -(-n // FILES_PER_READ)), "NAME").toLocalIterator():
             portion.append(row["NAME"])
             if len(portion) == FILES_PER_READ:
-                made.append(self._read_in(portion, f"{load}-{len(made)}"))
+                self._read_in(portion, load)
                 portion = []
         if portion:
-            made.append(self._read_in(portion, f"{load}-{len(made)}"))
+            self._read_in(portion, load)
         if made:
-            listed = new.withColumn("LOAD", F.lit(load))
-            listed.write.parquet(f"{self.root}/files/{made[0]}")
-            for other in made[1:]:
-                listed.limit(0).write.parquet(f"{self.root}/files/{other}")
+            new.withColumn("LOAD", F.lit(load)).write.parquet(f"{self.root}/files/{load}")
 
         def check(earlier: list[dict]) -> None:
             if len(earlier) != len(before):
@@ -102,7 +98,10 @@ class LoadedTable:
         self.log.append({"loads": made, "truncate": truncate_first}, check)
         return n
 
-    def _read_in(self, names: list[str], load: str) -> str:
-        rows = self.spark.read.schema(self.schema).parquet(*names)
-        rows.write.parquet(f"{self.root}/data/{load}")
-        return load
+    def _read_in(self, names: list[str], load: str) -> None:
+        """Adds the rows of the files to those of the load, small files many to a task."""
+        with brief_listing(self.spark):
+            rows = self.spark.read.schema(self.schema).parquet(*names)
+        size = rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        tasks = max(4 * self.spark.sparkContext.defaultParallelism, -(-size // BYTES_PER_TASK))
+        rows.coalesce(tasks).write.mode("append").parquet(f"{self.root}/data/{load}")

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidecast.operators.skew import in_parts
-from tidecast.session import MAX_TASK_ROWS, materialize
+from tidecast.session import MAX_TASK_ROWS, materialize, materialize_observed, task_count
 from tidecast.sources.artifacts import store_of
 
 # The size limit of a staged file and the default name pattern of a load.
@@ -32,6 +33,9 @@ PLAIN = (T.NumericType, T.StringType, T.BinaryType, T.BooleanType, T.DateType, T
 VALUE_BYTES = 20  # a value counts this much at least, for its levels, pages, dictionary and statistics
 
 WIDTHS = 4  # rows of one write differ in width by this factor at most
+LIST_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+LIST_CACHE = "spark.sql.hive.manageFilesourcePartitions"
+GLOB = set("{}[]*?\\")
 
 
 def row_bytes(df: DataFrame) -> Column:
@@ -198,3 +202,89 @@ def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
         .load(path)
         .select(F.col("path").alias("NAME"), F.col("length").alias("SIZE"))
     )
+
+
+@contextlib.contextmanager
+def brief_listing(spark: SparkSession) -> Iterator[None]:
+    """Readers made meanwhile list their paths in some tasks per core, and their files are not cached.
+
+    By default Spark takes up to 10 000 tasks, one per path. The driver keeps a record of each, and up to
+    250 MB of files that were listed.
+    """
+    wanted = {LIST_TASKS: str(4 * spark.sparkContext.defaultParallelism), LIST_CACHE: "false"}
+    before = {name: spark.conf.get(name, None) for name in wanted}
+    try:
+        for name, value in wanted.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def _passed_over(name: str, folder: bool) -> bool:
+    """Whether Spark's readers skip a file or folder of that name."""
+    if folder and name.startswith(("_metadata", "_common_metadata")):
+        return False
+    return name.startswith(".") or name.endswith("._COPYING_") or (name.startswith("_") and "=" not in name)
+
+
+ENTRY = "_at string, SIZE long, CHANGED timestamp, _folder boolean"
+LISTED = 10_000  # entries of a batch
+
+
+def _list_folders(path: str) -> Callable:
+    """What the folders hold that come as paths relative to ``path``; empty files are left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, root = store_of(path)
+        root = root.rstrip("/")
+        for batch in batches:
+            for folder in batch.column(0).to_pylist():
+                found = store.get_file_info(fs.FileSelector(root + folder, allow_not_found=True))
+                for start in range(0, len(found), LISTED):
+                    rows = []
+                    for f in found[start : start + LISTED]:
+                        inner = f.type == fs.FileType.Directory
+                        if (inner or (f.type == fs.FileType.File and f.size)) and not _passed_over(f.base_name, inner):
+                            changed = (f.mtime_ns or 0) // 1_000_000 * 1000  # whole milliseconds, as Hadoop has them
+                            rows.append((f"{folder}/{f.base_name}", 0 if inner else f.size, changed, inner))
+                    if rows:
+                        at, size, changed, inner = zip(*rows)
+                        columns = [pa.array(at), pa.array(size, pa.int64()), pa.array(changed, pa.timestamp("us", "UTC")), pa.array(inner)]
+                        yield pa.RecordBatch.from_arrays(columns, names=["_at", "SIZE", "CHANGED", "_folder"])
+
+    return run
+
+
+def files_below(spark: SparkSession, path: str) -> DataFrame:
+    """NAME, SIZE and CHANGED of the files below ``path`` that Spark's readers find; contents are not read.
+
+    Tasks list the folders, level by level, and write what they find, so the driver holds no list of files.
+    Stores that ``pyarrow.fs`` does not reach, patterns and single files are left to Spark's own listing,
+    which gathers all names on the driver.
+    """
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    here = target.toUri().getPath()
+    try:
+        store, root = store_of(path)
+        by_tasks = store.get_file_info(root).type == fs.FileType.Directory
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
+        by_tasks = False
+    if not by_tasks or GLOB & set(path) or not root.rstrip("/").endswith(here.strip("/")):
+        found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+        return found.select(
+            F.col("path").alias("NAME"), F.col("length").alias("SIZE"), F.col("modificationTime").alias("CHANGED")
+        )
+    shown = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(target).toString().rstrip("/")
+    folders, files = spark.createDataFrame([("",)], "_at string"), None
+    while True:
+        listed, seen = materialize_observed(
+            folders.mapInArrow(_list_folders(path), ENTRY), "listed", folders=F.count_if("_folder")
+        )
+        level = listed.filter("NOT _folder").select(F.concat(F.lit(shown), "_at").alias("NAME"), "SIZE", "CHANGED")
+        files = level if files is None else files.unionAll(level)
+        n = seen["folders"] or 0
+        if not n:
+            return files
+        folders = listed.filter("_folder").select("_at").repartition(min(n, task_count(spark, n)))
