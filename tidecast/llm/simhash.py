@@ -301,10 +301,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     id, of several with this id the one with the smallest hash.
 
     Two texts are linked if the Jaccard similarity of their shingle sets is 0.8 or more, and all
-    that links lead to are one group. BK-trees of fingerprints of the sets find a lead for most
-    near copies; as fingerprints only estimate similarity, sets are compared exactly, and pairs
-    that no tree brings together are found by the set join. Texts without a word are never near
-    duplicates of each other.
+    that links lead to are one group. BK-trees of fingerprints of the sets find a lead for nearly
+    equal ones, as 64 bits of sets at the threshold differ in about ten places and the trees search
+    EXACT_RADIUS. Sets are compared exactly, and all other pairs are found by the set join. Texts
+    without a word are never near duplicates of each other.
     """
     sets, groups, total = set_groups(docs, id_col, text_col, words, KEPT_APART, set_print, tree_leads)
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
